@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import bpe
+from sparkloom.llm import bpe, fingerprints, language_id, packing, quality, simhash_dedup, url_filter
 from sparkloom.llm.common import table
 
 
@@ -19,7 +19,30 @@ def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {
-    "op3_bpe_roundtrip": op3_bpe_roundtrip,
-}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.query(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = url_filter.train(url_filter.labelled_table(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), weights)
+
+
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.query(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op3_bpe_roundtrip, op4_fingerprints, op5_language_id, op6_quality, op9_url_filter, op10_simhash_dedup)}
 ORACLE_SQL: dict[str, str] = {}

@@ -43,9 +43,9 @@ LABELLED = [
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 MAX_LABELLED = 2000
-BUCKETS = 1024
+BUCKETS = 512
 SIZES = (3, 4, 5)
-EPOCHS, RATE, DECAY = 40, 0.5, 1e-4
+EPOCHS, RATE, DECAY = 25, 0.5, 1e-4
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -79,7 +79,6 @@ def train(labelled: DataFrame) -> list[float]:
     counts = F.aggregate("b", F.create_map().cast("map<int,double>"), lambda m, k: F.map_concat(F.map_filter(m, lambda a, _: a != k), F.create_map(k, F.coalesce(F.try_element_at(m, k), F.lit(0.0)) + 1.0)))
     found = found.withColumn("m", counts).withColumn("x", F.concat(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)) * share), F.array(F.lit(1.0))))
     gathered = found.agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct(F.xxhash64("url").alias("h"), "y", "x"))).alias("rows"))
-    step = lambda w, r: F.zip_with(w, r["x"], lambda a, v: a * (1 - RATE * DECAY) - v * RATE * (1 / (1 + F.exp(-F.aggregate(F.zip_with(w, r["x"], lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p))) - r["y"]))
     # the gradient's factor is worked out once for each row, not once for each weight
     factor = lambda w, r: RATE * (1 / (1 + F.exp(-F.aggregate(F.zip_with(w, r["x"], lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p))) - r["y"])
     step = lambda w, r: F.element_at(F.transform(F.array(factor(w, r)), lambda g: F.zip_with(w, r["x"], lambda a, v: a * (1 - RATE * DECAY) - v * g)), 1)
