@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import bpe, fingerprints, language_id, packing, quality, simhash_dedup, url_filter
+from sparkloom.llm import bpe, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, simhash_dedup, url_filter
 from sparkloom.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.query(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -35,6 +39,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.query(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = url_filter.train(url_filter.labelled_table(spark))
     return url_filter.judge(table(spark, sf_dir, "pages"), weights)
@@ -44,5 +52,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_bpe_roundtrip, op4_fingerprints, op5_language_id, op6_quality, op9_url_filter, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_packing, op3_bpe_roundtrip, op4_fingerprints, op5_language_id, op6_quality, op7_embedding_dedup, op9_url_filter, op10_simhash_dedup)}
 ORACLE_SQL: dict[str, str] = {}
