@@ -1,4 +1,58 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: quality, language, near duplicates, repeated passages, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet into the shared
+folder and reads it as the next stage's docs. All but the last keep the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sparkloom.llm import language_id, packing, quality, simhash_dedup, suffix_dedup
+from sparkloom.llm.common import table, written
+from sparkloom.llm.queries import vocabulary
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep(docs, table(spark, sf_dir, "labels"))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the classifier calls with enough probability."""
+    return language_id.keep(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (shingles of five words): the one of smallest doc_id.
+
+    Rows without an id are no one's duplicates and stay; of rows that repeat an id and text one stays.
+    """
+    grouped = simhash_dedup.group(docs.select("doc_id", "text"), shingle=5)
+    keep = grouped.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.dropDuplicates(["doc_id", "text"]).where("doc_id is not null")
+    return named.join(keep, "doc_id", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes that strings repeated over 400 bytes cover."""
+    return suffix_dedup.keep(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality_stage), ("language", language_stage), ("near_duplicates", near_duplicate_stage), ("passages", passage_stage), ("packing", packing_stage)]
+
+#: Trained models, fingerprints and tokenizers have no SQL form; tests hold the stages against plain Python instead.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other, over the whole documents table."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir))
+    return docs

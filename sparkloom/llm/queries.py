@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import bpe, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, simhash_dedup, url_filter
+from sparkloom.llm import bpe, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, simhash_dedup, suffix_dedup, url_filter
 from sparkloom.llm.common import table
 
 
@@ -43,6 +43,16 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.query(table(spark, sf_dir, "embeddings"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = url_filter.train(url_filter.labelled_table(spark))
     return url_filter.judge(table(spark, sf_dir, "pages"), weights)
@@ -52,5 +62,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_packing, op3_bpe_roundtrip, op4_fingerprints, op5_language_id, op6_quality, op7_embedding_dedup, op9_url_filter, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_packing, op3_bpe_roundtrip, op4_fingerprints, op5_language_id, op6_quality, op7_embedding_dedup, op8_suffix_dedup, op9_url_filter, op10_simhash_dedup, pipeline)}
 ORACLE_SQL: dict[str, str] = {}
