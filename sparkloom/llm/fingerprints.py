@@ -1,6 +1,6 @@
 """SimHash document fingerprints and the permuted block tables that find all within a Hamming radius.
 
-Terms are 3-word shingles (the words lower-cased in A-Z); a term that occurs t times weighs 1 + ln t. Each term's
+Terms are 3-word shingles (the words lower-cased in A-Z); a term that occurs t times weighs 1 + ln t (in 1024ths). Each term's
 64-bit hash votes with its weight for the bits it sets and against the rest; a bit of the fingerprint is set if its
 votes are positive. A text without words has fingerprint zero. Likeness of two fingerprints that differ in h bits is
 max(0, cos(pi h / 64)), the cosine of the weighted term vectors that SimHash estimates: 1 for equal fingerprints.
@@ -63,7 +63,7 @@ def fingerprint(text: str | None) -> int:
     for k in range(1, min(SHINGLE, len(of))):
         terms = mix(terms) + of[k : k + len(terms)]
     terms, times = np.unique(mix(terms), return_counts=True)
-    weights, votes = 1 + np.log(times), np.zeros(64)
+    weights, votes = np.rint(1024 * (1 + np.log(times))), np.zeros(64)  # whole numbers: sums don't depend on their order
     for i in range(0, len(terms), 1 << 15):
         votes += weights[i : i + (1 << 15)] @ np.unpackbits(terms[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     return int(np.packbits(votes * 2 > weights.sum(), bitorder="little").view("<u8")[0])
@@ -114,7 +114,7 @@ def _place(cuts: list[int]) -> Column:
     """Number of the range, in descending order of ids, that an id falls into; null ids fall into the last."""
     if not cuts:
         return F.lit(0)
-    return F.coalesce(F.size(F.filter(F.lit(cuts), lambda c: c > F.col("doc_id"))), F.lit(len(cuts)))
+    return F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(F.size(F.filter(F.lit(cuts), lambda c: c > F.col("doc_id"))))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
