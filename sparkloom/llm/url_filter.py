@@ -59,9 +59,13 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def buckets(host: Column, path: Column) -> Column:
     """Hash buckets of the character n-grams of host and path, each with marks at its ends."""
 
+    def sized(marked: Column, kind: str, n: int) -> Column:
+        places = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.pmod(F.xxhash64(F.lit(f"{kind}{n}"), F.substring(marked, i, F.lit(n))), F.lit(BUCKETS)).cast("int"))
+
     def grams(text: Column, kind: str) -> Column:
         marked = F.concat(F.lit("^"), text, F.lit("$"))
-        return F.concat(*[F.transform(F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - (n - 1))).otherwise(F.array().cast("array<int>")), lambda i, n=n: F.pmod(F.xxhash64(F.lit(f"{kind}{n}"), F.substring(marked, i, F.lit(n))), F.lit(BUCKETS)).cast("int")) for n in SIZES])
+        return F.concat(*[sized(marked, kind, n) for n in SIZES])
 
     return F.concat(grams(host, "h"), grams(path, "p"))
 
