@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import fixed as X
 from sparkloom.functions import text as T
 from sparkloom.functions import udf as U
-from sparkloom.operators import chat, clean, dedup, evaluate, label, sample, store
+from sparkloom.operators import chat, clean, dedup, evaluate, label, sample, store, tokenize
 from sparkloom.plans import stages
 from sparkloom.sources import readers
 
@@ -392,6 +392,23 @@ def corpus_report(spark, sf_dir):
     return text_of(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("n"), F.avg("n_chars").alias("mean_chars"), F.min("n_chars").alias("least_chars"), F.max("n_chars").alias("most_chars"))
 
 
+# --- tokens --------------------------------------------------------------------------------------------------------
+def _encoded(spark, sf_dir):
+    import public_tokenizers
+
+    return text_of(spark, sf_dir).select("doc_id", "lang", "text", tokenize.encoder(public_tokenizers.path("word_bpe_49k.json"))("text").alias("ids"))
+
+
+@query()
+def token_statistics(spark, sf_dir):
+    return tokenize.statistics(_encoded(spark, sf_dir))
+
+
+@query()
+def token_fertility(spark, sf_dir):
+    return tokenize.fertility(_encoded(spark, sf_dir), "ids", T.words(F.col("text")), "lang")
+
+
 # --- events and the star schema ------------------------------------------------------------------------------------
 @query("select event_id, user_id, count(*) over (partition by user_id order by epoch(ts)::bigint range between 60 preceding and current row) as n from events")
 def rate_limit_window(spark, sf_dir):
