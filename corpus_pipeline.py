@@ -24,14 +24,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (shingles of five words): the one of smallest doc_id.
+    """One document of each group of near duplicates (shingles of five words, similarity 0.8 or more): the one of smallest doc_id.
 
     Rows without an id are no one's duplicates and stay; of rows that repeat an id and text one stays.
     """
-    grouped = simhash_dedup.group(docs.select("doc_id", "text"), shingle=5)
+    grouped = simhash_dedup.group(docs.select("doc_id", "text"), shingle=5, similarity=0.8)
     keep = grouped.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.dropDuplicates(["doc_id", "text"]).where("doc_id is not null")
-    return named.join(keep, "doc_id", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
+    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

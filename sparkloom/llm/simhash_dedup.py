@@ -6,6 +6,13 @@ of positions inside a half, 24 bits each, instead of under single bytes, whose l
 table. Fingerprints that meet in a list are tallied (how many positional bytes agree), pairs under the guaranteed 5 go,
 the rest are verified by their differing bits; a pair that meets in several lists counts in the first alone.
 
+A link of 3 bits needs texts that are all but equal: at a Jaccard similarity of 0.8 of the shingles about 10 of 64 bits
+differ. With ``similarity`` set, texts also link by a signature of POSITIONS bytes, each the last byte of a min-wise
+hash, of which a pair shares about the similarity's share. The index is the same: a text is posted under QUADS groups of
+four positional bytes, texts that meet in a list are tallied over all positions and kept if they share at least the
+share of similarity - MARGIN. Lists are compared in chunks of at most about CHUNK_ROWS texts, chunk with chunk, and each comparison sends
+back a spanning forest, so a list of any size is neither gathered nor expanded into its pairs.
+
 Copies are one entry: the index holds distinct fingerprints. Nulls and texts without words have fingerprint zero and
 link like any other. Rows that repeat a doc_id share its component; a null doc_id is no member of a component and gets
 its fingerprint's. An empty table gives no rows.
@@ -21,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import arrow_map, words_of, written
-from sparkloom.llm.components import components
+from sparkloom.llm.components import Forest, components
 
 SEED = 42
 TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 CHUNK = 1 << 16
+POSITIONS, QUADS, MARGIN, CHUNK_ROWS = 128, 20, 0.06, 1000
 
 
 def votes_of(hashes: np.ndarray) -> np.ndarray:
@@ -38,13 +46,7 @@ def votes_of(hashes: np.ndarray) -> np.ndarray:
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """The SimHash of a text as a signed 64-bit integer: bit set if set in over half of its shingles' XXH64."""
-    import xxhash
-
-    words = words_of(text)
-    if not words:
-        return 0
-    grams = map(b" ".join, zip(*[words[i:] for i in range(shingle)])) if len(words) >= shingle else [b" ".join(words)]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64)
+    hashes = _hashes_of(text, shingle)
     bits = (votes_of(hashes) * 2 > len(hashes)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
@@ -76,14 +78,82 @@ def near_pairs(entries: DataFrame, radius: int = 3) -> DataFrame:
     return met.where((shared >= 8 - radius) & (F.bit_count("x") <= radius) & (F.col("list") == first)).select("u", "v")
 
 
-def group(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links of at most radius bits."""
-    of = written(fingerprints(docs, shingle))
-    reps = written(of.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    linked = components(near_pairs(reps.where("id is not null"), radius))
-    found = reps.join(linked, reps.id == linked.node, "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    # a doc_id that repeats with other texts ties its fingerprints together through the id itself
-    return of.join(found, "fp", "left").select("doc_id", "fp", "component_id")
+def _hashes_of(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle of a text, repeats included."""
+    import xxhash
+
+    words = words_of(text)
+    if not words:
+        return np.zeros(0, np.uint64)
+    grams = map(b" ".join, zip(*[words[i:] for i in range(shingle)])) if len(words) >= shingle else [b" ".join(words)]
+    return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), np.uint64)
+
+
+def signature(hashes: np.ndarray) -> bytes:
+    """The last bytes of POSITIONS min-wise hashes of the set of shingles."""
+    rng = np.random.default_rng(SEED)
+    odd, add = (rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) for _ in range(2))
+    odd = odd * np.uint64(2) + np.uint64(1)
+    least, hashes = np.full(POSITIONS, np.iinfo(np.uint64).max, np.uint64), np.unique(hashes)
+    for i in range(0, len(hashes), 2048):
+        x = (hashes[i : i + 2048, None] ^ add) * odd
+        least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=0))
+    return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, fp, sig) of every whole text; sig is null for texts without words, which are near no other."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [_hashes_of(t.as_py(), shingle) for t in batch.column(1)]
+        bits = [np.packbits((votes_of(h) * 2 > len(h)).astype(np.uint8), bitorder="little").view("<i8")[0] for h in found]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64()), pa.array([signature(h) if len(h) else None for h in found], pa.binary())], ["doc_id", "fp", "sig"])
+
+    return arrow_map(docs.select("doc_id", "text"), each, "doc_id bigint, fp bigint, sig binary")
+
+
+def similar_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): a forest over the links of entries (id, sig), one row for each sig."""
+    need = int(np.ceil(POSITIONS * (similarity - MARGIN)))
+    quads = F.array(*[F.struct(F.lit(k).alias("list"), F.hex(F.substring("sig", 4 * k + 1, 4)).alias("at")) for k in range(QUADS)])
+    posted = entries.select("id", F.explode(quads).alias("p")).select("id", "p.list", "p.at")
+    long = posted.groupBy("list", "at").agg(F.count("*").alias("n")).where("n > 1")
+    met = posted.join(long, ["list", "at"]).join(entries, "id").withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK_ROWS)))
+    chunks = written(met.groupBy("list", "at", "chunk").agg(F.sort_array(F.collect_list(F.struct("id", "sig"))).alias("rows")))
+    a, b = chunks.alias("a"), chunks.alias("b")
+    pairs = a.join(b, (F.col("a.list") == F.col("b.list")) & (F.col("a.at") == F.col("b.at")) & (F.col("a.chunk") <= F.col("b.chunk"))).select(F.col("a.rows").alias("a"), F.col("b.rows").alias("b"), (F.col("a.chunk") == F.col("b.chunk")).alias("same"))
+
+    def compared(batches):
+        for batch in batches:
+            out = Forest()
+            for a, b, same in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                x, y = (np.frombuffer(b"".join(r["sig"] for r in side), np.uint8).reshape(len(side), POSITIONS) for side in (a, b))
+                for i, row in enumerate(x):
+                    for j in np.flatnonzero((y[i + 1 :] == row).sum(axis=1) >= need) + i + 1 if same else np.flatnonzero((y == row).sum(axis=1) >= need):
+                        out.join(a[i]["id"], b[j]["id"])
+            if out.up:
+                nodes = list(out.up)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([out.root(n) for n in nodes], pa.int64())], ["u", "v"])
+
+    return pairs.mapInArrow(compared, "u bigint, v bigint")
+
+
+def group(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: float | None = None) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links.
+
+    Links are fingerprints of at most radius bits apart and, with similarity set, texts of about that Jaccard similarity.
+    """
+    of = written(signatures(docs, shingle) if similarity else fingerprints(docs, shingle).withColumn("sig", F.lit(None).cast("binary")))
+    entries = written(of.groupBy("fp", "sig").agg(F.min("doc_id").alias("id")))
+    reps = entries.groupBy("fp").agg(F.min("id").alias("id")).where("id is not null")
+    links = near_pairs(reps, radius)
+    if similarity:
+        sigs = entries.where("id is not null and sig is not null").groupBy("sig").agg(F.min("id").alias("id"))
+        to = lambda firsts, key: entries.where("id is not null").select(key, F.col("id").alias("u")).join(firsts, key).select("u", F.col("id").alias("v")).where("u <> v")
+        links = links.union(to(reps, "fp")).union(to(sigs, "sig")).union(similar_pairs(sigs.select("id", "sig"), similarity))
+    linked = components(links)
+    found = entries.join(linked, entries.id == linked.node, "left").select("fp", "sig", F.coalesce("component", "id").alias("component_id"))
+    return of.join(found, of.fp.eqNullSafe(found.fp) & of.sig.eqNullSafe(found.sig), "left").select("doc_id", of.fp, "component_id")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -276,3 +276,21 @@ def test_pipeline(spark, tmp_path, docs):
     for _, stage in p.STAGES[:4]:
         step = common.written(stage(spark, step, str(tmp_path)))
         assert step.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_similar_groups(spark, monkeypatch):
+    monkeypatch.setattr(simhash_dedup, "CHUNK_ROWS", 3)
+    r = random.Random(9)
+    rows, family = [], {}
+    for k in range(12):
+        base = [f"w{r.randrange(5000)}" for _ in range(300)]
+        for j in range(6):
+            words = list(base)
+            for i in r.sample(range(300), j):
+                words[i] = "edit"
+            family[len(rows)] = k
+            rows.append((len(rows), " ".join(words)))
+    rows += [(1000, ""), (1001, None), (1002, "one"), (1003, "one")]
+    got = {x["doc_id"]: x["component_id"] for x in simhash_dedup.group(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=5, similarity=0.8).collect()}
+    assert all(got[i] == 6 * k for i, k in family.items())
+    assert (got[1000], got[1001], got[1002], got[1003]) == (1000, 1000, 1002, 1002)
