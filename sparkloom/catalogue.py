@@ -146,12 +146,12 @@ _SCORES = f"select doc_id, case when text = '' then 0.0 else {_F} end as f, case
 
 @query(f"select doc_id, round(f, 6) as fluency, round(d, 6) as density, round(e, 6) as education, round(0.3::double * f + 0.3::double * d + 0.4::double * e, 6) as overall from ({_SCORES})")
 def text_quality_scores(spark, sf_dir):
-    return text_of(spark, sf_dir).select("doc_id", *[F.round(v, 6).alias(k) for k, v in T.filter_scores(F.col("text")).items()])
+    return T.with_words(text_of(spark, sf_dir)).select("doc_id", *[F.round(v, 6).alias(k) for k, v in T.filter_scores(F.col("text")).items()])
 
 
 @query(f"select case when 0.3::double * f + 0.3::double * d + 0.4::double * e < 0.5 then 'filtered' else 'success' end as status, count(*) as n from ({_SCORES}) group by 1")
 def quality_gate_counts(spark, sf_dir):
-    return text_of(spark, sf_dir).groupBy(F.when(T.filter_scores(F.col("text"))["overall"] < X.QUALITY_GATE, "filtered").otherwise("success").alias("status")).agg(F.count("*").alias("n"))
+    return T.with_words(text_of(spark, sf_dir)).groupBy(F.when(T.filter_scores(F.col("text"))["overall"] < X.QUALITY_GATE, "filtered").otherwise("success").alias("status")).agg(F.count("*").alias("n"))
 
 
 _S = r"list_filter(list_transform(regexp_split_to_array(text, '[。！？.!?]'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions import fixed as X
@@ -75,13 +75,17 @@ def variety(found: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_distinct(found)), F.size(found)), F.lit(0.0))
 
 
+def with_words(df: DataFrame, text: str = "text") -> DataFrame:
+    """df with its words (_w) and lower-cased words (_lw), split once for all the scores of a row."""
+    return df.withColumn("_w", words(F.col(text))).withColumn("_lw", F.transform("_w", F.lower))
+
+
 def filter_scores(text: Column) -> dict[str, Column]:
-    """Fluency, density, education and the composite of the quality filter."""
-    w = words(text)
+    """Fluency, density, education and the composite of the quality filter; over with_words()."""
+    w, lowered = F.col("_w"), F.col("_lw")
     some = F.size(w) > 0
     fluency = F.lit(0.5) + F.when(text.contains("."), 0.2).otherwise(0.0) + F.when(text.contains(",") | text.contains("，"), 0.1).otherwise(0.0) + F.when(text.rlike(r"\p{Lu}"), 0.1).otherwise(0.0)
     fluency = clamp(F.when(some, fluency * (0.5 + 0.5 * variety(w))).otherwise(fluency))
-    lowered = F.transform(w, F.lower)
     mean = F.try_divide(F.length(F.array_join(w, "")), F.size(w))
     density = F.when(some, 0.6 * variety(lowered) + 0.4 * F.least(mean / 10, F.lit(1.0))).otherwise(0.0)
     low = F.lower(text)
@@ -93,13 +97,12 @@ def filter_scores(text: Column) -> dict[str, Column]:
 
 
 def scorer_scores(text: Column) -> dict[str, Column]:
-    """The five dimensions of the quality scorer and their mean; all 0 for an empty text."""
-    low, w = F.lower(text), words(text)
+    """The five dimensions of the quality scorer and their mean; all 0 for an empty text; over with_words()."""
+    low, w, lowered = F.lower(text), F.col("_w"), F.col("_lw")
     sentences = F.filter(F.transform(F.split(text, X.SENTENCE_ENDS), strip), lambda s: s != "")
     mean = F.try_divide(F.length(F.array_join(sentences, "")), F.size(sentences))
     fluency = F.when(mean < 5, 0.7).otherwise(1.0) * F.when(text.rlike(X.SENTENCE_ENDS), 1.0).otherwise(0.8) * F.when(F.size(w) > 0, 0.5 + 0.5 * variety(w)).otherwise(1.0)
     fluency = F.when(F.size(sentences) > 0, fluency).otherwise(0.0)
-    lowered = F.transform(w, F.lower)
     content = F.coalesce(F.try_divide(F.size(F.filter(lowered, lambda x: ~x.isin(X.STOPWORDS))), F.size(w)), F.lit(0.0))
     out = {
         "fluency": fluency,

@@ -11,7 +11,7 @@ from sparkloom.functions import text as T
 
 def quality(docs: DataFrame) -> DataFrame:
     scores = T.scorer_scores(F.col("text"))
-    out = docs.select("doc_id", *[v.alias(k) for k, v in scores.items()])
+    out = T.with_words(docs).select("doc_id", *[v.alias(k) for k, v in scores.items()])
     return out.withColumn("label_status", F.when(F.col("overall") >= X.SCORER_PASS, "completed").otherwise("needs_review"))
 
 

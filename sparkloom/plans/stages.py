@@ -68,7 +68,7 @@ def default_pipeline() -> CleaningPipeline:
         return df.withColumns({"text": U.anonymize("replace")(F.col("text")), "status": F.lit("success")})
 
     def quality(df: DataFrame) -> DataFrame:
-        return df.withColumn("status", F.when(T.filter_scores(F.col("text"))["overall"] >= 0.5, "success").otherwise("filtered"))
+        return T.with_words(df).withColumn("status", F.when(T.filter_scores(F.col("text"))["overall"] >= 0.5, "success").otherwise("filtered")).drop("_w", "_lw")
 
     def toxic(df: DataFrame) -> DataFrame:
         return df.withColumn("status", F.when(T.toxicity(F.col("text"))["is_toxic"], "filtered").otherwise("success"))
