@@ -105,9 +105,12 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, fp, sig) of every whole text; sig is null for texts without words, which are near no other."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [_hashes_of(t.as_py(), shingle) for t in batch.column(1)]
-        bits = [np.packbits((votes_of(h) * 2 > len(h)).astype(np.uint8), bitorder="little").view("<i8")[0] for h in found]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64()), pa.array([signature(h) if len(h) else None for h in found], pa.binary())], ["doc_id", "fp", "sig"])
+        bits, sigs = [], []
+        for text in batch.column(1):  # one text's hashes at a time
+            h = _hashes_of(text.as_py(), shingle)
+            bits.append(np.packbits((votes_of(h) * 2 > len(h)).astype(np.uint8), bitorder="little").view("<i8")[0])
+            sigs.append(signature(h) if len(h) else None)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64()), pa.array(sigs, pa.binary())], ["doc_id", "fp", "sig"])
 
     return arrow_map(docs.select("doc_id", "text"), each, "doc_id bigint, fp bigint, sig binary")
 

@@ -31,7 +31,7 @@ from sparkloom.llm.common import arrow_map, ship, written
 
 LENGTH = 400
 #: Symbols that a shard should hold, and the number of distinct names above which a recursive level is ranked by doubling.
-SHARD_SYMBOLS, MOST_NAMES = 1_500_000, 20_000
+SHARD_SYMBOLS, MOST_NAMES = 500_000, 20_000
 
 
 def _ranked(s: np.ndarray) -> np.ndarray:
