@@ -28,7 +28,7 @@ _STRETCH = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 #: Bounds of a worker's memory, in entries; reaching one only costs repeated work.
-MAX_CACHED_WORDS, MAX_CACHED_PAIRS, MAX_TRIE_WORDS, MAX_GROUP_CHARS = 400_000, 1_000_000, 20_000, 1_000_000
+MAX_CACHED_WORDS, MAX_CACHED_PAIRS, MAX_TRIE_WORDS, MAX_GROUP_CHARS = 1_000_000, 1_000_000, 20_000, 1_000_000
 
 
 class TrieBPE:
@@ -61,6 +61,7 @@ class TrieBPE:
         self.fits_after: dict[tuple[int, int], bool] = {}
         self.words: dict[str, str] = {}  # a pre-tokenizer's word -> its ids, joined by commas
         self.stretches: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}  # a stretch's ids -> its bytes
 
     def fits(self, a: int, b: int) -> bool:
         """Whether token b can stand right after token a: undo the later merge at the border, again and again."""
@@ -144,27 +145,38 @@ class TrieBPE:
         for s, ws in cut.items():
             self.stretches[s] = ",".join(map(self.words.__getitem__, ws))
 
-    def encode_many(self, texts: list[str]) -> list[str]:
-        """Ids of each whole text, in decimal, joined by commas. Words new to the worker go into one trie together."""
-        cut = []
+    def encode_many(self, texts: list[str]) -> list[list[str]]:
+        """Ids of each whole text, as pieces in decimal, joined by commas. Words new to the worker go into one trie together."""
+        cut, all_of = [], set()
         for text in texts:
-            parts = self.cut.split(text) if self.cut else [text]
-            cut.append([part if part in self.special else [part] if _OTHER_SPACE.search(part) else _STRETCH.findall(part) for part in parts if part])
-        all_of = {s for parts in cut for part in parts if isinstance(part, list) for s in part}
-        new = [s for s in all_of if s not in self.stretches]
+            parts = [(part, None if part in self.special else [part] if _OTHER_SPACE.search(part) else _STRETCH.findall(part)) for part in (self.cut.split(text) if self.cut else [text]) if part]
+            cut.append(parts)
+            for _, stretches in parts:
+                if stretches:
+                    all_of.update(stretches)
+        new = list(all_of.difference(self.stretches))
         if len(self.stretches) + len(new) > MAX_CACHED_WORDS:
             self.stretches.clear()
+            self.decoded.clear()
             new = list(all_of)
         self._learn(new)
         known = self.stretches.__getitem__
-        return [",".join([",".join(map(known, part)) if isinstance(part, list) else str(self.special[part]) for part in parts]) for parts in cut]
+        return [[piece for part, stretches in parts for piece in ([str(self.special[part])] if stretches is None else map(known, stretches))] if len(parts) > 1 else list(map(known, parts[0][1])) if parts and parts[0][1] else [str(self.special[p]) for p, _ in parts] for parts in cut]
 
     def encode(self, text: str) -> str:
-        return self.encode_many([text])[0]
+        return ",".join(self.encode_many([text])[0])
 
-    def decode(self, ids: str) -> str:
-        """Text of ids in decimal, joined by commas; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.bytes_of.__getitem__, ids.split(","))).decode("utf-8", "replace") if ids else ""
+    def decode(self, pieces: list[str]) -> str:
+        """Text of pieces of ids in decimal, joined by commas; bytes that are no UTF-8 become U+FFFD. A piece is decoded once."""
+        try:
+            data = b"".join(map(self.decoded.__getitem__, pieces))
+        except KeyError:
+            if len(self.decoded) > MAX_CACHED_WORDS:
+                self.decoded.clear()
+            for piece in set(pieces).difference(self.decoded):
+                self.decoded[piece] = b"".join(map(self.bytes_of.__getitem__, piece.split(",")))
+            data = b"".join(map(self.decoded.__getitem__, pieces))
+        return data.decode("utf-8", "replace")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -181,15 +193,15 @@ def coder(path: str) -> TrieBPE:
 
 
 def _encoded(bpe: TrieBPE, texts: pa.Array):
-    """(ids, text) of each text in turn, encoded a few million characters at a time."""
+    """Pieces of ids of each text in turn, encoded a few million characters at a time."""
     group, size = [], 0
     for text in texts:
         group.append(text.as_py() or "")
         size += len(group[-1])
         if size > MAX_GROUP_CHARS:
-            yield from zip(bpe.encode_many(group), group)
+            yield from bpe.encode_many(group)
             group, size = [], 0
-    yield from zip(bpe.encode_many(group), group)
+    yield from bpe.encode_many(group)
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -197,7 +209,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id"
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = coder(vocabulary)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids for ids, _ in _encoded(bpe, batch.column(1))], pa.string())], [id_column, "ids"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([",".join(pieces) for pieces in _encoded(bpe, batch.column(1))], pa.string())], [id_column, "ids"])
 
     return arrow_map(docs.select(id_column, text_column), each, f"{id_column} {docs.schema[id_column].dataType.simpleString()}, ids string")
 
@@ -211,10 +223,11 @@ def round_trip_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe, n, of_ids, of_text = coder(vocabulary), [], [], []
-        for ids, _ in _encoded(bpe, batch.column(1)):
+        for pieces in _encoded(bpe, batch.column(1)):
+            ids = ",".join(pieces)
             n.append(ids.count(",") + 1 if ids else 0)
             of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
-            of_text.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+            of_text.append(hashlib.sha256(bpe.decode(pieces).encode()).hexdigest())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return arrow_map(docs.select("doc_id", "text"), each, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
