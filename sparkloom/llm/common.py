@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: A word: a run of bytes that are no ASCII white space (``bytes.split`` cuts at the same six bytes).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+#: Rows of a record batch that are Python objects at one time.
+SLICE_ROWS = 1000
+
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -75,13 +78,15 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Map record batches, one at a time; a result of None adds nothing."""
+    """Map record batches, SLICE_ROWS rows at a time; a result of None adds nothing."""
     ship(df.sparkSession)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := each(batch)) is not None:
-                yield out
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                if (out := each(batch.slice(at, SLICE_ROWS))) is not None:
+                    yield out
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(over, schema)
 

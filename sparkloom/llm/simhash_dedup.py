@@ -115,6 +115,12 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
     return arrow_map(docs.select("doc_id", "text"), each, "doc_id bigint, fp bigint, sig binary")
 
 
+def _chunk(rows: pa.StructArray) -> tuple[list[int], np.ndarray]:
+    """Ids of a chunk's texts and their signatures as a matrix."""
+    sigs = b"".join(s.as_py() for s in rows.field("sig"))
+    return rows.field("id").to_pylist(), np.frombuffer(sigs, np.uint8).reshape(-1, POSITIONS)
+
+
 def similar_pairs(entries: DataFrame, similarity: float) -> DataFrame:
     """(u, v): a forest over the links of entries (id, sig), one row for each sig."""
     need = int(np.ceil(POSITIONS * (similarity - MARGIN)))
@@ -129,11 +135,12 @@ def similar_pairs(entries: DataFrame, similarity: float) -> DataFrame:
     def compared(batches):
         for batch in batches:
             out = Forest()
-            for a, b, same in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                x, y = (np.frombuffer(b"".join(r["sig"] for r in side), np.uint8).reshape(len(side), POSITIONS) for side in (a, b))
+            for a, b, same in zip(*batch.columns):  # one pair of chunks at a time
+                (u, x), (v, y) = (_chunk(side.values) for side in (a, b))
                 for i, row in enumerate(x):
-                    for j in np.flatnonzero((y[i + 1 :] == row).sum(axis=1) >= need) + i + 1 if same else np.flatnonzero((y == row).sum(axis=1) >= need):
-                        out.join(a[i]["id"], b[j]["id"])
+                    after = i + 1 if same.as_py() else 0
+                    for j in np.flatnonzero((y[after:] == row).sum(axis=1) >= need) + after:
+                        out.join(u[i], v[j])
             if out.up:
                 nodes = list(out.up)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([out.root(n) for n in nodes], pa.int64())], ["u", "v"])

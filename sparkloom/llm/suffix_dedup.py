@@ -190,9 +190,9 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def sides(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for text, all_of in zip(batch.column(0), batch.column(1).to_pylist()):
+        for text, all_of in zip(batch.column(0), batch.column(1)):
             data = text.as_py().encode("utf-8", "surrogatepass")
-            for v in all_of:
+            for v in all_of.as_py():
                 begin, core, end = v["start"], v["start"] + v["lead"], v["start"] + v["size"]
                 out.append((v["core"], v["content"], v["count"], v["size"], data[begin:core], data[core + length - width : end]))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
