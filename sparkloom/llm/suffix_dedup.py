@@ -48,18 +48,27 @@ def _ranked(s: np.ndarray) -> np.ndarray:
         step *= 2
 
 
+def _dense(s: np.ndarray) -> np.ndarray:
+    """The symbols numbered from 0 in their order, by counting where they are not far apart."""
+    low = s - s.min()
+    if low.max() > 8 * len(s) + 1000:
+        return np.unique(s, return_inverse=True)[1].astype(np.int32)
+    return (np.cumsum(np.bincount(low) > 0) - 1).astype(np.int32)[low]
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffix array of integers whose last one is smaller than all others, by induced sorting."""
+    """Suffix array (32 bits a place) of integers whose last one is smaller than all others, by induced sorting."""
     n = len(s)
     if n < 3:
-        return np.argsort(s, kind="stable")
-    s = np.unique(s, return_inverse=True)[1].astype(np.int64)
+        return np.argsort(s, kind="stable").astype(np.int32)
+    s = _dense(s)
     sizes = np.bincount(s)
     tails = np.cumsum(sizes)
     heads = tails - sizes
-    turn = np.minimum.accumulate(np.where(s[:-1] != s[1:], np.arange(n - 1), n)[::-1])[::-1]
+    turn = np.minimum.accumulate(np.where(s[:-1] != s[1:], np.arange(n - 1, dtype=np.int32), np.int32(n))[::-1])[::-1]
     smaller = np.append(s[turn] < s[turn + 1], True)  # S-type
-    lms = np.flatnonzero(smaller & ~np.append(True, smaller[:-1]))
+    del turn
+    lms = np.flatnonzero(smaller & ~np.append(True, smaller[:-1])).astype(np.int32)
 
     def put(out: np.ndarray, at: np.ndarray, items: np.ndarray, sign: int) -> None:
         """Append items to the buckets of their first symbols, upwards from the heads or downwards from the tails."""
@@ -73,7 +82,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         at[symbols[fresh]] += sign * counts
 
     def induce(sorted_lms: np.ndarray) -> np.ndarray:
-        out, low, high = np.full(n, -1, np.int64), heads.copy(), tails.copy()
+        out, low, high = np.full(n, -1, np.int32), heads.copy(), tails.copy()
         put(out, high, sorted_lms[::-1], -1)
         starts = high.copy()
         for c in range(len(sizes)):
@@ -104,7 +113,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = first[is_lms[first]]
-    end = np.zeros(n, np.int64)
+    del first, is_lms
+    end = np.zeros(n, np.int32)
     end[lms[:-1]], end[lms[-1]] = lms[1:], n - 1
     a, b = order[:-1], order[1:]
     same = end[a] - a == end[b] - b
@@ -112,11 +122,12 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     lengths = (end[a] - a + 1)[same]
     if len(lengths):
         begin = np.cumsum(lengths) - lengths
-        step = np.arange(lengths.sum()) - np.repeat(begin, lengths)
+        step = np.arange(lengths.sum(), dtype=np.int32) - np.repeat(begin.astype(np.int32), lengths)
         same[same] = np.logical_and.reduceat(s[np.repeat(a[same], lengths) + step] == s[np.repeat(b[same], lengths) + step], begin)
-    names = np.zeros(n, np.int64)
+    names = np.zeros(n, np.int32)
     names[order] = np.append(0, np.cumsum(~same))
     named = names[lms]
+    del names, end, a, b, same, lengths
     kinds = int(named.max()) + 1
     if kinds < len(lms):
         order = lms[suffix_array(named) if kinds <= MOST_NAMES else _ranked(named)]
@@ -126,13 +137,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
 def common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
     """For each place, the length its suffix shares with the suffix before it in the array (permuted common prefixes)."""
     n = len(s)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    i = np.arange(n)
+    i = np.arange(n, dtype=np.int32)
     own = (i == 0) | (before <= 0)
     own[1:] |= s[i[1:] - 1] != s[before[1:] - 1]
     at = np.flatnonzero(own)
-    length = np.zeros(n, np.int64)
+    length = np.zeros(n, np.int32)
     live = at[before[at] >= 0]
     while len(live):
         x, y = live + length[live], before[live] + length[live]
@@ -150,9 +161,10 @@ def repeated(group: pd.DataFrame, length: int) -> pd.DataFrame:
     parts, at, places = [], 0, []
     for core, before, after in zip(group["core"], group["before"], group["after"]):
         places.append(at)
-        parts += [np.frombuffer(before, np.uint8).astype(np.int64) + 2, np.array([number[core]]), np.frombuffer(after, np.uint8).astype(np.int64) + 2, np.array([1])]
+        parts += [np.frombuffer(before, np.uint8).astype(np.int32) + 2, np.array([number[core]], np.int32), np.frombuffer(after, np.uint8).astype(np.int32) + 2, np.array([1], np.int32)]
         at += len(before) + len(after) + 2
-    s = np.concatenate([*parts, np.array([0])])
+    s = np.concatenate([*parts, np.array([0], np.int32)])
+    del parts
     order = suffix_array(s)
     shared = common_prefixes(s, order)
     longest = shared.copy()
