@@ -46,12 +46,13 @@ def _sql_any(column: str, patterns: list[str], options: str) -> str:
 
 STRIPPED = r"length(regexp_replace(text, '^\s+|\s+$', '', 'g'))"
 SQL_WORDS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
-SQL_REASON = f"case when coalesce(text, '') = '' then 'empty_text' when {STRIPPED} < 50 or length(text) > 100000 then 'validation_failed' when length(regexp_replace(text, '[^一-鿿]', '', 'g')) / length(text) > 0.1 and false then 'language_filtered' when length(text) < 50 then 'length_filtered' end"
+SQL_REASON = f"case when coalesce(text, '') = '' then 'empty_text' when {STRIPPED} < 50 or length(text) > 100000 then 'validation_failed' when length(text) < 50 then 'length_filtered' end"
 
 
 # --- cleaning ------------------------------------------------------------------------------------------------------
 @query(f"select case when reason is null then 'success' else 'filtered' end as status, coalesce(reason, 'none') as reason, count(*) as n from (select {SQL_REASON} as reason from documents) group by 1, 2")
 def clean_status_counts(spark, sf_dir):
+    """Outcome of the cleaner's rules on the raw texts (both languages it knows are allowed); text_clean also rewrites them."""
     return clean.statuses(text_of(spark, sf_dir)).groupBy("status", F.coalesce("reason", F.lit("none")).alias("reason")).agg(F.count("*").alias("n"))
 
 
