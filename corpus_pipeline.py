@@ -35,8 +35,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that strings repeated over 400 bytes cover."""
-    return suffix_dedup.keep(docs)
+    """Documents without the bytes that repeated strings of over 50 words, or of 400 bytes and more, cover."""
+    return suffix_dedup.keep(docs, words=51)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ depends on the window's bytes alone; equal windows have equal anchors at equal o
 into three classes of equal width; all windows of an anchor and class cover the same core, ``length`` less one width.
 Consecutive windows with one anchor and class make a stretch: at most a width, the core, at most a width. Equal windows
 are in stretches with equal cores, so the core's hash says where to look for them.
+
+Windows of words have anchors in the same way: the run of GRAM_WORDS words of smallest hash.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import xxhash
 
 from sparkloom.llm.fingerprints import mix
 
-GRAM = 16
+GRAM, GRAM_WORDS = 16, 16
 CHUNK = 1 << 19
 _PLACE_BITS = np.uint64(20)
 
@@ -25,6 +27,53 @@ def width_of(length: int) -> int:
     return (length - GRAM) // 3
 
 
+def _leftmost_least(grams: np.ndarray, wide: int) -> np.ndarray:
+    """The place of the smallest of each wide neighbours, the leftmost of equals; at most 2 ** 20 grams."""
+    windows = len(grams) - wide + 1
+    least = ((grams >> _PLACE_BITS) << _PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
+    span = 1
+    while 2 * span <= wide:
+        least = np.minimum(least[: len(least) - span], least[span:])
+        span *= 2
+    least = np.minimum(least[:windows], least[wide - span : wide - span + windows])
+    return (least & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of each word as it is written."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes at which each word begins and ends."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    inside = np.concatenate([[False], (data != 32) & ((data < 9) | (data > 13)), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def _runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each k neighbours, in their order."""
+    if k == 1:
+        return mix(hashes)
+    half, n = _runs_of(hashes, k // 2), len(hashes) - k + 1
+    out = mix(half[:n]) + half[k // 2 : k // 2 + n]
+    return mix(mix(out) + hashes[k - 1 :] if k % 2 else out)
+
+
+def anchored_windows(hashes: np.ndarray, words: int, whole: bool = False):
+    """(place of the anchor, hash of the anchor, hash of the window if whole) of every window of so many words."""
+    if words <= GRAM_WORDS:
+        raise ValueError(f"a window must have over {GRAM_WORDS} words")
+    if len(hashes) < words:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    wide, grams = words - GRAM_WORDS + 1, _runs_of(hashes, GRAM_WORDS)
+    windows = len(hashes) - words + 1
+    place = np.concatenate([_leftmost_least(grams[at : at + min(CHUNK, windows - at) + wide - 1], wide) + at for at in range(0, windows, CHUNK)])
+    return place, grams[place], _runs_of(hashes, words) if whole else None
+
+
 def stretches(data: bytes, length: int):
     """(start, size, bytes before the core, hash of the core, hash of the stretch) arrays over all windows of data."""
     n, wide, width = len(data), length - GRAM + 1, width_of(length)
@@ -35,13 +84,7 @@ def stretches(data: bytes, length: int):
         m = len(part) - GRAM + 1
         words = np.ndarray((len(part) - 7,), "<u8", part, strides=(1,))
         grams = mix(mix(words[:m]) + words[8 : 8 + m])
-        least = ((grams >> _PLACE_BITS) << _PLACE_BITS) | np.arange(m, dtype=np.uint64)
-        span = 1
-        while 2 * span <= wide:
-            least = np.minimum(least[: len(least) - span], least[span:])
-            span *= 2
-        least = np.minimum(least[:windows], least[wide - span : wide - span + windows])
-        place = (least & np.uint64((1 << 20) - 1)).astype(np.int64)
+        place = _leftmost_least(grams, wide)
         kind = np.minimum((place - np.arange(windows)) // width, 2)
         first = np.flatnonzero(np.diff(place * 4 + kind, prepend=-1))
         last = np.append(first[1:], windows)

@@ -11,6 +11,9 @@
    window's whole length with a neighbour in the array, or if its stretch occurs twice.
 3. Repeated windows go back to their documents, whose bytes they cover are removed.
 
+With ``words`` set, every string of that many words that occurs twice is removed as well, however few bytes it has: see
+passages. 400 bytes are about 62 words of English, so they alone leave repeated passages of 51 words in the text.
+
 Null texts count as empty: nothing removed, digest of no bytes. Texts are told apart by their place in the input, so
 rows may repeat ids or have none. The input must give the same rows in the same order when read again (a table or a
 checkpoint). Texts shorter than the length are never touched. Removed runs may cut a character: see ``kept_text``.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.anchors import stretches, width_of
+from sparkloom.llm.anchors import anchored_windows, stretches, width_of, word_hashes, word_places
 from sparkloom.llm.common import arrow_map, ship, written
 
 LENGTH = 400
@@ -180,7 +183,45 @@ def repeated(group: pd.DataFrame, length: int) -> pd.DataFrame:
     return pd.DataFrame({"core": group["core"], "content": group["content"], "runs": runs})
 
 
-def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def passages(docs: DataFrame, words: int) -> DataFrame:
+    """(row, r): the byte range [from, to] of every string of so many words that occurs twice, in one text or in two.
+
+    White space between words does not count. Equal strings have equal anchors (see anchored_windows), so only strings
+    whose anchor occurs twice are hashed as a whole and counted. Counts are tables, so that Spark can split a join at a
+    passage that very many rows have.
+    """
+
+    def anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for t in batch.column(1):
+            place, gram, _ = anchored_windows(word_hashes(t.as_py()), words)
+            found.append(gram[np.flatnonzero(np.diff(place, prepend=-1))])
+        rows = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(np.concatenate(found).view(np.int64))], ["row", "anchor"])
+
+    docs = docs.where(F.octet_length("text") >= 2 * words - 1).select("row", "text")
+    parts = written(arrow_map(docs, anchors, "row bigint, anchor bigint"))
+    again = written(parts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    wanted = parts.join(again, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+
+    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [[np.zeros(0, np.int64)] for _ in range(4)]
+        for row, text, some in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            text = text.as_py()
+            _, gram, content = anchored_windows(word_hashes(text), words, whole=True)
+            at = np.flatnonzero(np.isin(gram, some.values.to_numpy().view(np.uint64)))
+            begin, end = word_places(text)
+            for column, x in zip(out, (np.full(len(at), row), begin[at], end[at + words - 1], content[at].view(np.int64))):
+                column.append(x)
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(out, kinds)], ["row", "begin", "end", "content"])
+
+    all_of = written(arrow_map(docs.join(wanted, "row").select("row", "text", "anchors"), windows, "row bigint, begin int, end int, content bigint"))
+    twice = written(all_of.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select("content"))
+    return all_of.join(twice, "content").select("row", F.array("begin", "end").alias("r"))
+
+
+def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """(row, spans): byte ranges [from, to, from, to, ...] to remove, sorted and apart, of rows that have any.
 
     docs: (row, text) with row the place in the input.
@@ -218,7 +259,8 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = hits.where("alike").select("row", F.array("start", F.col("start") + F.col("size")).alias("r"))
     mixed = hits.where("not alike").join(runs, ["core", "content"])
     some = mixed.select("row", F.transform("runs", lambda x, i: F.when(i % 2 == 0, x + F.col("start")).otherwise(x + F.col("start") + length)).alias("r"))
-    gathered = whole.union(some).groupBy("row").agg(F.flatten(F.collect_list("r")).alias("r"))
+    ranges = whole.union(some).union(passages(docs, words)) if words else whole.union(some)
+    gathered = ranges.groupBy("row").agg(F.flatten(F.collect_list("r")).alias("r"))
 
     def merged(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -246,10 +288,10 @@ def kept_text(text: str | None, removed) -> str:
     return kept_bytes(text, removed).decode("utf-8", "ignore")
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def with_spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """docs, all columns, with ``removed_spans`` (null where nothing is removed)."""
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = spans(rows.select(F.col("_row").alias("row"), "text"), length)
+    found = spans(rows.select(F.col("_row").alias("row"), "text"), length, words)
     return rows.join(found.withColumnRenamed("row", "_row").withColumnRenamed("spans", "removed_spans"), "_row", "left").drop("_row")
 
 
@@ -268,8 +310,8 @@ def query(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return arrow_map(with_spans(docs.select("doc_id", "text"), length).select("doc_id", "text", "removed_spans"), each, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def keep(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents, all columns, with repeated bytes removed from text (null stays null) and n_chars, if there, counted anew."""
+def keep(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """The documents, all columns, with repeated bytes (and strings of so many words) removed from text (null stays null) and n_chars, if there, counted anew."""
     names = docs.columns
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -280,5 +322,5 @@ def keep(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names)
 
     out = docs.sparkSession.createDataFrame([], docs.schema).schema
-    changed = arrow_map(with_spans(docs, length).select(*names, "removed_spans"), each, out)
+    changed = arrow_map(with_spans(docs, length, words).select(*names, "removed_spans"), each, out)
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*names) if "n_chars" in names else changed

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -76,3 +77,29 @@ def test_keep_with_more_columns(spark):
     rows = sd.keep(docs).orderBy("row").collect()
     assert [r["row"] for r in rows] == [7, 8, 9] and rows[2]["text"] is None
     assert [r["text"] for r in rows[:2]] == ["", "aé"[: len(rows[1]["text"])]] and rows[0]["n_chars"] == 0
+
+
+def test_passages_of_over_50_words(spark):
+    import corpus_pipeline
+
+    r = random.Random(8)
+    words = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7))) for _ in range(n))
+    p, short, tiny, unspaced = words(51), words(50), " ".join(r.choice("abcdefghij") for _ in range(51)), "".join(r.choice("abcdefghij") for _ in range(400))
+    parts = [words(30), words(30)]
+    assert 280 < len(p) < 350 and len(tiny) == 101
+    texts = [(words(80), p, words(80)), ("", p.replace(" ", "\n"), words(9)), (words(80), short, words(80)), (words(9), short, ""), (words(3), tiny, "é"), ("é", tiny, words(60)), ("1 ", unspaced, " 2"), ("3 ", unspaced, " 4")]
+    texts += [(words(5), " ".join(parts), words(5)), (words(5), parts[0], words(5)), (words(5), parts[1], words(5))]  # repeated halves are no passage
+    docs = spark.createDataFrame([(i, " ".join(t), "en", 0) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, n_chars bigint")
+    got = {x["doc_id"]: x["text"] for x in corpus_pipeline.passage_stage(spark, docs, "").collect()}
+    left = [(a, "" if b.split() in (p.split(), tiny.split(), [unspaced]) else b, c) for a, b, c in texts]
+    assert ["".join(got[i].split()) for i in range(len(texts))] == ["".join(" ".join(x).split()) for x in left]
+
+
+def test_passages_against_brute_force(spark):
+    r = random.Random(7)
+    pieces = [[r.choice("abcdefgh") for _ in range(r.randint(10, 40))] for _ in range(8)]
+    texts = [[w for _ in range(r.randint(0, 4)) for w in (r.choice(pieces) if r.random() < 0.5 else [r.choice("abcdefgh") for _ in range(20)])] for _ in range(60)]
+    seen = Counter(tuple(t[i : i + 20]) for t in texts for i in range(len(t) - 19))
+    want = {(k, 2 * i, 2 * i + 39) for k, t in enumerate(texts) for i in range(len(t) - 19) if seen[tuple(t[i : i + 20])] > 1}
+    rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "row bigint, text string")
+    assert want and {(x["row"], *x["r"]) for x in sd.passages(rows, 20).collect()} == want
