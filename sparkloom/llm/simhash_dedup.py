@@ -7,11 +7,14 @@ table. Fingerprints that meet in a list are tallied (how many positional bytes a
 the rest are verified by their differing bits; a pair that meets in several lists counts in the first alone.
 
 A link of 3 bits needs texts that are all but equal: at a Jaccard similarity of 0.8 of the shingles about 10 of 64 bits
-differ. With ``similarity`` set, texts also link by a signature of POSITIONS bytes, each the last byte of a min-wise
-hash, of which a pair shares about the similarity's share. The index is the same: a text is posted under QUADS groups of
-four positional bytes, texts that meet in a list are tallied over all positions and kept if they share at least the
-share of similarity - MARGIN. Lists are compared in chunks of at most about CHUNK_ROWS texts, chunk with chunk, and each comparison sends
-back a spanning forest, so a list of any size is neither gathered nor expanded into its pairs.
+differ. With ``similarity`` set, candidates are texts linked by fingerprints or by a signature of POSITIONS bytes, each
+the last byte of a min-wise hash, of which a pair shares about the similarity's share. The index is the same: a text is
+posted under QUADS groups of four positional bytes, texts that meet in a list are tallied over all positions and are
+candidates if they share at least the share of similarity - MARGIN. A pair at exactly 0.8 shares 102 of 128 bytes give or
+take 4.5 and needs 80; it meets in no list once in 10 million times. Then the components of candidates are
+compared inside, and pairs link by the exact similarity of their shingles alone. Lists and components are compared in
+chunks of at most about CHUNK_ROWS texts, chunk with chunk, and each comparison sends back a spanning forest, so a list
+of any size is neither gathered nor expanded into its pairs.
 
 Copies are one entry: the index holds distinct fingerprints. Nulls and texts without words have fingerprint zero and
 link like any other. Rows that repeat a doc_id share its component; a null doc_id is no member of a component and gets
@@ -33,7 +36,7 @@ from sparkloom.llm.components import Forest, components
 SEED = 42
 TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 CHUNK = 1 << 16
-POSITIONS, QUADS, MARGIN, CHUNK_ROWS = 128, 20, 0.06, 1000
+POSITIONS, QUADS, MARGIN, CHUNK_ROWS, CHUNK_BYTES = 128, 32, 0.18, 1000, 8_000_000
 
 
 def votes_of(hashes: np.ndarray) -> np.ndarray:
@@ -102,17 +105,22 @@ def signature(hashes: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp, sig) of every whole text; sig is null for texts without words, which are near no other."""
+    """(row, doc_id, fp, sig, grams) of every whole text of docs (row, doc_id, text).
+
+    grams is a digest of the set of shingles; sig is null for texts without words, which are near no other.
+    """
+    import xxhash
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bits, sigs = [], []
-        for text in batch.column(1):  # one text's hashes at a time
+        bits, sigs, sets = [], [], []
+        for text in batch.column(2):  # one text's hashes at a time
             h = _hashes_of(text.as_py(), shingle)
             bits.append(np.packbits((votes_of(h) * 2 > len(h)).astype(np.uint8), bitorder="little").view("<i8")[0])
             sigs.append(signature(h) if len(h) else None)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64()), pa.array(sigs, pa.binary())], ["doc_id", "fp", "sig"])
+            sets.append(xxhash.xxh3_128_digest(np.unique(h).tobytes()))
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bits, pa.int64()), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], ["row", "doc_id", "fp", "sig", "grams"])
 
-    return arrow_map(docs.select("doc_id", "text"), each, "doc_id bigint, fp bigint, sig binary")
+    return arrow_map(docs.select("row", "doc_id", "text"), each, "row bigint, doc_id bigint, fp bigint, sig binary, grams binary")
 
 
 def _chunk(rows: pa.StructArray) -> tuple[list[int], np.ndarray]:
@@ -148,22 +156,85 @@ def similar_pairs(entries: DataFrame, similarity: float) -> DataFrame:
     return pairs.mapInArrow(compared, "u bigint, v bigint")
 
 
+def _grams_of(text: str | None, shingle: int) -> bytes:
+    """The set of a text's shingles: their hashes, sorted."""
+    return np.unique(_hashes_of(text, shingle)).tobytes()
+
+
+def is_similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sets, each sorted, reaches the given one."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) - 1e-9:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
+
+
+def verified_pairs(rows: DataFrame, entries: DataFrame, linked: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(u, v): a forest over the pairs of entries (id, sig) in one component of linked whose shingles are similar.
+
+    rows: (row, text), where an entry's id is the row of its text. Only texts of candidate components travel.
+    """
+    need = int(np.ceil(POSITIONS * (similarity - MARGIN)))
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        grams = pa.array([_grams_of(t.as_py(), shingle) for t in batch.column(3)], pa.binary())
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], grams], ["component", "id", "sig", "grams"])
+
+    members = entries.where("sig is not null").select("id", "sig").join(linked, F.col("id") == F.col("node")).join(rows, F.col("id") == F.col("row"))
+    sets = written(arrow_map(members.select("component", "id", "sig", "text"), each, "component bigint, id bigint, sig binary, grams binary"))
+    sizes = sets.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("grams").cast("bigint")).alias("bytes")).where("n > 1")
+    count = F.ceil(F.greatest(F.col("n") / CHUNK_ROWS, F.col("bytes") / CHUNK_BYTES))
+    chunks = written(sets.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("id"), count)).groupBy("component", "chunk").agg(F.sort_array(F.collect_list(F.struct("id", "sig", "grams"))).alias("rows")))
+    a, b = chunks.alias("a"), chunks.alias("b")
+    pairs = a.join(b, (F.col("a.component") == F.col("b.component")) & (F.col("a.chunk") <= F.col("b.chunk"))).select(F.col("a.rows").alias("a"), F.col("b.rows").alias("b"), (F.col("a.chunk") == F.col("b.chunk")).alias("same"))
+
+    def compared(batches):
+        for batch in batches:
+            out = Forest()
+            for a, b, same in zip(*batch.columns):  # one pair of chunks at a time
+                (u, x), (v, y) = (_chunk(side.values) for side in (a, b))
+                g, h = ([np.frombuffer(s.as_py(), np.uint64) for s in side.values.field("grams")] for side in (a, b))
+                for i, row in enumerate(x):
+                    after = i + 1 if same.as_py() else 0
+                    for j in np.flatnonzero((y[after:] == row).sum(axis=1) >= need) + after:
+                        if out.root(u[i]) != out.root(v[j]) and is_similar(g[i], h[j], similarity):
+                            out.join(u[i], v[j])
+            if out.up:
+                nodes = list(out.up)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([out.root(n) for n in nodes], pa.int64())], ["u", "v"])
+
+    return pairs.mapInArrow(compared, "u bigint, v bigint")
+
+
+def _similar_groups(docs: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
+    """group() by similarity: texts with equal shingles and fingerprint are one entry, named by one of its rows."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    of = written(signatures(rows, shingle))
+    entries = written(of.groupBy("fp", "grams").agg(F.first("sig").alias("sig"), F.min("row").alias("id"), F.min("doc_id").alias("least")))
+    named = entries.where("least is not null")
+    reps = named.groupBy("fp").agg(F.min("id").alias("id"))
+    sigs = named.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id"))
+    to = lambda firsts, key: named.select(key, F.col("id").alias("u")).join(firsts, key).select("u", F.col("id").alias("v")).where("u <> v")
+    links = near_pairs(reps, radius).union(to(reps, "fp")).union(to(sigs, "sig")).union(similar_pairs(sigs.select("id", "sig"), similarity))
+    linked = components(verified_pairs(rows.select("row", "text"), named, components(links), shingle, similarity))
+    found = written(entries.join(linked, entries.id == linked.node, "left").select("fp", "grams", "least", F.coalesce("component", "id").alias("top")))
+    least = found.groupBy("top").agg(F.min("least").alias("component_id"))
+    return of.select("doc_id", "fp", "grams").join(found.join(least, "top").select("fp", "grams", "component_id"), ["fp", "grams"]).select("doc_id", "fp", "component_id")
+
+
 def group(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: float | None = None) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links.
 
-    Links are fingerprints of at most radius bits apart and, with similarity set, texts of about that Jaccard similarity.
+    Links are fingerprints of at most radius bits apart or, with similarity set, texts whose shingles have that Jaccard
+    similarity or more.
     """
-    of = written(signatures(docs, shingle) if similarity else fingerprints(docs, shingle).withColumn("sig", F.lit(None).cast("binary")))
-    entries = written(of.groupBy("fp", "sig").agg(F.min("doc_id").alias("id")))
-    reps = entries.groupBy("fp").agg(F.min("id").alias("id")).where("id is not null")
-    links = near_pairs(reps, radius)
     if similarity:
-        sigs = entries.where("id is not null and sig is not null").groupBy("sig").agg(F.min("id").alias("id"))
-        to = lambda firsts, key: entries.where("id is not null").select(key, F.col("id").alias("u")).join(firsts, key).select("u", F.col("id").alias("v")).where("u <> v")
-        links = links.union(to(reps, "fp")).union(to(sigs, "sig")).union(similar_pairs(sigs.select("id", "sig"), similarity))
-    linked = components(links)
-    found = entries.join(linked, entries.id == linked.node, "left").select("fp", "sig", F.coalesce("component", "id").alias("component_id"))
-    return of.join(found, of.fp.eqNullSafe(found.fp) & of.sig.eqNullSafe(found.sig), "left").select("doc_id", of.fp, "component_id")
+        return _similar_groups(docs, radius, shingle, similarity)
+    of = written(fingerprints(docs, shingle))
+    entries = written(of.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    linked = components(near_pairs(entries.where("id is not null"), radius))
+    found = entries.join(linked, entries.id == linked.node, "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    return of.join(found, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -294,3 +294,23 @@ def test_similar_groups(spark, monkeypatch):
     got = {x["doc_id"]: x["component_id"] for x in simhash_dedup.group(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=5, similarity=0.8).collect()}
     assert all(got[i] == 6 * k for i, k in family.items())
     assert (got[1000], got[1001], got[1002], got[1003]) == (1000, 1000, 1002, 1002)
+
+
+def test_similar_groups_are_verified(spark):
+    r = random.Random(12)
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, apart = [], 0
+    for k in range(40):
+        base = [f"w{r.randrange(50000)}" for _ in range(304)]
+        tail = 304 - r.choice([34, 36, 45, 60, 75])  # about 0.8, 0.79, 0.74, 0.67 and 0.6
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:tail] + [f"x{r.randrange(50000)}" for _ in range(304 - tail)]))]
+    line = "one line of boilerplate text here " * 60  # equal fingerprints, other shingles
+    rows += [(1000, line + " ".join(f"a{i}" for i in range(40))), (1001, line + " ".join(f"b{i}" for i in range(40)))]
+    got = {x["doc_id"]: x["component_id"] for x in simhash_dedup.group(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=5, similarity=0.8).collect()}
+    of = {i: shingles(t.split()) for i, t in rows}
+    for i in [*range(0, 80, 2), 1000]:
+        near = jaccard(of[i], of[i + 1])
+        apart += 0.7 <= near < 0.8
+        assert (got[i], got[i + 1]) == (i, i if near >= 0.8 else i + 1), near
+    assert apart > 5
