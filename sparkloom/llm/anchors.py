@@ -1,30 +1,32 @@
-"""Content-defined stretches: which long windows of bytes can be equal at all.
+"""Content-defined stretches: which long windows of bytes, or of words, can be equal at all.
 
-Every window of ``length`` bytes has an anchor, the 16-byte gram of smallest hash in it (the leftmost of equals), which
-depends on the window's bytes alone; equal windows have equal anchors at equal offsets. The bytes before an anchor fall
-into three classes of equal width; all windows of an anchor and class cover the same core, ``length`` less one width.
-Consecutive windows with one anchor and class make a stretch: at most a width, the core, at most a width. Equal windows
-are in stretches with equal cores, so the core's hash says where to look for them.
+Every window of ``length`` symbols has an anchor, the gram of smallest hash in it (the leftmost of equals), which
+depends on the window's symbols alone; equal windows have equal anchors at equal offsets. The symbols before an anchor
+fall into three classes of equal width; all windows of an anchor and class cover the same core, ``length`` less one
+width. Consecutive windows with one anchor and class make a stretch: at most a width, the core, at most a width. Equal
+windows are in stretches with equal cores, so the core's hash says where to look for them.
 
-Windows of words have anchors in the same way: the run of GRAM_WORDS words of smallest hash.
+Symbols are bytes (grams of GRAM) or words as they are written, each given by its hash (grams of GRAM_WORDS).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 
 from sparkloom.llm.fingerprints import mix
 
-GRAM, GRAM_WORDS = 16, 16
+GRAM, GRAM_WORDS = 16, 15
 CHUNK = 1 << 19
 _PLACE_BITS = np.uint64(20)
 
 
-def width_of(length: int) -> int:
-    if length <= GRAM or (length - GRAM) % 3:
-        raise ValueError(f"the length must be {GRAM} plus a multiple of 3")
-    return (length - GRAM) // 3
+def width_of(length: int, gram: int = GRAM) -> int:
+    if length <= gram or (length - gram) % 3:
+        raise ValueError(f"the length must be {gram} plus a multiple of 3")
+    return (length - gram) // 3
 
 
 def _leftmost_least(grams: np.ndarray, wide: int) -> np.ndarray:
@@ -39,16 +41,16 @@ def _leftmost_least(grams: np.ndarray, wide: int) -> np.ndarray:
     return (least & np.uint64((1 << 20) - 1)).astype(np.int64)
 
 
-def word_hashes(text: str) -> np.ndarray:
+def word_hashes(data: bytes) -> np.ndarray:
     """A hash of each word as it is written."""
-    words = text.encode("utf-8", "surrogatepass").split()
+    words = data.split()
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The bytes at which each word begins and ends."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    inside = np.concatenate([[False], (data != 32) & ((data < 9) | (data > 13)), [False]])
+    x = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], (x != 32) & ((x < 9) | (x > 13)), [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
@@ -62,38 +64,44 @@ def _runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(mix(out) + hashes[k - 1 :] if k % 2 else out)
 
 
-def anchored_windows(hashes: np.ndarray, words: int, whole: bool = False):
-    """(place of the anchor, hash of the anchor, hash of the window if whole) of every window of so many words."""
-    if words <= GRAM_WORDS:
-        raise ValueError(f"a window must have over {GRAM_WORDS} words")
-    if len(hashes) < words:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    wide, grams = words - GRAM_WORDS + 1, _runs_of(hashes, GRAM_WORDS)
-    windows = len(hashes) - words + 1
-    place = np.concatenate([_leftmost_least(grams[at : at + min(CHUNK, windows - at) + wide - 1], wide) + at for at in range(0, windows, CHUNK)])
-    return place, grams[place], _runs_of(hashes, words) if whole else None
-
-
-def stretches(data: bytes, length: int):
-    """(start, size, bytes before the core, hash of the core, hash of the stretch) arrays over all windows of data."""
-    n, wide, width = len(data), length - GRAM + 1, width_of(length)
+def _cut(n: int, length: int, gram: int, grams: Callable[[int, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, size, symbols before the core) of the stretches of n symbols; grams(at, m) are the hashes of m grams from at on."""
+    wide, width = length - gram + 1, width_of(length, gram)
     starts, sizes, leads = [], [], []
     for at in range(0, n - length + 1, CHUNK):
         windows = min(CHUNK, n - length + 1 - at)
-        part = data[at : at + windows + length - 1]
-        m = len(part) - GRAM + 1
-        words = np.ndarray((len(part) - 7,), "<u8", part, strides=(1,))
-        grams = mix(mix(words[:m]) + words[8 : 8 + m])
-        place = _leftmost_least(grams, wide)
+        place = _leftmost_least(grams(at, windows + wide - 1), wide)
         kind = np.minimum((place - np.arange(windows)) // width, 2)
         first = np.flatnonzero(np.diff(place * 4 + kind, prepend=-1))
-        last = np.append(first[1:], windows)
         starts.append(first + at)
-        sizes.append(last - first + length - 1)
+        sizes.append(np.diff(np.append(first, windows)) + length - 1)
         leads.append(place[first] - width * kind[first] - first)
-    if not starts:
-        return (*(np.zeros(0, np.int64),) * 3, *(np.zeros(0, np.uint64),) * 2)
-    start, size, lead = map(np.concatenate, (starts, sizes, leads))
-    view, core = memoryview(data), length - width
-    of = lambda begin, end: np.fromiter((xxhash.xxh3_64_intdigest(view[i:k]) for i, k in zip(begin.tolist(), end.tolist())), np.uint64, len(begin))
-    return start, size, lead, of(start + lead, start + lead + core), of(start, start + size)
+    return tuple(map(np.concatenate, (starts, sizes, leads))) if starts else (np.zeros(0, np.int64),) * 3
+
+
+def _digests(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    view = memoryview(data)
+    return np.fromiter((xxhash.xxh3_64_intdigest(view[i:k]) for i, k in zip(begin.tolist(), end.tolist())), np.uint64, len(begin))
+
+
+def stretches(data: bytes, length: int):
+    """(start, size, bytes before the core, hash of the core, hash of the stretch) arrays over all windows of data."""
+
+    def grams(at: int, m: int) -> np.ndarray:
+        part = data[at : at + m + GRAM - 1]
+        words = np.ndarray((len(part) - 7,), "<u8", part, strides=(1,))
+        return mix(mix(words[:m]) + words[8 : 8 + m])
+
+    start, size, lead = _cut(len(data), length, GRAM, grams)
+    core = start + lead
+    return start, size, lead, _digests(data, core, core + length - width_of(length)), _digests(data, start, start + size)
+
+
+def word_stretches(hashes: np.ndarray, length: int):
+    """The same in words, given by their hashes."""
+    if len(hashes) < length:
+        return stretches(b"", length=GRAM + 3)
+    all_of = _runs_of(hashes, GRAM_WORDS)
+    start, size, lead = _cut(len(hashes), length, GRAM_WORDS, lambda at, m: all_of[at : at + m])
+    cores = _runs_of(hashes, length - width_of(length, GRAM_WORDS))
+    return start, size, lead, cores[start + lead], _digests(hashes.tobytes(), 8 * start, 8 * (start + size))

@@ -4,51 +4,49 @@
    equal. Stretches whose core occurs once are done, and so are cores around which all stretches are equal: copies are
    counted, not compared.
 2. Around the other cores, distinct stretches are gathered in shards by core and written one after the other, with the
-   core (equal bytes by construction) as one symbol. A shard's suffix array is built by induced sorting: suffixes are
+   core (equal symbols by construction) as one symbol. A shard's suffix array is built by induced sorting: suffixes are
    classified, leftmost-smaller substrings sorted by induction and named, the named string is sorted recursively, and
-   the whole array is induced from it in linear passes, bucket by bucket. Permuted common prefixes are computed where
+   the whole array is induced from it in linear passes over the buckets. Permuted common prefixes are computed where
    they are irreducible and follow from the place before elsewhere. A window is repeated if its suffix shares the
    window's whole length with a neighbour in the array, or if its stretch occurs twice.
 3. Repeated windows go back to their documents, whose bytes they cover are removed.
 
-With ``words`` set, every string of that many words that occurs twice is removed as well, however few bytes it has: see
-passages. 400 bytes are about 62 words of English, so they alone leave repeated passages of 51 words in the text.
+With ``words`` set, the same is done for strings of that many words (white space between them does not count): 400
+bytes are about 62 words of English, so bytes alone leave repeated passages of 51 words in the text.
+
+A core with over BUSY distinct stretches (a passage that very many texts quote) is no single group: its windows are
+dealt by how many symbols they have before the core, in ranges of doubling size, and by the symbols that all windows
+of a range have in common. Equal windows meet in one such group, and what a range does not reach is cut off, so that
+stretches that differ only there are counted, not compared. Joins with the counts of keys that hold over a share of
+1 / HEAVY of all rows (at most HEAVY keys) are broadcast.
 
 Null texts count as empty: nothing removed, digest of no bytes. Texts are told apart by their place in the input, so
 rows may repeat ids or have none. The input must give the same rows in the same order when read again (a table or a
-checkpoint). Texts shorter than the length are never touched. Removed runs may cut a character: see ``kept_text``.
+checkpoint; its splits are pinned). Texts shorter than the length are never touched. Removed runs may cut a character:
+see ``kept_text``. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.anchors import anchored_windows, stretches, width_of, word_hashes, word_places
-from sparkloom.llm.common import arrow_map, ship, written
+from sparkloom.llm.anchors import GRAM_WORDS, stretches, width_of, word_hashes, word_places, word_stretches
+from sparkloom.llm.common import arrow_map, join_counted, pin_splits, ship, unused, written
 
 LENGTH = 400
-#: Symbols that a shard should hold, and the number of distinct names above which a recursive level is ranked by doubling.
-SHARD_SYMBOLS, MOST_NAMES = 500_000, 20_000
-
-
-def _ranked(s: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling: rank pairs of ranks until all differ."""
-    n, rank, step = len(s), np.unique(s, return_inverse=True)[1].astype(np.int64), 1
-    while True:
-        after = np.full(n, -1, np.int64)
-        after[: n - step] = rank[step:] if step < n else []
-        key = rank * (n + 1) + after + 1
-        order = np.argsort(key, kind="stable")
-        rank[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]] if n else 0) != 0)
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
-        step *= 2
+PASSAGE_WORDS = 51
+#: Symbols that a shard should hold, shards that one task reads one after the other at most, and stretches of a core above which it is split.
+SHARD_SYMBOLS, MOST_TASKS, BUSY = 400_000, 20_000, 4_000
+#: Places of the array that are induced at once, where no bucket among them receives any.
+STEP = 1024
 
 
 def _dense(s: np.ndarray) -> np.ndarray:
@@ -73,42 +71,78 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     del turn
     lms = np.flatnonzero(smaller & ~np.append(True, smaller[:-1])).astype(np.int32)
 
-    def put(out: np.ndarray, at: np.ndarray, items: np.ndarray, sign: int) -> None:
-        """Append items to the buckets of their first symbols, upwards from the heads or downwards from the tails."""
+    def put(out: np.ndarray, at: np.ndarray, items: np.ndarray, sign: int) -> np.ndarray:
+        """Append items to the buckets of their first symbols, upwards from the heads or downwards from the tails; where they went."""
         symbols = s[items]
         order = np.argsort(symbols, kind="stable")
         symbols = symbols[order]
         fresh = np.flatnonzero(np.diff(symbols, prepend=-1))
         counts = np.diff(np.append(fresh, len(symbols)))
         rank = np.arange(len(symbols)) - np.repeat(fresh, counts)
-        out[at[symbols] + (rank if sign > 0 else -1 - rank)] = items[order]
+        places = at[symbols] + (rank if sign > 0 else -1 - rank)
+        out[places] = items[order]
         at[symbols[fresh]] += sign * counts
-
-    def induce(sorted_lms: np.ndarray) -> np.ndarray:
-        out, low, high = np.full(n, -1, np.int32), heads.copy(), tails.copy()
-        put(out, high, sorted_lms[::-1], -1)
-        starts = high.copy()
-        for c in range(len(sizes)):
-            done = heads[c]
-            while done < low[c]:
-                some, done = out[done : low[c]] - 1, low[c]
-                if len(some := some[(some >= 0) & ~smaller[some]]):
+        return places
+
+    def before(some: np.ndarray, of_smaller: bool) -> np.ndarray:
+        """The suffixes one place before those of a stretch of the array, of one type, in turn."""
+        some = some[some > 0] - 1
+        return some[smaller[some] == of_smaller]
+
+    def upwards(out: np.ndarray, low: np.ndarray, starts: np.ndarray) -> None:
+        """Larger suffixes from the left: buckets a STEP of places at a time, as far as none of them is given a suffix."""
+        c, end = 0, len(sizes)
+        while c < end:
+            e = max(c + 1, int(np.searchsorted(tails, heads[c] + STEP, "right")))
+            some = before(out[heads[c] : tails[e - 1]], False)
+            least = int(s[some].min()) if len(some) else e
+            if least > c:
+                if least < e:
+                    e, some = least, before(out[heads[c] : heads[least]], False)
+                if len(some):
                     put(out, low, some, 1)
-            if starts[c] < tails[c]:
-                some = out[starts[c] : tails[c]] - 1
-                if len(some := some[(some >= 0) & ~smaller[some]]):
+                c = e
+                continue
+            done = heads[c]  # the bucket gives to itself
+            while done < low[c]:
+                some, done = before(out[done : low[c]], False), low[c]
+                if len(some):
                     put(out, low, some, 1)
-        high = tails.copy()
-        for c in range(len(sizes) - 1, -1, -1):
+            some = before(out[starts[c] : tails[c]], False)
+            if len(some):
+                put(out, low, some, 1)
+            c += 1
+
+    def downwards(out: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Smaller suffixes from the right, in the same way."""
+        c = len(sizes) - 1
+        while c >= 0:
+            e = min(c - 1, int(np.searchsorted(heads, tails[c] - STEP, "left")) - 1)
+            some = before(out[heads[e + 1] : tails[c]][::-1], True)
+            most = int(s[some].max()) if len(some) else e
+            if most < c:
+                if most > e:
+                    e, some = most, before(out[tails[most] : tails[c]][::-1], True)
+                if len(some):
+                    put(out, high, some, -1)
+                c = e
+                continue
             done = tails[c]
             while done > high[c]:
-                some, done = out[high[c] : done][::-1] - 1, high[c]
-                if len(some := some[(some >= 0) & smaller[some]]):
-                    put(out, high, some, -1)
-            if heads[c] < low[c]:
-                some = out[heads[c] : low[c]][::-1] - 1
-                if len(some := some[(some >= 0) & smaller[some]]):
+                some, done = before(out[high[c] : done][::-1], True), high[c]
+                if len(some):
                     put(out, high, some, -1)
+            some = before(out[heads[c] : low[c]][::-1], True)
+            if len(some):
+                put(out, high, some, -1)
+            c -= 1
+
+    def induce(sorted_lms: np.ndarray) -> np.ndarray:
+        out, low, high = np.full(n, -1, np.int32), heads.copy(), tails.copy()
+        given = put(out, high, sorted_lms[::-1], -1)
+        upwards(out, low, high)
+        out[given] = -1
+        downwards(out, low, tails.copy())
         out[0] = n - 1
         return out
 
@@ -131,9 +165,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     names[order] = np.append(0, np.cumsum(~same))
     named = names[lms]
     del names, end, a, b, same, lengths
-    kinds = int(named.max()) + 1
-    if kinds < len(lms):
-        order = lms[suffix_array(named) if kinds <= MOST_NAMES else _ranked(named)]
+    if int(named.max()) + 1 < len(lms):
+        order = lms[suffix_array(named)]
     return induce(order)
 
 
@@ -157,157 +190,229 @@ def common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.maximum(length[last] - (i - last), 0)
 
 
-def repeated(group: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Runs of repeated windows of the distinct stretches of a shard: core, content, runs (first, last, first, ...)."""
-    width = width_of(length)
-    number = {c: 300 + i for i, c in enumerate(sorted(set(group["core"])))}
-    parts, at, places = [], 0, []
-    for core, before, after in zip(group["core"], group["before"], group["after"]):
-        places.append(at)
-        parts += [np.frombuffer(before, np.uint8).astype(np.int32) + 2, np.array([number[core]], np.int32), np.frombuffer(after, np.uint8).astype(np.int32) + 2, np.array([1], np.int32)]
-        at += len(before) + len(after) + 2
-    s = np.concatenate([*parts, np.array([0], np.int32)])
-    del parts
+def repeated(shard: pa.Table, width: int, kind: str) -> pa.RecordBatch | None:
+    """(node, piece, count, n, runs) of a shard's entries that have repeated windows: runs of windows (first, last, first, ...).
+
+    An entry is a stretch, or the part of one that windows of a range reach: the symbols before and after its core.
+    """
+    sides = [shard.column(c).combine_chunks() for c in ("before", "after")]
+    flat = np.frombuffer(b"".join(x for pair in zip(*(s.to_pylist() for s in sides)) for x in pair), kind)
+    symbols, wide = (np.unique(flat, return_inverse=True)[1] if flat.itemsize > 1 else flat).astype(np.int32) + 2, flat.itemsize
+    node = shard.column("node").to_numpy()
+    sizes = np.ones((len(node), 4), np.int64)  # before, core, after, end
+    for k, side in zip((0, 2), sides):
+        sizes[:, k] = pc.binary_length(side).to_numpy() // wide
+    ends = np.cumsum(sizes.sum(axis=1))
+    place = ends - sizes.sum(axis=1)
+    s = np.zeros(ends[-1] + 1, np.int32)
+    s[:-1][np.repeat(np.tile([True, False, True, False], len(node)), sizes.reshape(-1))] = symbols
+    s[place + sizes[:, 0]] = (int(symbols.max()) if len(symbols) else 1) + 1 + np.unique(node, return_inverse=True)[1]
+    s[ends - 1] = 1
+    del flat, symbols
     order = suffix_array(s)
-    shared = common_prefixes(s, order)
-    longest = shared.copy()
-    longest[order[:-1]] = np.maximum(longest[order[:-1]], shared[order[1:]])
-    hit = longest >= width + 1  # a width around the core's one symbol
-    runs = []
-    for place, size, count in zip(places, group["size"], group["count"]):
-        windows = size - length + 1
-        marks = np.ones(windows, bool) if count > 1 else hit[place : place + windows]
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], marks, [False]]).astype(np.int8)))
-        edges[1::2] -= 1
-        runs.append(edges.tolist())
-    return pd.DataFrame({"core": group["core"], "content": group["content"], "runs": runs})
-
-
-def passages(docs: DataFrame, words: int) -> DataFrame:
-    """(row, r): the byte range [from, to] of every string of so many words that occurs twice, in one text or in two.
-
-    White space between words does not count. Equal strings have equal anchors (see anchored_windows), so only strings
-    whose anchor occurs twice are hashed as a whole and counted. Counts are tables, so that Spark can split a join at a
-    passage that very many rows have.
+    longest = common_prefixes(s, order)
+    longest[order[:-1]] = np.maximum(longest[order[:-1]], longest[order[1:]])
+    windows = sizes[:, 0] + sizes[:, 2] - width + 1
+    first = np.cumsum(windows) - windows
+    within = np.arange(windows.sum()) - np.repeat(first, windows)
+    count = shard.column("count").to_numpy()
+    hit = (longest[np.repeat(place, windows) + within] >= width + 1) | np.repeat(count > 1, windows)  # a width around the core's one symbol
+    edge = np.concatenate([[True], hit[1:] != hit[:-1], [True]])
+    edge[first] = True
+    begin = np.flatnonzero(edge[:-1])
+    stop = np.append(begin[1:], len(hit)) - 1
+    begin, stop = begin[hit[begin]], stop[hit[begin]]
+    owner = np.searchsorted(first, begin, "right") - 1
+    some, many = np.unique(owner, return_counts=True)
+    if not len(some):
+        return None
+    runs = np.stack([within[begin], within[stop]], axis=1).reshape(-1).astype(np.int32)
+    offsets = np.append(0, np.cumsum(2 * many)).astype(np.int32)
+    take = lambda c: shard.column(c).combine_chunks().take(pa.array(some))
+    return pa.RecordBatch.from_arrays([*map(take, ("node", "piece", "count", "n")), pa.ListArray.from_arrays(pa.array(offsets), pa.array(runs))], ["node", "piece", "count", "n", "runs"])
+
+
+def parts_of(before: bytes, after: bytes, lead: int, tail: int, width: int, wide: int) -> Iterator[tuple[bytes, bytes, bytes, int]]:
+    """(symbols that all windows of a range have, symbols before, after, first window) for the ranges of a stretch of a busy core.
+
+    A range: windows with 0, 1, 2 to 3, 4 to 7, ... symbols before the core. lead, tail: symbols before and after it.
     """
-
-    def anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = []
-        for t in batch.column(1):
-            place, gram, _ = anchored_windows(word_hashes(t.as_py()), words)
-            found.append(gram[np.flatnonzero(np.diff(place, prepend=-1))])
-        rows = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(np.concatenate(found).view(np.int64))], ["row", "anchor"])
-
-    docs = docs.where(F.octet_length("text") >= 2 * words - 1).select("row", "text")
-    parts = written(arrow_map(docs, anchors, "row bigint, anchor bigint"))
-    again = written(parts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    wanted = parts.join(again, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
-
-    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[np.zeros(0, np.int64)] for _ in range(4)]
-        for row, text, some in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            text = text.as_py()
-            _, gram, content = anchored_windows(word_hashes(text), words, whole=True)
-            at = np.flatnonzero(np.isin(gram, some.values.to_numpy().view(np.uint64)))
-            begin, end = word_places(text)
-            for column, x in zip(out, (np.full(len(at), row), begin[at], end[at + words - 1], content[at].view(np.int64))):
-                column.append(x)
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(out, kinds)], ["row", "begin", "end", "content"])
-
-    all_of = written(arrow_map(docs.join(wanted, "row").select("row", "text", "anchors"), windows, "row bigint, begin int, end int, content bigint"))
-    twice = written(all_of.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select("content"))
-    return all_of.join(twice, "content").select("row", F.array("begin", "end").alias("r"))
+    low, high = 0, 0
+    while low <= width:
+        b, a = min(high, lead), min(width - low, tail)
+        if lead >= low and a + b >= width:
+            left, right = before[len(before) - b * wide :], after[: a * wide]
+            yield b"%d:" % low + left[len(left) - low * wide :] + b":" + right[: (width - high) * wide], left, right, lead - b
+        low, high = high + 1, min(width, 2 * high + 1)
 
 
 def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
-    """(row, spans): byte ranges [from, to, from, to, ...] to remove, sorted and apart, of rows that have any.
+    """(row, spans, word_spans): bytes [from, to, from, to, ...] to remove, and words, sorted and apart, of rows that have any.
 
-    docs: (row, text) with row the place in the input.
+    docs: (row, text) with row the place in the input. word_spans are ranges of words that strings of ``words`` words cover.
     """
-    ship(docs.sparkSession)
-    width = width_of(length)
+    spark = docs.sparkSession
+    ship(spark)
+    units = [(length, width_of(length), 1), (words, width_of(words, GRAM_WORDS), 8)] if words else [(length, width_of(length), 1)]
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(r, stretches(t.as_py().encode("utf-8", "surrogatepass"), length)) for r, t in zip(batch.column(0).to_pylist(), batch.column(1)) if t.is_valid]
-        rows = np.repeat(np.array([r for r, _ in found], np.int64), [len(x[0]) for _, x in found])
-        columns = [np.concatenate([x[k] for _, x in found]) if found else np.zeros(0, np.int64) for k in range(5)]
-        return pa.RecordBatch.from_arrays([pa.array(rows), *[pa.array(c.astype(np.int32)) for c in columns[:3]], *[pa.array(c.view(np.int64)) for c in columns[3:]]], ["row", "start", "size", "lead", "core", "content"])
-
-    parts = written(arrow_map(docs.where(F.octet_length("text") >= length).select("row", "text"), cut, "row bigint, start int, size int, lead int, core bigint, content bigint"))
-    kinds = parts.groupBy("core").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b")).where("n > 1").select("core", (F.col("a") == F.col("b")).alias("alike"))
-    hits = written(parts.join(kinds, "core"))
-    variants = hits.where("not alike").groupBy("core", "content").agg(F.count("*").alias("count"), F.min(F.struct("row", "start", "size", "lead")).alias("at"))
-    wanted = variants.groupBy("at.row").agg(F.collect_list(F.struct("core", "content", "count", "at.start", "at.size", "at.lead")).alias("all"))
+        found = []
+        for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            data = text.as_py().encode("utf-8", "surrogatepass")
+            for unit, (size, _, _) in enumerate(units):
+                found.append((row, unit, word_stretches(word_hashes(data), size) if unit else stretches(data, size)))
+        counts = [len(x[0]) for _, _, x in found]
+        rows, kinds = (np.repeat(np.array([f[k] for f in found], np.int64), counts) for k in (0, 1))
+        columns = [np.concatenate([x[k] for _, _, x in found]) if found else np.zeros(0, np.int64) for k in range(5)]
+        return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(kinds.astype(np.int8)), *[pa.array(c.astype(np.int32)) for c in columns[:3]], *[pa.array(c.view(np.int64)) for c in columns[3:]]], ["row", "unit", "start", "size", "lead", "core", "content"])
+
+    least = min(length, 2 * words - 1) if words else length
+    parts = written(arrow_map(docs.where(F.octet_length("text") >= least).select("row", "text"), cut, "row bigint, unit tinyint, start int, size int, lead int, core bigint, content bigint"))
+    kinds = written(parts.groupBy("core").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b")).where("n > 1").select("core", "n", (F.col("a") == F.col("b")).alias("alike")))
+    hits = written(join_counted(parts, kinds, ["core"], "n"))
+    variants = written(hits.where("not alike").groupBy("core", "content").agg(F.count("*").alias("count"), F.min(F.struct("row", "unit", "start", "size", "lead")).alias("at")))
+    busy = written(variants.groupBy("core").agg(F.count("*").alias("kinds")).where(F.col("kinds") > BUSY).select("core"))
+    split = not busy.isEmpty()
+    marked = variants.withColumn("busy", F.lit(False))
+    if split:  # few rows, so each goes to all salts of its core's stretches
+        salted = busy.select("core", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))).alias("salt"), F.lit(True).alias("busy"))
+        marked = variants.withColumn("salt", F.pmod("content", F.lit(64))).join(salted, ["core", "salt"], "left").drop("salt").withColumn("busy", F.coalesce("busy", F.lit(False)))
+    wanted = marked.groupBy("at.row").agg(F.collect_list(F.struct("core", "content", "count", "busy", "at.unit", "at.start", "at.size", "at.lead")).alias("all"))
+    schema = "unit tinyint, busy boolean, core bigint, content bigint, node bigint, piece bigint, shift int, count bigint, before binary, after binary"
 
     def sides(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
+        signed = lambda data: xxhash.xxh3_64_intdigest(data) - (1 << 63)
         for text, all_of in zip(batch.column(0), batch.column(1)):
             data = text.as_py().encode("utf-8", "surrogatepass")
+            as_words = None
             for v in all_of.as_py():
-                begin, core, end = v["start"], v["start"] + v["lead"], v["start"] + v["size"]
-                out.append((v["core"], v["content"], v["count"], v["size"], data[begin:core], data[core + length - width : end]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kinds[k]) for k in range(6)], ["core", "content", "count", "size", "before", "after"])
-
-    texts = written(arrow_map(docs.join(wanted, "row").select("text", "all"), sides, "core bigint, content bigint, count bigint, size int, before binary, after binary"))
-    symbols = texts.agg(F.sum(F.octet_length("before") + F.octet_length("after") + 2)).first()[0] or 0
-    shards = max(12, symbols // SHARD_SYMBOLS + 1)
-    sharded = texts.groupBy(F.pmod(F.xxhash64("core"), F.lit(shards)).alias("shard"))
-    runs = sharded.applyInPandas(lambda g: repeated(g, length), "core bigint, content bigint, runs array<int>").where(F.size("runs") > 0)
-    whole = hits.where("alike").select("row", F.array("start", F.col("start") + F.col("size")).alias("r"))
-    mixed = hits.where("not alike").join(runs, ["core", "content"])
-    some = mixed.select("row", F.transform("runs", lambda x, i: F.when(i % 2 == 0, x + F.col("start")).otherwise(x + F.col("start") + length)).alias("r"))
-    ranges = whole.union(some).union(passages(docs, words)) if words else whole.union(some)
-    gathered = ranges.groupBy("row").agg(F.flatten(F.collect_list("r")).alias("r"))
+                size, width, wide = units[v["unit"]]
+                if v["unit"] and as_words is None:
+                    as_words = word_hashes(data).tobytes()
+                symbols, core = as_words if v["unit"] else data, v["start"] + v["lead"]
+                before, after = symbols[v["start"] * wide : core * wide], symbols[(core + size - width) * wide : (v["start"] + v["size"]) * wide]
+                same = v["unit"], v["busy"], v["core"], v["content"]
+                if not v["busy"]:
+                    out.append((*same, v["core"], v["content"], 0, v["count"], before, after))
+                    continue
+                for common, left, right, shift in parts_of(before, after, v["lead"], v["size"] - v["lead"] - size + width, width, wide):
+                    out.append((*same, signed(b"%d:" % v["core"] + common), signed(left + b":%d:" % len(left) + right), shift, v["count"], left, right))
+        kinds = [pa.int8(), pa.bool_(), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], [x.split()[0] for x in schema.split(", ")])
+
+    texts = written(arrow_map(docs.join(wanted, "row").select("text", "all"), sides, schema))
+    columns = ["unit", "node", "piece", "count", "n", "before", "after"]
+    entries = texts.where("not busy").withColumn("n", F.lit(0).cast("bigint")).select(*columns)  # n: stretches that share an entry of a busy core
+    if split:
+        entries = entries.union(texts.where("busy").groupBy("node", "piece").agg(F.first("unit").alias("unit"), F.sum("count").alias("count"), F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")).select(*columns))
+        entries = written(entries)
+    symbols = entries.agg(F.sum((F.octet_length("before") + F.octet_length("after")) / F.when(F.col("unit") == 0, 1).otherwise(8) + 2)).first()[0] or 0
+    shards = max(6, int(symbols) // SHARD_SYMBOLS + 1)
+    tasks = 2 * min(shards, MOST_TASKS)
+    number = (F.pmod(F.xxhash64("node"), F.lit(shards)) * 2 + F.col("unit")).cast("bigint")
+    dealt = entries.withColumn("shard", number).repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int")).sortWithinPartitions("shard")
+
+    def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, shard = [], None
+
+        def out():
+            table = pa.Table.from_batches(held)
+            held.clear()
+            unit = shard & 1
+            return repeated(table, units[unit][1], "<u8" if unit else "u1")
+
+        for batch in batches:
+            ids = batch.column(batch.schema.get_field_index("shard")).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                if held and ids[begin] != shard and (found := out()) is not None:
+                    yield found
+                shard = int(ids[begin])
+                held.append(batch.slice(begin, end - begin))
+        if held and (found := out()) is not None:
+            yield found
+
+    runs = written(dealt.mapInArrow(sort_shards, "node bigint, piece bigint, count bigint, n bigint, runs array<int>"))
+    by_stretch = single = runs.where("n = 0").select(F.col("node").alias("core"), F.col("piece").alias("content"), F.col("count").alias("copies"), "runs")
+    if split:
+        of = texts.where("busy").select("core", "content", "node", "piece", "shift", F.col("count").alias("copies"))
+        back = join_counted(of, runs.where("n > 0").drop("count"), ["node", "piece"], "n").groupBy("core", "content").agg(F.first("copies").alias("copies"), F.flatten(F.collect_list(F.transform("runs", lambda x: x + F.col("shift")))).alias("runs"))
+        by_stretch = written(single.union(back))
+    lengths = F.when(F.col("unit") == 0, length).otherwise(words or 0)
+    whole = hits.where("alike").select("row", "unit", F.array("start", F.col("start") + F.col("size")).alias("r"))
+    mixed = join_counted(hits.where("not alike"), by_stretch, ["core", "content"], "copies")
+    some = mixed.select("row", "unit", F.transform("runs", lambda x, i: F.when(i % 2 == 0, x + F.col("start")).otherwise(x + F.col("start") + lengths)).alias("r"))
+    of_unit = lambda k: F.flatten(F.collect_list(F.when(F.col("unit") == k, F.col("r"))))
+    gathered = whole.union(some).groupBy("row").agg(of_unit(0).alias("r"), of_unit(1).alias("w"))
 
     def merged(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for r in batch.column(1):
-            x = np.asarray(r.values).reshape(-1, 2)
-            x = x[np.argsort(x[:, 0], kind="stable")]
-            reach = np.maximum.accumulate(x[:, 1])
-            fresh = np.flatnonzero(np.append(True, x[1:, 0] > reach[:-1]))
-            out.append(np.stack([x[fresh, 0], reach[np.append(fresh[1:], len(x)) - 1]], axis=1).reshape(-1).astype(np.int32))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["row", "spans"])
+        out = [[merge(np.asarray(x.values)) for x in batch.column(k)] for k in (1, 2)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.list_(pa.int32())) for x in out]], ["row", "spans", "word_spans"])
+
+    return arrow_map(gathered, merged, "row bigint, spans array<int>, word_spans array<int>")
 
-    return arrow_map(gathered, merged, "row bigint, spans array<int>")
 
+def merge(ranges) -> np.ndarray:
+    """Ranges [from, to, from, to, ...] sorted, with those that meet or overlap joined."""
+    x = np.asarray(ranges, np.int64).reshape(-1, 2)
+    if not len(x):
+        return x.reshape(-1).astype(np.int32)
+    x = x[np.argsort(x[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(x[:, 1])
+    fresh = np.flatnonzero(np.append(True, x[1:, 0] > reach[:-1]))
+    return np.stack([x[fresh, 0], reach[np.append(fresh[1:], len(x)) - 1]], axis=1).reshape(-1).astype(np.int32)
 
-def kept_bytes(text: str | None, removed) -> bytes:
-    data, at, out = (text or "").encode("utf-8", "surrogatepass"), 0, []
+
+def with_words(data: bytes, removed: list[int], words: list[int]) -> list[int]:
+    """The byte ranges to remove, and those of ranges of words, joined."""
+    if not words:
+        return removed
+    begin, end = word_places(data)
+    w = np.asarray(words).reshape(-1, 2)
+    return merge(np.concatenate([np.asarray(removed, np.int64), np.stack([begin[w[:, 0]], end[w[:, 1] - 1]], axis=1).reshape(-1)])).tolist()
+
+
+def kept_bytes(data: bytes, removed: list[int]) -> bytes:
+    at, out = 0, []
     for begin, end in zip(removed[::2], removed[1::2]):
         out.append(data[at:begin])
         at = end
     return b"".join([*out, data[at:]])
 
 
-def kept_text(text: str | None, removed) -> str:
+def kept_text(data: bytes, removed: list[int]) -> str:
     """What is left as text; a character that a cut goes through is dropped."""
-    return kept_bytes(text, removed).decode("utf-8", "ignore")
+    return kept_bytes(data, removed).decode("utf-8", "ignore")
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
-    """docs, all columns, with ``removed_spans`` (null where nothing is removed)."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = spans(rows.select(F.col("_row").alias("row"), "text"), length, words)
-    return rows.join(found.withColumnRenamed("row", "_row").withColumnRenamed("spans", "removed_spans"), "_row", "left").drop("_row")
+def with_spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> tuple[DataFrame, list[str]]:
+    """docs, all columns, with two more: byte and word ranges to remove (null where there are none), and their names."""
+    pin_splits(docs.sparkSession)
+    row, *names = (unused(n, docs.columns) for n in ("row", "spans", "word_spans"))
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    found = spans(rows.select(F.col(row).alias("row"), "text"), length, words).toDF(row, *names)
+    return rows.join(found, row, "left").drop(row), names
 
 
-def query(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+def query(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE_WORDS) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, by strings of ``length`` bytes.
+
+    n_repeated counts the bytes that those strings or repeated strings of ``words`` words cover.
+    """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for text, r in zip(batch.column(1), batch.column(2).to_pylist()):
-            text, r = text.as_py(), r or []
-            left = kept_bytes(text, r)
-            gone = sum(r[1::2]) - sum(r[::2])
-            out.append((len(left) + gone, gone, len(r) // 2, hashlib.sha256(left).hexdigest()))
-        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        out, size = [], lambda r: sum(r[1::2]) - sum(r[::2])
+        for text, r, w in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            data, r = (text.as_py() or "").encode("utf-8", "surrogatepass"), r or []
+            out.append((len(data), size(r), len(r) // 2, hashlib.sha256(kept_bytes(data, r)).hexdigest(), size(with_words(data, r, w or []))))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated"])
 
-    return arrow_map(with_spans(docs.select("doc_id", "text"), length).select("doc_id", "text", "removed_spans"), each, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    found, names = with_spans(docs.select("doc_id", "text"), length, words)
+    return arrow_map(found.select("doc_id", "text", *names), each, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_repeated bigint")
 
 
 def keep(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
@@ -315,12 +420,17 @@ def keep(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Dat
     names = docs.columns
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = names.index("text")
-        texts = [t.as_py() if r is None else kept_text(t.as_py(), r) for t, r in zip(batch.column(at), batch.column(len(names)).to_pylist())]
-        arrays = list(batch.columns[:-1])
+        at, texts = names.index("text"), []
+        for text, r, w in zip(batch.column(at), batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()):
+            text = text.as_py()
+            if r or w:
+                data = text.encode("utf-8", "surrogatepass")
+                text = kept_text(data, with_words(data, r or [], w or []))
+            texts.append(text)
+        arrays = list(batch.columns[:-2])
         arrays[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    out = docs.sparkSession.createDataFrame([], docs.schema).schema
-    changed = arrow_map(with_spans(docs, length, words).select(*names, "removed_spans"), each, out)
+    found, added = with_spans(docs, length, words)
+    changed = arrow_map(found.select(*names, *added), each, docs.schema)
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*names) if "n_chars" in names else changed

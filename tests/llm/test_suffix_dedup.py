@@ -8,12 +8,12 @@ import pytest
 from sparkloom.llm import suffix_dedup as sd
 
 
-@pytest.mark.parametrize("most_names", [0, 20_000])
-def test_suffix_array_and_prefixes(monkeypatch, most_names):
-    monkeypatch.setattr(sd, "MOST_NAMES", most_names)
+@pytest.mark.parametrize("step", [1, 3, 1024])
+def test_suffix_array_and_prefixes(monkeypatch, step):
+    monkeypatch.setattr(sd, "STEP", step)
     r = random.Random(3)
     for _ in range(400):
-        t = [r.randint(1, r.choice([1, 2, 8])) for _ in range(r.randint(0, 60))] + [0]
+        t = [r.randint(1, r.choice([1, 2, 8, 40])) for _ in range(r.randint(0, 60))] + [0]
         order = sd.suffix_array(np.array(t)).tolist()
         assert order == sorted(range(len(t)), key=lambda i: t[i:])
         shared = sd.common_prefixes(np.array(t), np.array(order))
@@ -44,7 +44,7 @@ def brute(texts, length):
 
 
 def check(spark, texts, length):
-    got = {r["doc_id"]: tuple(r)[1:] for r in sd.query(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), length).collect()}
+    got = {r["doc_id"]: tuple(r)[1:5] for r in sd.query(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), length).collect()}
     want = brute(texts, length)
     assert [got[i] for i in range(len(texts))] == want
 
@@ -95,11 +95,45 @@ def test_passages_of_over_50_words(spark):
     assert ["".join(got[i].split()) for i in range(len(texts))] == ["".join(" ".join(x).split()) for x in left]
 
 
-def test_passages_against_brute_force(spark):
+@pytest.mark.parametrize("busy", [2, 4000])
+def test_passages_against_brute_force(spark, monkeypatch, busy):
+    monkeypatch.setattr(sd, "BUSY", busy)
     r = random.Random(7)
     pieces = [[r.choice("abcdefgh") for _ in range(r.randint(10, 40))] for _ in range(8)]
     texts = [[w for _ in range(r.randint(0, 4)) for w in (r.choice(pieces) if r.random() < 0.5 else [r.choice("abcdefgh") for _ in range(20)])] for _ in range(60)]
-    seen = Counter(tuple(t[i : i + 20]) for t in texts for i in range(len(t) - 19))
-    want = {(k, 2 * i, 2 * i + 39) for k, t in enumerate(texts) for i in range(len(t) - 19) if seen[tuple(t[i : i + 20])] > 1}
+    seen = Counter(tuple(t[i : i + 21]) for t in texts for i in range(len(t) - 20))
+    want = {(k, j) for k, t in enumerate(texts) for i in range(len(t) - 20) if seen[tuple(t[i : i + 21])] > 1 for j in range(i, i + 21)}
     rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "row bigint, text string")
-    assert want and {(x["row"], *x["r"]) for x in sd.passages(rows, 20).collect()} == want
+    got = {(x["row"], j) for x in sd.spans(rows, 400, 21).collect() for a, b in zip(x["word_spans"][::2], x["word_spans"][1::2]) for j in range(a, b)}
+    assert want and got == want
+
+
+def test_a_busy_core_is_split(spark, monkeypatch):
+    """A passage that many texts quote, all other bytes of which differ, or end and begin in a few ways."""
+    monkeypatch.setattr(sd, "BUSY", 5)
+    r = random.Random(11)
+    line = lambda n, of="abcdefgh ": "".join(r.choice(of) for _ in range(n))
+    p = line(70)
+    texts = [line(r.randint(0, 30), "abc") + p + line(r.randint(0, 30), "abc") for _ in range(150)] + [line(40) + p + line(40) for _ in range(40)]
+    check(spark, texts + texts[:9], 46)
+
+
+def test_very_long_text_across_chunks(spark, monkeypatch):
+    from sparkloom.llm import anchors
+
+    monkeypatch.setattr(anchors, "CHUNK", 50)
+    r = random.Random(12)
+    line = lambda n: "".join(r.choice("ab cd") for _ in range(n))
+    p = line(300)
+    for length in (46, 100):
+        data = [line(500) + p + line(200) + p[20:280], p]
+        own = [anchors.stretches(t.encode(), length) for t in data]
+        assert all((x[1] - length + 1).sum() == len(t.encode()) - length + 1 for x, t in zip(own, data))
+        check(spark, data, length)
+
+
+def test_clashing_names(spark):
+    p = "word " * 100
+    docs = spark.createDataFrame([(1, p, 7, "a"), (2, p, 8, "b"), (3, "x", 9, "c")], "doc_id bigint, text string, _row bigint, spans string")
+    rows = sd.keep(docs).orderBy("doc_id").collect()
+    assert [(r["_row"], r["spans"], r["text"]) for r in rows] == [(7, "a", ""), (8, "b", ""), (9, "c", "x")]
