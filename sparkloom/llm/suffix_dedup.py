@@ -71,17 +71,22 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     del turn
     lms = np.flatnonzero(smaller & ~np.append(True, smaller[:-1])).astype(np.int32)
 
+    counter, first_one = np.arange(n), np.ones(1, bool)
+
     def put(out: np.ndarray, at: np.ndarray, items: np.ndarray, sign: int) -> np.ndarray:
         """Append items to the buckets of their first symbols, upwards from the heads or downwards from the tails; where they went."""
         symbols = s[items]
-        order = np.argsort(symbols, kind="stable")
-        symbols = symbols[order]
-        fresh = np.flatnonzero(np.diff(symbols, prepend=-1))
-        counts = np.diff(np.append(fresh, len(symbols)))
-        rank = np.arange(len(symbols)) - np.repeat(fresh, counts)
-        places = at[symbols] + (rank if sign > 0 else -1 - rank)
+        order = symbols.argsort(kind="stable")
+        symbols, rank = symbols[order], counter[: len(items)]
+        begins = np.where(np.concatenate([first_one, symbols[1:] != symbols[:-1]]), rank, 0)
+        rank = rank - np.maximum.accumulate(begins)
+        if sign > 0:
+            places = at[symbols] + rank
+            at[symbols] = places + 1  # of repeated symbols the last one stays
+        else:
+            places = at[symbols] - 1 - rank
+            at[symbols] = places
         out[places] = items[order]
-        at[symbols[fresh]] += sign * counts
         return places
 
     def before(some: np.ndarray, of_smaller: bool) -> np.ndarray:
