@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe, common, components, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, queries, simhash_dedup, url_filter
+from sparkloom.llm import bpe, common, components, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, queries, simhash_dedup, tokens, url_filter
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp string, row string, score string, n string"
 PATTERN = common.WORD_PATTERN
@@ -95,33 +95,83 @@ def test_closest_fill_against_brute_force():
         assert sum(n * k for n, k in used.items()) == max(s for s in sums if s <= capacity)
 
 
-def test_lm(docs, empty):
-    rows = sorted(lm_scoring.query(docs).collect(), key=key)
-    tokens = lambda t: [*common.words_of(t), None]
-    all_rows = sorted(docs.select("doc_id", "text").collect(), key=key)
-    trains = [r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 != 2 for r in all_rows]
-    c = Counter(w for r, t in zip(all_rows, trains) if t for w in tokens(r["text"]))
-    pairs = Counter(p for r, t in zip(all_rows, trains) if t for x in [tokens(r["text"])] for p in zip([None, *x], x))
-    n, v = sum(c.values()), len(c)
-
-    def score(x, m):
-        return sum(math.log10((pairs[h, w] + m * (c[w] + 1) / (n + v + 1)) / (c[h] + m)) for h, w in zip([None, *x], x))
-
+class PlainModel:
+    """The same model by dictionaries of tuples of words, scored word by word by its formula."""
+
+    def __init__(self, learnt, masses):
+        self.grams, self.masses = Counter(), masses
+        for words in learnt:
+            x = [None, *words, None]
+            for n in range(1, len(masses) + 2):
+                self.grams.update(tuple(x[i : i + n]) for i in range(n == 1, len(x) - n + 1))
+        self.total = sum(n for g, n in self.grams.items() if len(g) == 1)
+        self.room = self.total + sum(len(g) == 1 for g in self.grams) + 1
+
+    def p(self, history, word):
+        if not history:
+            return (self.grams[(word,)] + 1) / self.room
+        m, seen = self.masses[len(history) - 1], self.grams[(*history, word)]
+        return (seen + m * self.p(history[1:], word)) / (self.grams[history] + m)
+
+    def score(self, words):
+        x = [None, *words, None]
+        return sum(math.log10(self.p(tuple(x[max(0, i - len(self.masses)) : i]), x[i])) for i in range(1, len(x)))
+
+
+@pytest.mark.parametrize(("block", "lane", "masses"), [(8_000_000, 512, lm_scoring.MASSES), (300, 3, (5.0, 2.0, 1.0, 0.5)), (40, 7, (5.0,))])
+def test_lm(docs, empty, spark, monkeypatch, block, lane, masses):
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm_scoring, "LANE", lane)
+    r = random.Random(3)
+    phrases = [[r.choice("abcdefgh") for _ in range(r.randint(1, 9))] for _ in range(12)]
+    more = [(1000 + i, " ".join(w for _ in range(r.randint(0, 8)) for w in r.choice(phrases))) for i in range(90)]
+    both = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id bigint, text string"))
+    rows, given = lm_scoring.score(both, common.remainder(7) != 2, masses).collect(), both.collect()
+    trains = [g["doc_id"] is not None and zlib.crc32(str(g["doc_id"]).encode()) % 7 != 2 for g in given]
+    plain = PlainModel([common.words_of(g["text"]) for g, t in zip(given, trains) if t], masses)
     want = Counter()
-    for r in all_rows:
-        x = tokens(r["text"])
-        want[r["doc_id"], len(x), sum(c[w] > 0 for w in x), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in x), 6), round(score(x, rows[0]["mass"]), 6)] += 1
-    assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows) == want
-    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2) for r in rows if r["doc_id"] is not None)
+    for g in given:
+        words = common.words_of(g["text"])
+        c = [plain.grams[(w,)] for w in [*words, None]]
+        want[g["doc_id"], len(c), sum(n > 0 for n in c), plain.total, round(sum(math.log10((n + 1) / plain.room) for n in c), 6), round(plain.score(words), 6)] += 1
+    assert Counter((x["doc_id"], x["n_tokens"], x["n_known"], x["train_tokens"], round(x["base_score"], 6), round(x["score"], 6)) for x in rows) == want
+    assert all(x["held_out"] == (zlib.crc32(str(x["doc_id"]).encode()) % 7 == 2) for x in lm_scoring.query(both).collect() if x["doc_id"] is not None)
     assert lm_scoring.query(empty).count() == 0
 
 
+def test_lm_without_training_texts(docs):
+    rows = lm_scoring.score(docs, F.lit(False)).collect()
+    assert all(x["score"] == x["base_score"] == 0 and x["n_known"] == 0 for x in rows)
+
+
 def test_lm_is_a_distribution():
-    a = lm_scoring.Automaton(np.array([5, 3, 2]), np.array([2, 1, 0]), 10, 3)
-    over = sum(10 ** a.traverse(np.array([i]), np.array([0]), np.array([i]), 4.0)[0] for i in range(3))
-    unknown = 4.0 * (1 / 14) / 9
-    seen_elsewhere = (5 - 3) / 9  # the other followers of the history
-    assert abs(over + unknown + seen_elsewhere - 1) < 1e-9
+    plain = PlainModel([list("abcabd"), list("abce"), list("ab")], (5.0, 2.0, 1.0))
+    words = ["a", "b", "c", "d", "e", None, "never seen"]
+    for history in [(None, "a"), ("a", "b"), ("c", "a", "b"), ("a", "b", "c"), ("x",), ("x", "a"), ()]:
+        assert abs(sum(plain.p(history, w) for w in words) - 1) < 1e-12, history
+
+
+def test_lm_packs_keys_and_counts():
+    r = np.random.default_rng(1)
+    for n in (1, 3, 4, 5, 6, 1000):
+        for keys in (np.sort(r.integers(0, 1 << 63, n).astype(np.uint64)), np.sort(r.integers(0, 1 << 40, n).astype(np.uint64))):
+            assert (lm_scoring._unpack_keys(lm_scoring._pack_keys(keys), n) == keys).all()
+        counts = r.integers(0, 1 << int(r.integers(1, 40)), n)
+        assert (lm_scoring._unpack_counts(lm_scoring._pack_counts(counts)) == counts).all()
+
+
+def test_words_are_hashed_alike():
+    r = random.Random(6)
+    texts_ = [*texts(), "z" * 511, "z" * 512, "z" * 513, " ".join("w%d" % r.randrange(500) for _ in range(400_000))]
+    got, counts = tokens.words_of_texts(texts_)
+    words = [w for t in texts_ for w in common.words_of(t)]
+    assert counts.tolist() == [len(common.words_of(t)) for t in texts_] and len(set(got.tolist())) == len(set(words))
+    known = {}
+    assert all(known.setdefault(w, h) == h for w, h in zip(words, got.tolist()))
+    keys = r.choices(range(50), k=1000)
+    order, heads = tokens.grouped(np.array(keys, np.uint64))
+    assert [keys[i] for i in order] == sorted(keys) and len(heads) == len(set(keys))
+    assert tokens.numbered(order, heads).tolist() == np.unique(keys, return_inverse=True)[1].tolist()
 
 
 def test_fingerprints(docs, empty):
