@@ -6,67 +6,49 @@ votes are positive. A text without words has fingerprint zero. Likeness of two f
 max(0, cos(pi h / 64)), the cosine of the weighted term vectors that SimHash estimates: 1 for equal fingerprints.
 
 Nulls count as empty texts. The order of documents is descending doc_id (null ids last), then descending text, so
-repeated ids have a defined order too; a single document is its own next one.
+repeated ids have a defined order too; a single document is its own next one. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_map, ship, words_of
-
-SHINGLE = 3
-MAX_CACHED_WORDS = 500_000
-#: Characters of text that one range of documents should hold.
-RANGE_CHARS = 16_000_000
-
-
-class _Hashes(dict):
-    """Hash of a word, kept up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= MAX_CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> _Hashes:
-    return _Hashes()
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit integers that spreads every input bit over all output bits."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+from sparkloom.llm.common import SLICE_ROWS, arrow_map, join_counted, ship, written
+from sparkloom.llm.tokens import mix, runs_of, words_of_texts
+
+SHINGLE, RADIUS = 3, 3
+#: Characters of text that one range of documents should hold, and ranges at most (a range is read in turn, so its size is no matter of memory).
+RANGE_CHARS, MOST_RANGES = 16_000_000, 20_000
+#: Fingerprints that a list of a table may hold; beyond, it is cut by blocks of the bits that are not in its key.
+MOST_POSTED = 500
+
+
+def fingerprints_of(texts: list[str | None]) -> list[int]:
+    """The fingerprints of texts as unsigned 64-bit integers."""
+    words, counts = words_of_texts(texts)
+    out, at = [], 0
+    for n in counts.tolist():
+        if not n:
+            out.append(0)
+            continue
+        terms, times = np.unique(mix(runs_of(words[at : at + n], min(SHINGLE, n))), return_counts=True)
+        at += n
+        weights, votes = np.rint(1024 * (1 + np.log(times))), np.zeros(64)  # whole numbers: sums don't depend on their order
+        for i in range(0, len(terms), 1 << 15):
+            votes += weights[i : i + (1 << 15)] @ np.unpackbits(terms[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        out.append(int(np.packbits(votes * 2 > weights.sum(), bitorder="little").view("<u8")[0]))
+    return out
 
 
 def fingerprint(text: str | None) -> int:
-    """The fingerprint of a text as an unsigned 64-bit integer."""
-    words = words_of(text)
-    if not words:
-        return 0
-    of = np.fromiter(map(word_hashes().__getitem__, words), np.uint64, len(words))
-    terms = of[: max(1, len(of) - SHINGLE + 1)].copy()
-    for k in range(1, min(SHINGLE, len(of))):
-        terms = mix(terms) + of[k : k + len(terms)]
-    terms, times = np.unique(mix(terms), return_counts=True)
-    weights, votes = np.rint(1024 * (1 + np.log(times))), np.zeros(64)  # whole numbers: sums don't depend on their order
-    for i in range(0, len(terms), 1 << 15):
-        votes += weights[i : i + (1 << 15)] @ np.unpackbits(terms[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return int(np.packbits(votes * 2 > weights.sum(), bitorder="little").view("<u8")[0])
+    return fingerprints_of([text])[0]
 
 
 def likeness(a: int, b: int) -> float:
@@ -77,31 +59,52 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp bigint) of every whole text."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
+        fps = np.array(fingerprints_of(batch.column(1).to_pylist()), np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     return arrow_map(docs.select("doc_id", "text"), each, "doc_id bigint, fp bigint")
 
 
-def find_within(queries: DataFrame, entries: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
+def _masks(bits: list[int], blocks: int) -> list[int]:
+    """The bits in so many blocks of about equal size."""
+    edges = [len(bits) * i // blocks for i in range(blocks + 1)]
+    return [sum(1 << b for b in bits[i:k]) for i, k in zip(edges, edges[1:])]
+
+
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint")
+
+
+def find_within(queries: DataFrame, entries: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """(query_id, id, distance) for all entries (id, fp) within radius bits of a query (query_id, fp).
 
     The bits are cut into blocks; fingerprints within the radius agree in at least blocks - radius of them, so each
     table (a choice of that many blocks) is keyed by the bits it puts in front, and one of the tables has every match.
+    Lists of over MOST_POSTED entries are cut in the same way by the bits that are not in front.
     """
     blocks = blocks or radius + 2
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    masks = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(blocks)]
-    tables = [sum(masks[i] for i in c) for c in combinations(range(blocks), blocks - radius)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in tables]
+    choices = lambda bits: [sum(c) for c in combinations(_masks(bits, blocks), blocks - radius)]
+    tables = choices(list(range(64)))
+    below = [choices([b for b in range(64) if not m >> b & 1]) for m in tables]
 
     def keyed(df: DataFrame, name: str) -> DataFrame:
-        keys = F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("bigint")).alias("key")) for k, m in enumerate(signed)])
+        keys = F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(_signed(m)).alias("key")) for k, m in enumerate(tables)])
         return df.select(F.col(name), F.col("fp").alias(f"fp_{name}"), F.explode(keys).alias("k")).select(name, f"fp_{name}", "k.t", "k.key")
 
-    met = keyed(queries, "query_id").join(keyed(entries, "id"), ["t", "key"]).withColumn("x", F.col("fp_query_id").bitwiseXOR(F.col("fp_id")))
-    first = F.coalesce(*[F.when(F.col("x").bitwiseAND(F.lit(m).cast("bigint")) == 0, F.lit(k)) for k, m in enumerate(signed)])
-    return met.where((F.bit_count("x") <= radius) & (F.col("t") == first)).select("query_id", "id", F.bit_count("x").alias("distance"))
+    def deeper(df: DataFrame, name: str) -> DataFrame:
+        fp = F.col(f"fp_{name}")
+        keys = F.filter(F.array(*[F.struct(F.lit(100 * (k + 1) + i).alias("t"), F.lit(k).alias("of"), fp.bitwiseAND(_signed(m | tables[k])).alias("key")) for k, some in enumerate(below) for i, m in enumerate(some)]), lambda x: x["of"] == F.col("t"))
+        return df.select(name, fp, F.explode(keys).alias("k")).select(name, f"fp_{name}", "k.t", "k.key")
+
+    left, right = keyed(queries, "query_id"), keyed(entries, "id")
+    lists = written(right.groupBy("t", "key").agg(F.count("*").alias("n")))
+    long = lists.where(F.col("n") > MOST_POSTED)
+    if not long.isEmpty():
+        whole = lists.where(F.col("n") <= MOST_POSTED)
+        left = join_counted(left, whole, ["t", "key"], "n").unionByName(deeper(join_counted(left, long, ["t", "key"], "n"), "query_id"))
+        right = join_counted(right, whole, ["t", "key"], "n").unionByName(deeper(join_counted(right, long, ["t", "key"], "n"), "id"))
+    met = left.join(right, ["t", "key"]).withColumn("distance", F.bit_count(F.col("fp_query_id").bitwiseXOR(F.col("fp_id"))))
+    return met.where(F.col("distance") <= radius).select("query_id", "id", "distance").distinct()
 
 
 def edited(text: str, following: str) -> str:
@@ -110,57 +113,79 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _place(cuts: list[int]) -> Column:
-    """Number of the range, in descending order of ids, that an id falls into; null ids fall into the last."""
-    if not cuts:
-        return F.lit(0)
-    return F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(F.size(F.filter(F.lit(cuts), lambda c: c > F.col("doc_id"))))
+SCHEMA = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) dealt into ranges of ids, each sorted, and closed by the row that follows its last (role 1).
+def _judged(pairs: list[tuple]) -> list[list]:
+    """Columns of SCHEMA for (doc_id, text, its fingerprint, next text, its fingerprint)."""
+    others = [edited(text, after) for _, text, _, after, _ in pairs]
+    out = [[] for _ in range(7)]
+    for (doc, text, fp, _, fp_after), other, changed in zip(pairs, others, fingerprints_of(others)):
+        digest = hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest()
+        for column, x in zip(out, (doc, len(text), digest, f"{fp:016x}", f"{changed:016x}", likeness(fp, changed), likeness(fp, fp_after))):
+            column.append(x)
+    return out
 
-    Only doc_id is read to place the cuts; the rows that travel twice are one for each range.
-    """
-    spark = docs.sparkSession
+
+def _batch(columns: list[list], schema: str) -> pa.RecordBatch:
+    names, types = zip(*[x.split() for x in schema.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[t]) for c, t in zip(columns, types)], list(names))
+
+
+def _next_documents(docs: DataFrame) -> DataFrame:
+    """SCHEMA with each document's next one. Documents are dealt into sorted ranges; the last of a range meets the first of the next afterwards."""
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chars, n = docs.agg(F.sum(F.length("text").cast("bigint")), F.count("*")).first()
-    ranges = max(1, min(n, max(int(spark.conf.get("spark.sql.shuffle.partitions")), (chars or 0) // RANGE_CHARS)))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else []
-    cuts = sorted(set(cuts or []))
-    placed = docs.withColumn("place", _place(cuts)).withColumn("role", F.lit(0))
-    firsts = [(r["place"], r["doc_id"]) for r in placed.groupBy("place").agg(F.max("doc_id").alias("doc_id")).orderBy("place").collect()]
-    if firsts:
-        follows = [(to, doc) for (to, _), (_, doc) in zip(firsts, [*firsts[1:], firsts[0]])]
-        key = spark.createDataFrame(follows, "place int, doc_id bigint")
-        donors = docs.join(F.broadcast(key), docs.doc_id.eqNullSafe(key.doc_id)).groupBy("place").agg(F.max(F.struct(docs.doc_id, "text")).alias("d"))
-        placed = placed.unionByName(donors.select("d.doc_id", "d.text", "place", F.lit(1).alias("role")))
-    return placed.repartitionById(len(cuts) + 1, F.col("place")).sortWithinPartitions("role", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
-
-
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
-    ship(docs.sparkSession)
-    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-
-    def rows(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            yield from zip(batch.column(0).to_pylist(), map(lambda t: t.as_py(), batch.column(1)))
+    ranges = max(1, min(n, MOST_RANGES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (chars or 0) // RANGE_CHARS)))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
+    dealt = docs.repartitionByRange(ranges, order[0], F.substring("text", 1, 64).desc()).sortWithinPartitions(*order)
+    schema = f"role int, place int, text string, {SCHEMA}"
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, at = [], None
-        for doc, text in rows(batches):
-            fp = fingerprint(text)
-            if at is not None:
-                other = edited(at[1], text)
-                changed = fingerprint(other)
-                out.append((at[0], len(at[1]), hashlib.sha256(other.encode()).hexdigest(), f"{at[2]:016x}", f"{changed:016x}", likeness(at[2], changed), likeness(at[2], fp)))
-            at = doc, text, fp
-            if len(out) == 5000:
-                yield pa.RecordBatch.from_pydict(dict(zip([x.split()[0] for x in schema.split(", ")], map(list, zip(*out)))), schema=kinds)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_pydict(dict(zip([x.split()[0] for x in schema.split(", ")], map(list, zip(*out)))), schema=kinds)
-
-    kinds = pa.schema([(x.split()[0], {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}[x.split()[1]]) for x in schema.split(", ")])
-    return with_next(docs).select("doc_id", "text").mapInArrow(over, schema)
+        from pyspark import TaskContext
+
+        place, last = TaskContext.get().partitionId(), None
+        edge = lambda role, doc, text: _batch([[role], [place], [text], [doc], *[[None]] * 6], schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                ids, texts = (c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns)
+                rows = list(zip(ids, texts, fingerprints_of(texts)))
+                if last is None:
+                    yield edge(1, *rows[0][:2])
+                else:
+                    rows.insert(0, last)
+                last = rows[-1]
+                if len(rows) > 1:
+                    found = _judged([(*a, *b[1:]) for a, b in zip(rows, rows[1:])])
+                    yield _batch([[0] * len(found[0]), [place] * len(found[0]), [None] * len(found[0]), *found], schema)
+        if last is not None:
+            yield edge(2, *last[:2])
+
+    out = written(dealt.mapInArrow(over, schema))
+    firsts = out.where("role = 1").select(F.col("place").alias("following"), F.col("text").alias("next"))
+    places = out.where("role = 1").select("place", F.lead("place").over(Window.orderBy("place")).alias("following"))  # a row for each range
+    least = out.where("role = 1").agg(F.min("place").alias("least"))
+    places = places.join(F.broadcast(least)).select("place", F.coalesce("following", "least").alias("following"))
+    lasts = out.where("role = 2").select("place", "doc_id", "text").join(places, "place").join(firsts, "following").select("doc_id", "text", "next")
+
+    def close(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, texts, after = (c.to_pylist() for c in batch.columns)
+        return _batch(_judged(list(zip(ids, texts, fingerprints_of(texts), after, fingerprints_of(after)))), SCHEMA)
+
+    return written(out.where("role = 0").drop("role", "place", "text").union(arrow_map(lasts, close, SCHEMA)))
+
+
+def edited_fingerprints(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document.
+
+    n_within: how many other documents' fingerprints lie within radius bits, found through the permuted tables over
+    distinct fingerprints; equal ones count too.
+    """
+    found = _next_documents(docs)
+    kinds = written(found.groupBy("fingerprint").agg(F.count("*").alias("n")).withColumn("fp", F.conv("fingerprint", 16, -10).cast("bigint")))
+    pairs = find_within(kinds.select(F.col("fp").alias("query_id"), "fp"), kinds.select(F.col("fp").alias("id"), "fp"), radius)
+    within = pairs.join(kinds.select(F.col("fp").alias("id"), "n"), "id").groupBy(F.col("query_id").alias("fp")).agg((F.sum("n") - 1).alias("n_within"))
+    near = written(kinds.join(within, "fp").select("fingerprint", "n", "n_within"))
+    return join_counted(found, near, ["fingerprint"], "n").select(*[x.split()[0] for x in SCHEMA.split(", ")], "n_within")
