@@ -16,7 +16,7 @@ from collections.abc import Callable
 import numpy as np
 import xxhash
 
-from sparkloom.llm.fingerprints import mix
+from sparkloom.llm.tokens import hashed, mix, runs_of
 
 GRAM, GRAM_WORDS = 16, 15
 CHUNK = 1 << 19
@@ -43,25 +43,12 @@ def _leftmost_least(grams: np.ndarray, wide: int) -> np.ndarray:
 
 def word_hashes(data: bytes) -> np.ndarray:
     """A hash of each word as it is written."""
-    words = data.split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return hashed(data)[0]
 
 
 def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The bytes at which each word begins and ends."""
-    x = np.frombuffer(data, np.uint8)
-    inside = np.concatenate([[False], (x != 32) & ((x < 9) | (x > 13)), [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return edges[::2], edges[1::2]
-
-
-def _runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
-    """A hash of each k neighbours, in their order."""
-    if k == 1:
-        return mix(hashes)
-    half, n = _runs_of(hashes, k // 2), len(hashes) - k + 1
-    out = mix(half[:n]) + half[k // 2 : k // 2 + n]
-    return mix(mix(out) + hashes[k - 1 :] if k % 2 else out)
+    return hashed(data)[1:]
 
 
 def _cut(n: int, length: int, gram: int, grams: Callable[[int, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +88,7 @@ def word_stretches(hashes: np.ndarray, length: int):
     """The same in words, given by their hashes."""
     if len(hashes) < length:
         return stretches(b"", length=GRAM + 3)
-    all_of = _runs_of(hashes, GRAM_WORDS)
+    all_of = runs_of(hashes, GRAM_WORDS)
     start, size, lead = _cut(len(hashes), length, GRAM_WORDS, lambda at, m: all_of[at : at + m])
-    cores = _runs_of(hashes, length - width_of(length, GRAM_WORDS))
+    cores = runs_of(hashes, length - width_of(length, GRAM_WORDS))
     return start, size, lead, cores[start + lead], _digests(hashes.tobytes(), 8 * start, 8 * (start + size))
