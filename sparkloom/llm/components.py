@@ -1,7 +1,8 @@
 """Connected components of a graph given as pairs, without gathering the graph anywhere.
 
 Each partition first keeps a spanning forest of its own pairs; then large-star and small-star rounds, each written to
-the shared folder, make every node point at the smallest node of its component. Hubs are split by Spark's skew join.
+the shared folder, make every node point at the smallest node of its component. Counts of neighbours are tables, so that
+hubs (at most HEAVY of them at a time) are joined by broadcast and no task gathers a hub's neighbours.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import ship, written
+from sparkloom.llm.common import join_counted, ship, written
 
 
 class Forest:
@@ -63,10 +64,10 @@ def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("v"), F.col("u"))).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
+        large = written(join_counted(both, least, ["u"], "n").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        small = join_counted(large, low, ["u"], "n")
         edges = written(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

@@ -151,7 +151,7 @@ def test_lm_is_a_distribution():
         assert abs(sum(plain.p(history, w) for w in words) - 1) < 1e-12, history
 
 
-def test_lm_packs_keys_and_counts():
+def test_scoring_packs_keys_and_counts():
     r = np.random.default_rng(1)
     for n in (1, 3, 4, 5, 6, 1000):
         for keys in (np.sort(r.integers(0, 1 << 63, n).astype(np.uint64)), np.sort(r.integers(0, 1 << 40, n).astype(np.uint64))):
@@ -177,18 +177,33 @@ def test_words_are_hashed_alike():
 def test_fingerprints(docs, empty):
     rows = fingerprints.edited_fingerprints(docs).collect()
     order = sorted(docs.select("doc_id", "text").collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or ""), reverse=True)
+    fps = [fingerprints.fingerprint(r["text"]) for r in order]
     want = Counter()
     for r, after in zip(order, [*order[1:], order[0]]):
         a, b = r["text"] or "", after["text"] or ""
         e = a[: len(a) - len(a) // 2] + b[: len(a) // 2]
         fa, fe, fb = map(fingerprints.fingerprint, (a, e, b))
-        want[r["doc_id"], len(a), hashlib.sha256(e.encode()).hexdigest(), f"{fa:016x}", f"{fe:016x}", fingerprints.likeness(fa, fe), fingerprints.likeness(fa, fb)] += 1
+        within = sum((fa ^ f).bit_count() <= 3 for f in fps) - 1
+        want[r["doc_id"], len(a), hashlib.sha256(e.encode()).hexdigest(), f"{fa:016x}", f"{fe:016x}", fingerprints.likeness(fa, fe), fingerprints.likeness(fa, fb), within] += 1
     assert Counter(map(tuple, rows)) == want
     assert fingerprints.edited_fingerprints(empty).count() == 0
     assert fingerprints.edited_fingerprints(docs.where("doc_id = 5")).count() == 1
 
 
-def test_permuted_tables(spark):
+def test_fingerprint_is_a_weighted_vote():
+    """Against votes counted bit by bit over a dictionary of terms."""
+    for text in texts():
+        words = tokens.words_of_texts([text])[0]
+        n = min(3, len(words))
+        terms = Counter(tokens.mix(tokens.runs_of(words, n)).tolist()) if n else {}
+        weight = {t: round(1024 * (1 + math.log(c))) for t, c in terms.items()}
+        want = sum(1 << b for b in range(64) if sum(w if t >> b & 1 else -w for t, w in weight.items()) > 0)
+        assert fingerprints.fingerprint(text) == want
+
+
+@pytest.mark.parametrize("most", [500, 2])
+def test_permuted_tables(spark, monkeypatch, most):
+    monkeypatch.setattr(fingerprints, "MOST_POSTED", most)
     r = random.Random(4)
     base = [r.getrandbits(64) for _ in range(50)]
     fps = base + [b ^ sum(1 << k for k in r.sample(range(64), r.randint(0, 5))) for b in base]
@@ -197,7 +212,9 @@ def test_permuted_tables(spark):
     assert got == {(i, j, (a ^ b).bit_count()) for i, a in enumerate(fps) for j, b in enumerate(fps) if (a ^ b).bit_count() <= 3}
 
 
-def test_simhash_pairs_and_components(spark):
+@pytest.mark.parametrize("most", [500, 2])
+def test_simhash_pairs_and_components(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash_dedup, "MOST_POSTED", most)
     r = random.Random(5)
     base = [r.getrandbits(64) for _ in range(40)]
     fps = sorted({b ^ sum(1 << k for k in r.sample(range(64), r.randint(0, 4))) for b in base for _ in range(6)})
@@ -205,6 +222,11 @@ def test_simhash_pairs_and_components(spark):
     got = [tuple(sorted(x)) for x in simhash_dedup.near_pairs(df).collect()]
     want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if (fps[i] ^ fps[j]).bit_count() <= 3}
     assert len(got) == len(set(got)) and set(got) == want
+    # the index is whole and the tally filters: exactly what shares five positional bytes passes, more than is near
+    met = [(tuple(sorted(x[:2])), x["shared"]) for x in simhash_dedup.tallied(df).collect()]
+    alike = lambda a, b: sum((a ^ b) >> 8 * k & 255 == 0 for k in range(8))
+    five = {(i, j): alike(fps[i], fps[j]) for i in range(len(fps)) for j in range(i + 1, len(fps)) if alike(fps[i], fps[j]) >= 5}
+    assert set(met) == set(five.items()) and set(five) > want
     forest = components.Forest()
     for i, j in want:
         forest.join(i, j)
@@ -230,11 +252,13 @@ def test_simhash_dedup(docs, empty):
     given = docs.select("doc_id", "text").collect()
     assert Counter((r["doc_id"], r["fingerprint"]) for r in rows) == Counter((r["doc_id"], f"{fp(r['text']):016x}") for r in given)
     of = {r["doc_id"]: r["component_id"] for r in rows if r["doc_id"] not in (0, None)}
-    ids = {i: fp(t) for i, t in ((r["doc_id"], r["text"]) for r in given) if i not in (0, None)}
-    for i in ids:
-        for j in ids:
-            if (ids[i] ^ ids[j]).bit_count() <= 3:
-                assert of[i] == of[j]
+    rows = [(i, fp(t)) for i, t in ((r["doc_id"], r["text"]) for r in given) if i is not None]
+    forest = components.Forest()
+    for i, a in rows:
+        for j, b in rows:
+            if (a ^ b).bit_count() <= 3:
+                forest.join(i, j)
+    assert of == {i: forest.root(i) for i, _ in rows if i}
     assert simhash_dedup.query(empty).count() == 0
 
 
@@ -328,8 +352,9 @@ def test_pipeline(spark, tmp_path, docs):
         assert step.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def test_similar_groups(spark, monkeypatch):
-    monkeypatch.setattr(simhash_dedup, "CHUNK_ROWS", 3)
+@pytest.mark.parametrize("rows_of_a_chunk", [3, 1000])
+def test_similar_groups(spark, monkeypatch, rows_of_a_chunk):
+    monkeypatch.setattr(simhash_dedup, "CHUNK_ROWS", rows_of_a_chunk)
     r = random.Random(9)
     rows, family = [], {}
     for k in range(12):
@@ -346,6 +371,40 @@ def test_similar_groups(spark, monkeypatch):
     assert (got[1000], got[1001], got[1002], got[1003]) == (1000, 1000, 1002, 1002)
 
 
+@pytest.mark.parametrize("rows_of_a_chunk", [2, 1000])
+def test_similar_groups_against_brute_force(spark, monkeypatch, rows_of_a_chunk):
+    """Families around a base at all similarities, some of whose members are linked with each other alone."""
+    monkeypatch.setattr(simhash_dedup, "CHUNK_ROWS", rows_of_a_chunk)
+    r = random.Random(14)
+    rows = []
+    for _ in range(6):
+        base = [f"w{r.randrange(5000)}" for _ in range(200)]
+        for _ in range(12):
+            words = list(base)
+            for i in r.sample(range(190), r.choice([0, 1, 2, 4, 6, 10, 20])):
+                words[i] = f"x{r.randrange(9)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(196)} for _, t in rows]
+    forest, links = components.Forest(), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                forest.join(i, j)
+                links += sets[i] != sets[j]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {x["doc_id"]: x["component_id"] for x in simhash_dedup.group(docs, shingle=5, similarity=0.8).collect()}
+    assert links > 20 and got == {i: forest.root(i) for i in range(len(rows))}
+
+
+def test_keep_similar_judges_rows(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    near, other = text + " end", " ".join(f"v{i}" for i in range(100))
+    rows = [(5, other, 1), (5, near, 2), (2, text, 3), (None, text, 4), (None, "alone", 5), (5, other, 6), (7, None, 7), (6, "", 8), (None, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row bigint").coalesce(1)
+    assert sorted(x["row"] for x in simhash_dedup.keep_similar(docs, 5, 0.8).collect()) == [1, 3, 5, 8]
+    assert simhash_dedup.keep_similar(docs.limit(0), 5, 0.8).count() == 0
+
+
 def test_similar_groups_are_verified(spark):
     r = random.Random(12)
     jaccard = lambda a, b: len(a & b) / len(a | b)
