@@ -18,8 +18,8 @@ and traverses it. Blocks and shards are bounded, however large the splits and th
 fills a third of the corpus is one key a block.
 
 The model's order is one more than the number of masses given. MASSES makes it a trigram model: each order more sends
-its n-grams once more, about as many bytes as the input has. The masses were chosen by the likelihood of held-out
-texts, among a grid.
+its n-grams once more, about as many bytes as the input has. The masses were chosen from a grid by the
+likelihood of the held-out fold of 10,000 documents of synthetic prose, around which it is flat.
 
 Null texts count as empty: one token, the end. Rows that repeat count each time. Null ids belong to no fold: scored,
 not learnt from (held_out null). The input must give the same rows when read again (a table or a checkpoint; its
@@ -41,7 +41,7 @@ from sparkloom.llm.common import pin_splits, remainder, ship, written
 from sparkloom.llm.tokens import grouped, mix, numbered, words_of_texts
 
 END = 0x5851F42D4C957F2D
-MASSES = (40.0, 6.0)  # of orders 2 and 3
+MASSES = (5000.0, 4.0)  # of orders 2 and 3
 BLOCK_BYTES, SHARD_KEYS, MOST_TASKS, LANE = 8_000_000, 4_000_000, 20_000, 512
 
 
