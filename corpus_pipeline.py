@@ -26,12 +26,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (shingles of five words, similarity 0.8 or more): the one of smallest doc_id.
 
-    Rows without an id are no one's duplicates and stay; of rows that repeat an id and text one stays.
+    Groups are decided on whole texts, row by row: of equal ids the first row of the input stays, null ids come last.
+    Texts without words (null, empty) are copies of each other. An empty table gives no rows.
     """
-    grouped = simhash_dedup.group(docs.select("doc_id", "text"), shingle=5, similarity=0.8)
-    keep = grouped.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(*docs.columns).union(docs.where("doc_id is null"))
+    return simhash_dedup.keep_similar(docs, shingle=5, similarity=0.8)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
