@@ -98,11 +98,6 @@ def education_score(spark, sf_dir):
     return text_of(spark, sf_dir).select("doc_id", F.round(T.education(F.col("text")), 6).alias("education"))
 
 
-@query()
-def line_dedup(spark, sf_dir):
-    return text_of(spark, sf_dir).select("doc_id", U.dedup_lines("text").alias("text"))
-
-
 @query()
 def char_and_word_runs(spark, sf_dir):
     return text_of(spark, sf_dir).select("doc_id", U.cut_word_runs(T.cut_char_runs(F.col("text"))).alias("text"))
@@ -191,7 +186,7 @@ def safety_assessment(spark, sf_dir):
 
 
 _TOX = f"select doc_id, {_sql_any('text', X.HATE, 'i')} as hate, {_sql_any('text', X.THREAT, 'i')} as threat from documents"
-_TOXIC = f"select doc_id, case when threat then 0.9 when hate then 0.8 else 0.1 end::double as toxicity, case when hate then 0.8 else 0.05 end::double as identity_attack, case when threat then 0.9 else 0.05 end::double as threat, hate or threat as is_toxic from ({_TOX})"
+_TOXIC = f"select doc_id, case when threat then 0.9 when hate then 0.8 else 0.1 end::double as toxicity, 0.05::double as severe_toxicity, case when hate then 0.8 else 0.05 end::double as identity_attack, 0.1::double as insult, 0.1::double as profanity, case when threat then 0.9 else 0.05 end::double as threat, 0.05::double as sexually_explicit, hate or threat as is_toxic from ({_TOX})"
 
 
 @query(_TOXIC)
@@ -217,9 +212,9 @@ def annotator_kappa(spark, sf_dir):
 
 
 # --- personal data -------------------------------------------------------------------------------------------------
-@query("select " + ", ".join(f"sum(len(regexp_extract_all(text, '{p}')))::bigint as {k.lower()}" for k, p in X.PII.items() if k != "PERSON") + " from documents")
+@query("select " + ", ".join(f"sum(len(regexp_extract_all(text, '{p}')))::bigint as {k.lower()}" for k, p in X.PII.items()) + " from documents")
 def pii_counts(spark, sf_dir):
-    return text_of(spark, sf_dir).agg(*[F.sum(F.regexp_count("text", F.lit(p))).alias(k.lower()) for k, p in X.PII.items() if k != "PERSON"])
+    return text_of(spark, sf_dir).agg(*[F.sum(F.regexp_count("text", F.lit(p))).alias(k.lower()) for k, p in X.PII.items()])
 
 
 @query()
@@ -229,7 +224,7 @@ def pii_entities(spark, sf_dir):
 
 @query()
 def pii_redacted(spark, sf_dir):
-    return text_of(spark, sf_dir).select("doc_id", *[U.anonymize(s)("text").alias(s) for s in ("replace", "mask", "hash")])
+    return text_of(spark, sf_dir).select("doc_id", U.cover_all("text").alias("c")).select("doc_id", "c.*")
 
 
 @query(r"select doc_id, unnest(list_filter(regexp_extract_all(text, '\b(?:\d{1,3}\.){3}\d{1,3}\b'), lambda ip: list_bool_and(list_transform(string_split(ip, '.'), lambda x: x::int <= 255)))) as ip from documents")
@@ -239,12 +234,6 @@ def pii_strict_ip(spark, sf_dir):
     return text_of(spark, sf_dir).select("doc_id", F.explode(good).alias("ip"))
 
 
-@query()
-def pii_strict_card(spark, sf_dir):
-    found = F.filter(F.regexp_extract_all("text", F.lit(X.PII["BANK_CARD"]), 0), lambda c: F.call_function("luhn_check", c))
-    return text_of(spark, sf_dir).select("doc_id", F.explode(found).alias("card"))
-
-
 # --- duplicates ----------------------------------------------------------------------------------------------------
 @query("select doc_id, lang, source from (select *, row_number() over (partition by sha256(text) order by doc_id) as r from documents) where r = 1")
 def exact_dedup_kept(spark, sf_dir):
@@ -334,14 +323,23 @@ for _name in chat.TEMPLATES:
     _chat(_name)
 
 
-@query()
+def _sql_sft() -> str:
+    begin, roles, opener = chat.TEMPLATES["chatml"]
+    lit = lambda s: "'" + s.replace("\n", "' || chr(10) || '") + "'"
+    cases = " ".join(f"when '{r}' then {lit(a)} || coalesce(c.text, '') || {lit(b)}" for r, (a, b) in roles.items())
+    last = "select conv_id, max(turn) filter (role = 'assistant') as last, count(*)::int as n from conversations group by 1"
+    return f"select conv_id, any_value(n) as n_messages, {lit(begin)} || coalesce(string_agg(case c.role {cases} else '' end, '' order by c.turn, c.role, c.text) filter (c.turn < last), '') || {lit(opener)} as prompt, any_value(c.text) filter (c.turn = last) as response from conversations c join ({last}) using (conv_id) where last is not null group by 1"
+
+
+@query(_sql_sft())
 def sft_samples(spark, sf_dir):
     return chat.sft_samples(read(spark, sf_dir, "conversations"))
 
 
-@query("with u as (select conv_id, arg_min(text, turn) as prompt from conversations where role = 'user' group by 1), a as (select conv_id, arg_min(text, turn) as answer from conversations where role = 'assistant' group by 1), p as (select prompt, arg_max(answer, (length(answer), answer)) as x, arg_min(answer, (length(answer), answer)) as y from u join a using (conv_id) group by 1) select prompt, prompt || chr(10) || x as chosen, prompt || chr(10) || y as rejected from p where x <> y")
+@query("with u as (select conv_id, split_part(arg_min(text, turn), ' ', 1) as prompt from conversations where role = 'user' group by 1), a as (select conv_id, arg_min(text, turn) as answer from conversations where role = 'assistant' group by 1), p as (select prompt, arg_max(answer, (length(answer), answer)) as x, arg_min(answer, (length(answer), answer)) as y from u join a using (conv_id) group by 1) select prompt, prompt || chr(10) || x as chosen, prompt || chr(10) || y as rejected from p where x <> y")
 def preference_pairs(spark, sf_dir):
-    return chat.preference_pairs(read(spark, sf_dir, "conversations"))
+    """Pairs of answers to user turns that begin with the same word (no two whole turns are equal in these tables)."""
+    return chat.preference_pairs(read(spark, sf_dir, "conversations"), lambda t: F.split(t, " ")[0])
 
 
 @query("select role, count(*) as n, sum(length(text))::bigint as chars, max(turn) as last_turn from conversations group by 1")
@@ -360,16 +358,6 @@ def qa_entities(spark, sf_dir):
     return text_of(spark, sf_dir).select("doc_id", F.array_join(T.entities(F.col("text")), "|").alias("entities"))
 
 
-@query()
-def qa_pairs(spark, sf_dir):
-    return label.questions(text_of(spark, sf_dir))
-
-
-@query(r"select doc_id, round(least(1.0, case when lower(lang) = a then 1.0 when contains(a, lower(lang)) or contains(lower(lang), a) then 0.5 else 0.0 end * 3.0)::double, 6) as score from (select doc_id, lang, lower(source) as a from documents)")
-def vqa_scores(spark, sf_dir):
-    return text_of(spark, sf_dir).select("doc_id", F.round(evaluate.vqa_score(F.col("lang"), F.array("source")), 6).alias("score"))
-
-
 # --- sampling ------------------------------------------------------------------------------------------------------
 @query("select doc_id, case when p < 0.8 then 'train' when p < 0.9 then 'validation' else 'test' end as split from (select doc_id, ('0x' || substr(md5(doc_id::varchar || ':42'), 1, 13))::bigint / 4503599627370496.0 as p from documents)")
 def hash_split(spark, sf_dir):
@@ -422,3 +410,6 @@ def star_join_revenue(spark, sf_dir):
     get = lambda n: read(spark, sf_dir, n)
     out = get("lineitem").join(get("orders"), F.expr("l_orderkey = o_orderkey")).join(get("customer"), F.expr("o_custkey = c_custkey")).join(get("nation"), F.expr("c_nationkey = n_nationkey"))
     return out.groupBy("n_name").agg(F.sum(F.expr("l_extendedprice * (1 - l_discount)")).alias("revenue"))
+
+
+from sparkloom import catalogue_more  # noqa: E402, F401  the rest of the queries register themselves

@@ -14,6 +14,13 @@ BOILERPLATE = [
 TECHNICAL = [r"\b(however|therefore|furthermore|moreover)\b", r"\b(analysis|research|study|theory)\b", r"\d+\.\d+", r"\b[A-Z]{2,}\b"]
 INFORMAL = [r"\b(lol|omg|wtf|idk)\b", r"[!]{2,}"]
 CHAR_RUN, WORD_RUN, LINE_RATIO = 50, 5, 0.3
+MOST_PERPLEXITY = 1000.0
+
+# --- fixed values: images with text ----------------------------------------------------------------------------
+LEAST_BYTES, MOST_BYTES = 1024, 50 * 1024 * 1024
+CAPTION_CHARS = (10, 1000)
+CAPTION_LENGTHS, CAPTION_CONFIDENCE = (10, 500), 0.5
+CAPTION_MODELS = {"qwen2_vl": ("Generated caption for image using Qwen2-VL model", 0.9), "llava": ("Generated caption for image using LLaVA model", 0.85), "blip2": ("Generated caption for image using BLIP-2 model", 0.8), "generic": ("Generated caption for image", 0.75)}
 
 # --- fixed values: quality filter and scorer -------------------------------------------------------------------
 ACADEMIC = ["研究", "分析", "理论", "方法", "结果", "research", "analysis", "theory", "method", "result"]
@@ -34,6 +41,14 @@ RISK_WORDS = {
 }
 RISK_THRESHOLD = 0.7
 HATE = [r"讨厌.*种族", r"仇恨.*民族", r"hate\s+.*people", r"kill\s+all"]
+#: Scores of a text on which no rule fires, and of one on which the rule of that name does.
+TOXICITY_BASE = {"toxicity": 0.1, "severe_toxicity": 0.05, "identity_attack": 0.05, "insult": 0.1, "profanity": 0.1, "threat": 0.05, "sexually_explicit": 0.05}
+TOXICITY_HIT = {"profanity": 0.9, "identity_attack": 0.8, "threat": 0.9}
+TOXICITY_LIMITS = {"toxicity": 0.7, "identity_attack": 0.7, "profanity": 0.8, "threat": 0.7}
+PROFANITY_ZH: list[str] = []
+PROFANITY_EN: list[str] = []
+IMAGE_RISKS = {"nsfw": 0.1, "violence": 0.1, "sexual_content": 0.1}
+IMAGE_CONFIDENCE = 0.9
 THREAT = [r"我要杀", r"你死定了", r"i\s+will\s+kill", r"you\s+will\s+die", r"威胁", r"threat"]
 
 # --- fixed values: personal data -------------------------------------------------------------------------------
@@ -46,11 +61,28 @@ PII = {
     "EMAIL_ADDRESS": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
 }
 
+#: Scores of the strict rules; cards must pass the Luhn test and addresses have parts of at most 255.
+PII_STRICT = {"PHONE_NUMBER": 0.95, "ID_CARD": 0.95, "BANK_CARD": 0.9, "IP_ADDRESS": 0.9}
+
 # --- fixed values: questions and answers -----------------------------------------------------------------------
+QUESTION_TYPES = ["factual", "inferential", "conceptual"]
+QUESTIONS, LEAST_CONFIDENCE = 3, 0.5
+QUESTION_CHARS, ANSWER_CHARS = (10, 200), (20, 1000)
 SENTENCE_ENDS = "[。！？.!?]"
 ENTITY = r"[A-Z][a-z]+\s[A-Z][a-z]+|[A-Z][a-z]+"
 NUMBER = r"\d+(?:\.\d+)?(?:万|亿|百万)?"
 
+# --- fixed values: scores of what has no model here ------------------------------------------------------------
+IMAGE_SCORES, IMAGE_WEIGHTS = {"aesthetic": 0.5, "clarity": 0.5, "safe": 1.0}, {"aesthetic": 0.4, "clarity": 0.3, "safe": 0.3}
+AUDIO_SCORES, AUDIO_WEIGHTS = {"snr": 0.5, "clarity": 0.5, "speaker_quality": 0.5}, {"snr": 0.4, "clarity": 0.3, "speaker_quality": 0.3}
+ALIGNMENT, SCORER_IMAGE = 0.5, {"aesthetic": 0.75, "clarity": 0.8, "alignment": 0.7}
+
+# --- fixed values: words written together ----------------------------------------------------------------------
+CONTRACTIONS = {"can't": "cannot", "won't": "will not", "n't": " not", "'re": " are", "'ve": " have", "'ll": " will", "'m": " am"}
+
+# --- fixed values: repositories as texts -----------------------------------------------------------------------
+REPOSITORY = "\nRepository: %s\nDescription: %s\nLanguage: %s\nStars: %s\nURL: %s\n"
+
 # --- fixed values: stores --------------------------------------------------------------------------------------
 MIME = {
     ".txt": "text/plain", ".json": "application/json", ".jsonl": "application/jsonl", ".csv": "text/csv", ".jpg": "image/jpeg", ".jpeg": "image/jpeg",

@@ -121,14 +121,6 @@ def risk(text: Column, kind: str) -> Column:
     return F.when(n == 0, 0.0).when(n <= 2, 0.3).when(n <= 5, 0.6).otherwise(0.9)
 
 
-def toxicity(text: Column) -> dict[str, Column]:
-    """Toxicity, identity attack and threat of the rule-based filter, and whether it is over a limit."""
-    hate, threat = any_match(text, X.HATE, "(?i)"), any_match(text, X.THREAT, "(?i)")
-    toxic = F.when(threat, 0.9).when(hate, 0.8).otherwise(0.1)
-    attack, menace = F.when(hate, 0.8).otherwise(0.05), F.when(threat, 0.9).otherwise(0.05)
-    return {"toxicity": toxic, "identity_attack": attack, "threat": menace, "is_toxic": (toxic > 0.7) | (attack > 0.7) | (menace > 0.7)}
-
-
 def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, X.SENTENCE_ENDS + "+"), strip), lambda s: s != "")
 
@@ -142,3 +134,121 @@ def entities(text: Column) -> Column:
 def mime_type(path: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in X.MIME.items() for x in pair])
     return F.coalesce(F.try_element_at(table, F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))), F.lit(X.MIME_DEFAULT))
+
+
+def item_text(*candidates: Column) -> Column:
+    """The first candidate that is neither null nor empty."""
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates])
+
+
+def without_punctuation(text: Column) -> Column:
+    return F.regexp_replace(text, r"\p{P}", "")
+
+
+def expand_contractions(text: Column) -> Column:
+    return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), X.CONTRACTIONS.items(), text)
+
+
+def tidy_caption(text: Column, language: str = "en") -> Column:
+    """White space collapsed, repeated sentence ends made one, the first letter of an English caption in upper case."""
+    out = collapse_words(text)
+    for end in "。！？.!?":
+        out = F.regexp_replace(out, rf"[{end}]{{2,}}", end)
+    return F.concat(F.upper(F.substring(out, 1, 1)), F.substring(out, 2, 1 << 30)) if language == "en" else out
+
+
+def collapse_words(text: Column) -> Column:
+    """Words with one blank between."""
+    return F.array_join(words(text), " ")
+
+
+def profanity(text: Column, zh: list[str], en: list[str]) -> Column:
+    found = [text.contains(w) for w in zh] + [F.lower(text).contains(w) for w in en]
+    return reduce(lambda a, b: a | b, found, F.lit(False))
+
+
+def redact(text: Column, zh: list[str], en: list[str], mark: str = "*") -> Column:
+    """Listed words covered, each by as many marks as it has characters; English ones whatever their case."""
+    out = reduce(lambda t, w: F.replace(t, F.lit(w), F.lit(mark * len(w))), zh, text)
+    return reduce(lambda t, w: F.regexp_replace(t, r"(?iu)\Q" + w + r"\E", mark * len(w)), en, out)
+
+
+def toxicity(text: Column, zh: list[str] = X.PROFANITY_ZH, en: list[str] = X.PROFANITY_EN) -> dict[str, Column]:
+    """The seven values of the rule-based filter, and whether one is over its limit."""
+    rude, hate, menace = profanity(text, zh, en), any_match(text, X.HATE, "(?i)"), any_match(text, X.THREAT, "(?i)")
+    out = {k: F.lit(v) for k, v in X.TOXICITY_BASE.items()}
+    out["toxicity"] = F.when(menace, X.TOXICITY_HIT["threat"]).when(hate, X.TOXICITY_HIT["identity_attack"]).otherwise(X.TOXICITY_BASE["toxicity"])
+    for k, hit in (("profanity", rude), ("identity_attack", hate), ("threat", menace)):
+        out[k] = F.when(hit, X.TOXICITY_HIT[k]).otherwise(X.TOXICITY_BASE[k])
+    out["is_toxic"] = reduce(lambda a, b: a | b, [out[k] > v for k, v in X.TOXICITY_LIMITS.items()])
+    return out
+
+
+def toxicity_outcome(text: Column, mode: str = "remove") -> dict[str, Column]:
+    """(status, action): empty texts are skipped; toxic ones filtered (mode remove) or redacted."""
+    toxic = toxicity(text)["is_toxic"]
+    empty = F.coalesce(text, F.lit("")) == ""
+    removed = F.when(toxic & ~empty & F.lit(mode == "remove"), "filtered").otherwise("success")
+    action = F.when(empty, "skipped").when(toxic, "toxic_content" if mode == "remove" else "redacted")
+    return {"status": removed, "action": action}
+
+
+def strict_pii(text: Column) -> Column:
+    """Array of (entity_type, text, score) by the strict rules, kind by kind."""
+    parts = []
+    for kind, score in X.PII_STRICT.items():
+        found = F.regexp_extract_all(text, F.lit(X.PII[kind]), 0)
+        if kind == "BANK_CARD":
+            found = F.filter(found, lambda c: F.call_function("luhn_check", c))
+        if kind == "IP_ADDRESS":
+            found = F.filter(found, lambda ip: F.forall(F.split(ip, r"\."), lambda x: x.cast("int") <= 255))
+        parts.append(F.transform(found, lambda v: F.struct(F.lit(kind).alias("entity_type"), v.alias("text"), F.lit(score).alias("score"))))  # noqa: B023
+    return F.concat(*parts)
+
+
+def reading_ease(text: Column) -> Column:
+    """Flesch reading ease from counts of sentences, words and groups of vowels; null without words."""
+    w = F.size(words(text))
+    n = F.greatest(F.size(sentences(text)), F.lit(1))
+    vowels = F.regexp_count(F.lower(text), F.lit("[aeiouy]+"))
+    return F.when(w > 0, 206.835 - 1.015 * w / n - 84.6 * vowels / w)
+
+
+def spam_marks(text: Column) -> Column:
+    """How many of four marks of advertising a text has: links, exclamations, shouting, prices."""
+    marks = [F.regexp_count(text, F.lit(r"https?://")) >= 3, F.regexp_count(text, F.lit("!")) >= 5, F.regexp_count(text, F.lit(r"\b[A-Z]{4,}\b")) >= 5, text.rlike(r"[$€£]\s?\d")]
+    return reduce(lambda a, b: a + b, [m.cast("int") for m in marks])
+
+
+def data_type(has: dict[str, Column], order: tuple[str, ...], other: str) -> Column:
+    """The first kind, in a caller's order, whose column is there."""
+    out = F.lit(other)
+    for kind in reversed(order):
+        out = F.when(has[kind], kind).otherwise(out)
+    return out
+
+
+#: What each caller looks at first, and what it calls the rest.
+TYPE_ORDERS = {"filter": (("text", "image", "audio"), "unknown"), "labeler": (("image", "audio", "video", "text"), "multimodal"), "tokenizer": (("image", "audio", "video", "text"), "text")}
+
+
+def scorer_type(has_text: Column, has_image: Column) -> Column:
+    return F.when(has_text & has_image, "multimodal").when(has_image, "image").when(has_text, "text").otherwise("unknown")
+
+
+def modality(has: dict[str, Column]) -> Column:
+    """The tokenizer's modality: text where several are there."""
+    several = reduce(lambda a, b: a + b, [c.cast("int") for c in has.values()]) > 1
+    return F.when(several, "text").otherwise(data_type(has, *TYPE_ORDERS["tokenizer"]))
+
+
+def weighted_mean(scores: Column, weights: dict[str, float] | None = None) -> Column:
+    """Mean of (name, score) structs; a name without a weight weighs 1; 0 without any."""
+    table = F.create_map(*[F.lit(x) for p in (weights or {"": 1.0}).items() for x in p])
+    of = lambda d: F.coalesce(F.try_element_at(table, d["name"]), F.lit(1.0))
+    total = F.aggregate(scores, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")), lambda a, d: F.struct((a["s"] + d["score"] * of(d)).alias("s"), (a["w"] + of(d)).alias("w")))
+    return clamp(F.coalesce(F.try_divide(total["s"], total["w"]), F.lit(0.0)))
+
+
+def constant_score(scores: dict[str, float], weights: dict[str, float]) -> Column:
+    return F.lit(sum(scores[k] * weights[k] for k in scores))

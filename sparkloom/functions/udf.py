@@ -25,16 +25,35 @@ def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-_RUN = re.compile(r"(\S+)(\s+\1){3,}")
-
-
-def shorten_runs(text: str, most: int = X.WORD_RUN) -> str:
-    """A word that follows itself over ``most`` times (gaps counted as characters) stands ``most`` times."""
-
-    def short(m: re.Match) -> str:
-        return " ".join([m[1]] * most) if len(m[0]) // (len(m[1]) + 1) > most else m[0]
-
-    return _RUN.sub(short, text)
+_WORD = re.compile(r"\S+")
+
+
+def shorten_runs(text: str, most: int = X.WORD_RUN, least: int = 4) -> str:
+    """A word that follows itself over ``most`` times (gaps counted as characters) stands ``most`` times.
+
+    A run is at least ``least`` copies with white space between; its first copy may end a longer word and its last one
+    may begin one. One pass over the words.
+    """
+    words = [(m[0], *m.span()) for m in _WORD.finditer(text)]
+    out, at, i, scanned = [], 0, 0, 0
+    while i < len(words):
+        word, j = words[i][0], i
+        while j + 1 < len(words) and words[j + 1][0] == word:
+            j += 1
+        first = i + (words[i][1] < scanned)  # its beginning may be part of the run before
+        if j - first >= 1:
+            copies, begin, end = j - first + 1, words[first][1], words[j][2]
+            if first and text[max(scanned, words[first - 1][1]) : words[first - 1][2]].endswith(word):
+                copies, begin = copies + 1, words[first - 1][2] - len(word)
+            if j + 1 < len(words) and words[j + 1][0].startswith(word):
+                copies, end = copies + 1, words[j + 1][1] + len(word)
+            if copies >= least:
+                scanned = end
+                if (end - begin) // (len(word) + 1) > most:
+                    out += [text[at:begin], " ".join([word] * most)]
+                    at = end
+        i = j + 1
+    return "".join([*out, text[at:]])
 
 
 @F.pandas_udf(StringType())
@@ -70,6 +89,31 @@ def dedup_lines(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None or "\n" not in t else first_lines(t))
 
 
+_BOILERPLATE = [re.compile(p, re.I | re.S) for p in X.BOILERPLATE]
+_TAG, _SAME = re.compile("<[^>]+>"), re.compile(r"(.)\1{%d,}" % X.CHAR_RUN)
+_QUOTES = str.maketrans("\u2018\u2019\u201c\u201d", "''\"\"")
+
+
+def rewritten(text: str, quotes: bool = False) -> str:
+    """All rewriting steps of the text cleaner, one after the other: tags, boilerplate, Unicode, repetitions."""
+    text = html.unescape(_TAG.sub("", text)).strip()
+    for p in _BOILERPLATE:
+        text = p.sub("", text)
+    text = unicodedata.normalize("NFKC", text.strip())
+    text = _SAME.sub(lambda m: m[1] * X.CHAR_RUN, text.translate(_QUOTES) if quotes else text)
+    return first_lines(shorten_runs(text))
+
+
+def rewrite(quotes: bool = False):
+    """One Arrow UDF for all rewriting steps: the text goes to Python once."""
+
+    @F.pandas_udf(StringType())
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None else rewritten(t, quotes))
+
+    return of
+
+
 _PII = {k: re.compile(p) for k, p in X.PII.items()}
 
 
@@ -94,14 +138,19 @@ def covered(kind: str, value: str, strategy: str) -> str:
     return "[REDACTED]"
 
 
-def anonymized(text: str, strategy: str) -> str:
+def redacted(text: str, entities: list[tuple[str, str, int, int, float]], strategy: str) -> str:
+    """The text with its entities, sorted and apart, covered."""
     out, at = [], 0
-    for kind, value, start, end, _ in pii_entities(text):
+    for kind, value, start, end, _ in entities:
         out += [text[at:start], covered(kind, value, strategy)]
         at = end
     return "".join([*out, text[at:]])
 
 
+def anonymized(text: str, strategy: str) -> str:
+    return redacted(text, pii_entities(text), strategy)
+
+
 ENTITIES = ArrayType(StructType([StructField("entity_type", StringType()), StructField("text", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("score", DoubleType())]))
 
 
@@ -111,6 +160,22 @@ def find_pii(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [dict(zip(names, e)) for e in pii_entities(t)] if t else [])
 
 
+STRATEGIES = ("replace", "mask", "hash")
+
+
+@F.pandas_udf(StructType([StructField(k, StringType()) for k in STRATEGIES]))
+def cover_all(texts: pd.Series) -> pd.DataFrame:
+    """The text covered by each strategy; entities are found once."""
+
+    def of(t):
+        if not t:
+            return (t,) * len(STRATEGIES)
+        found = pii_entities(t)
+        return tuple(redacted(t, found, k) for k in STRATEGIES)
+
+    return pd.DataFrame([of(t) for t in texts], columns=list(STRATEGIES), index=texts.index)
+
+
 def anonymize(strategy: str):
     """UDF that covers personal data by replace, mask, hash, or anything else for [REDACTED]."""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,11 @@ LLAMA3_BEGIN, LLAMA3_OPEN = "<|begin_of_text|>", "<|start_header_id|>assistant<|
 PLAIN = {"user": ("User: ", "\n"), "assistant": ("Assistant: ", "\n")}
 PLAIN_OPEN = "Assistant: "
 
-TEMPLATES = {"chatml": ("", CHATML, CHATML_OPEN), "llama3": (LLAMA3_BEGIN, LLAMA3, LLAMA3_OPEN), "default": ("", PLAIN, PLAIN_OPEN)}
+TAGGED = {r: (f"<|{r}|>\n", "\n") for r in ("system", "user", "assistant")}
+CLOSED = {r: (f"<|{r}|>\n", f"\n</|{r}|>\n") for r in ("system", "user", "assistant")}
+TAGGED_OPEN = "<|assistant|>\n"
+
+TEMPLATES = {"tagged": ("", TAGGED, TAGGED_OPEN), "closed": ("", CLOSED, TAGGED_OPEN), "chatml": ("", CHATML, CHATML_OPEN), "llama3": (LLAMA3_BEGIN, LLAMA3, LLAMA3_OPEN), "default": ("", PLAIN, PLAIN_OPEN)}
 
 
 def assemble(turns: DataFrame) -> DataFrame:
@@ -47,9 +53,17 @@ def sft_samples(turns: DataFrame) -> DataFrame:
     return a.select("conv_id", F.size("messages").alias("n_messages"), render(before, "chatml").alias("prompt"), answer[0]["text"].alias("response"))
 
 
-def preference_pairs(turns: DataFrame) -> DataFrame:
-    """(prompt, chosen, rejected) texts: the longest and the shortest answer to equal first user turns with at least two."""
-    users = turns.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("prompt"))
+def tokenized(turns: DataFrame, template: str, encode, opener: bool = True) -> DataFrame:
+    """(conv_id, prompt, ids): each conversation rendered and encoded by a UDF of operators.tokenize."""
+    out = rendered(turns, template)
+    end = TEMPLATES[template][2]
+    prompt = F.col("prompt") if opener else F.substring("prompt", F.lit(1), F.length("prompt") - len(end))
+    return out.select("conv_id", prompt.alias("prompt")).withColumn("ids", encode("prompt"))
+
+
+def preference_pairs(turns: DataFrame, key: Callable[[Column], Column] = lambda t: t) -> DataFrame:
+    """(prompt, chosen, rejected) texts: the longest and the shortest answer to first user turns of equal key with at least two."""
+    users = turns.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("prompt")).withColumn("prompt", key(F.col("prompt")))
     answers = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("answer"))
     rank = F.struct(F.length("answer"), "answer")
     pairs = users.join(answers, "conv_id").groupBy("prompt").agg(F.max_by("answer", rank).alias("a"), F.min_by("answer", rank).alias("b")).where("a <> b")

@@ -1,11 +1,15 @@
-"""Duplicate removal: exact, MinHash and SimHash; first means smallest id."""
+"""Duplicate removal: exact, MinHash, SimHash, by modality; the first is the row of smallest id (null last)."""
 
 from __future__ import annotations
 
+import tempfile
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 
 def exact_groups(docs: DataFrame, key: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -13,10 +17,127 @@ def exact_groups(docs: DataFrame, key: str = "text", id_column: str = "doc_id")
     return docs.select(F.sha2(key, 256).alias("hash"), id_column).groupBy("hash").agg(F.min(id_column).alias("first"), F.count("*").alias("n"))
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with each row's place in the input, and the name of that column.
+
+    A place is kept by every scan only if splits are cut alike, so how they are cut is pinned for the session.
+    """
+    spark, name = docs.sparkSession, "_row"
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
+    while name in docs.columns:
+        name = f"_{name}"
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def marked(docs: DataFrame, key: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """docs with duplicate_of: null for the first row of each content, else that row's id (and is_duplicate, as ids may be null)."""
+    rows, place = numbered(docs)
+    rows = rows.withColumn("_hash", F.sha2(key, 256))
+    first = rows.groupBy("_hash").agg(F.min(F.struct(F.col(id_column).isNull(), id_column, place)).alias("_first"))
+    out = rows.join(first, rows._hash.eqNullSafe(first._hash)).withColumn("is_duplicate", F.col(f"_first.{place}") != F.col(place))
+    return out.select(*docs.columns, F.when(F.col("is_duplicate"), F.col(f"_first.{id_column}")).alias("duplicate_of"), "is_duplicate")
+
+
 def exact(docs: DataFrame, key: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """The rows whose content has no row of smaller id."""
-    firsts = exact_groups(docs, key, id_column).select(F.col("first").alias(id_column))
-    return docs.join(firsts, id_column, "left_semi")
+    """One row of each content: of smallest id, then first in the input. Ids may repeat or be null; null contents are one content.
+
+    Hashes, ids and places travel to find the first rows; whole rows only to meet those.
+    """
+    rows, place = numbered(docs)
+    narrow = rows.select(F.sha2(key, 256).alias("hash"), id_column, place)
+    first = narrow.groupBy("hash").agg(F.min(F.struct(F.col(id_column).isNull(), id_column, place)).alias("first")).select(F.col(f"first.{place}").alias(place))
+    return rows.join(first, place, "left_semi").select(*docs.columns)
+
+
+def unseen(docs: DataFrame, seen: DataFrame, key: str = "text") -> DataFrame:
+    """The rows whose content hash is not in the stored keys (hash)."""
+    return docs.join(seen.select(F.col("hash").alias("_hash")), F.sha2(key, 256) == F.col("_hash"), "left_anti")
+
+
+def jaccard(a, b):
+    """Similarity of two arrays as sets; 0 without any element."""
+    return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))), F.lit(0.0))
+
+
+# --- SimHash -------------------------------------------------------------------------------------------------------
+FEATURE_CHARS, DISTANCE = 4, 3
+
+
+def simhash(text: str | None, width: int = FEATURE_CHARS) -> int:
+    """64-bit fingerprint of the lower-cased word characters of a text, by votes of the hashes of its shingles of ``width``."""
+    import re
+
+    import xxhash
+
+    chars = "".join(re.findall(r"\w", (text or "").lower()))
+    grams = [chars[i : i + width] for i in range(max(1, len(chars) - width + 1))]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), np.uint64, len(grams))
+    votes = sum((np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for i in range(0, len(hashes), 65536)), np.zeros(64, np.int64))
+    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
+@F.pandas_udf(LongType())
+def simhash_of(texts: pd.Series) -> pd.Series:
+    return texts.map(simhash)
+
+
+def hamming_links(entries: DataFrame, distance: int, most: int = 2000) -> DataFrame:
+    """(doc_id, first): pairs of entries (doc_id, hash), one row for each hash, of at most ``distance`` differing bits.
+
+    They agree in one of distance + 1 blocks of bits. A block's list of over ``most`` hashes is cut by one block more of
+    the rest, as bits that differ leave one of those alone as well where there are more than distance.
+    """
+    blocks = distance + 1
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    cut = lambda low, high: F.shiftrightunsigned("hash", low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), cut(low, high).alias("v")) for i, (low, high) in enumerate(zip(edges, edges[1:]))])
+    posted = entries.select("doc_id", "hash", F.explode(keys).alias("k"))
+    sizes = posted.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    posted = posted.join(sizes, "k")
+    rest = []  # for each block: the bits outside it, in distance + 1 pieces
+    for low, high in zip(edges, edges[1:]):
+        others = [b for b in range(64) if not low <= b < high]
+        pieces = [others[len(others) * i // blocks : len(others) * (i + 1) // blocks] for i in range(blocks)]
+        masks = [sum(1 << b for b in p) for p in pieces]
+        rest.append(F.array(*[F.struct(F.lit(i).alias("i"), F.col("hash").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("v")) for i, m in enumerate(masks)]))
+    chosen = reduce(lambda out, i: F.when(F.col("k.i") == i, rest[i]).otherwise(out), range(blocks), rest[0])
+    whole = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).cast("bigint").alias("v")))
+    posted = posted.withColumn("s", F.explode(F.when(F.col("n") > most, chosen).otherwise(whole))).select("doc_id", "hash", "k", "s")
+    a, b = posted.alias("a"), posted.alias("b")
+    near = F.bit_count(F.col("a.hash").bitwiseXOR(F.col("b.hash"))) <= distance
+    return a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.doc_id") < F.col("b.doc_id")) & near).select(F.col("b.doc_id").alias("doc_id"), F.col("a.doc_id").alias("first")).distinct()
+
+
+def by_hash(docs: DataFrame, distance: int) -> DataFrame:
+    """(doc_id, component) of docs (doc_id, hash): near hashes share a component; rows with a null hash stand alone."""
+    kinds = docs.where("hash is not null").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
+    tied = settle(kinds, hamming_links(kinds, distance))
+    of = kinds.join(tied, "doc_id").select("hash", "component")
+    return docs.join(of, "hash", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+
+
+def simhash_groups(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, component): texts whose SimHash differs in at most ``distance`` bits share a component."""
+    return by_hash(docs.select("doc_id", simhash_of("text").alias("hash")), distance)
+
+
+def batch_dedup(items: DataFrame, modality: str = "text", near: str = "minhash") -> DataFrame:
+    """The rows that are no duplicates: exact ones go first; then near ones of texts (minhash or simhash) and images.
+
+    items: (doc_id, text) or (doc_id, data); video and audio: exact only.
+    """
+    key = "text" if modality == "text" else "data"
+    items = exact(items, key)
+    if modality == "text":
+        groups = minhash(items) if near == "minhash" else simhash_groups(items)
+    elif modality == "image":
+        from sparkloom.operators import image
+
+        groups = by_hash(items.select("doc_id", image.perceptual_hash("data").alias("hash")), image.DISTANCE)
+    else:
+        return items
+    return items.join(groups.where("doc_id = component").select("doc_id"), "doc_id", "left_semi")
 
 
 def bands_for(threshold: float, permutations: int) -> tuple[int, int]:

@@ -34,3 +34,22 @@ def chunk(docs: DataFrame, column: Column, length: int) -> DataFrame:
     n = F.ceil(F.size(column) / length).cast("int")
     parts = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(column, i * length + 1, length))).otherwise(F.array().cast("array<array<string>>"))
     return docs.select("*", F.posexplode(parts).alias("chunk", "words"))
+
+
+def shuffled(docs: DataFrame, key: str, epoch: int, seed: int = 42) -> DataFrame:
+    """docs with ``rank_key``, and sorted by it: another order in each epoch, the same in each run."""
+    return docs.withColumn("rank_key", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)), F.lit(str(epoch))))).orderBy("rank_key", key)
+
+
+def curriculum(docs: DataFrame, difficulty: Column, edges: list[float]) -> DataFrame:
+    """docs with ``stage``: how many of the edges the difficulty reaches. Edges are quantiles or limits; no sort of all rows."""
+    return docs.withColumn("stage", sum((F.when(difficulty >= e, 1).otherwise(0) for e in edges), F.lit(0)))
+
+
+def interleaved(parts: dict[str, DataFrame], key: str, weights: dict[str, float], seed: int = 42) -> DataFrame:
+    """Rows of several sources in one table with their source, each kept with its weight as the probability."""
+    out = None
+    for name, df in parts.items():
+        some = df.where(point(F.col(key), seed) < weights.get(name, 0.0)).withColumn("source_name", F.lit(name))
+        out = some if out is None else out.unionByName(some, allowMissingColumns=True)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,45 @@ def merge_metadata(old, new):
 
 def delete_dataset(items: DataFrame, name: str) -> DataFrame:
     return items.where(~F.col("dataset").eqNullSafe(F.lit(name)))
+
+
+def by_status(items: DataFrame) -> DataFrame:
+    """(dataset, total, statuses, types): counts by status and by type as maps, in two narrow aggregations."""
+    counted = lambda c: items.groupBy("dataset", c).agg(F.count("*").alias("n")).groupBy("dataset").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(c), F.col("n"))))).alias(f"by_{c}"))
+    total = items.groupBy("dataset").agg(F.count("*").alias("total"))
+    return total.join(counted("status"), "dataset").join(counted("data_type"), "dataset")
+
+
+DATASETS = "dataset_id string, name string, data_type string, description string, metadata map<string,string>, created_at timestamp, updated_at timestamp"
+ITEMS = "item_id string, dataset_id string, data_type string, storage_path string, content_hash string, status string, quality_score double, labels string, metadata map<string,string>, created_at timestamp, updated_at timestamp"
+
+
+def create_tables(spark: SparkSession, database: str, form: str = "parquet") -> None:
+    """The two catalog tables, if they are not there."""
+    spark.sql(f"create database if not exists {database}")
+    for name, columns in (("datasets", DATASETS), ("data_items", ITEMS)):
+        spark.sql(f"create table if not exists {database}.{name} ({columns}) using {form}")
+
+
+def register(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Datasets by name: of one that is there already the description, metadata and time change; its id, type and creation stay."""
+    return upsert(old, new, "name", ["description", "metadata", "updated_at"]).select(*old.columns)
+
+
+def update_status(items: DataFrame, changes: DataFrame) -> DataFrame:
+    """items with the status of changes (item_id, status, metadata) and both metadata merged, the new value winning."""
+    c = changes.select(F.col("item_id").alias("_id"), F.col("status").alias("_status"), F.col("metadata").alias("_metadata"))
+    out = items.join(c, F.col("item_id") == F.col("_id"), "left")
+    hit = F.col("_id").isNotNull()
+    return out.withColumns({"status": F.when(hit, F.col("_status")).otherwise(F.col("status")), "metadata": F.when(hit, merge_metadata(F.col("metadata"), F.col("_metadata"))).otherwise(F.col("metadata"))}).select(*items.columns)
+
+
+def cascade(datasets: DataFrame, items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables without a dataset and its items."""
+    gone = datasets.where(F.col("name") == name).select("dataset_id")
+    return datasets.where(~F.col("name").eqNullSafe(F.lit(name))), items.join(F.broadcast(gone), "dataset_id", "left_anti")
+
+
+def point_lookup(items: DataFrame, key: str, value: str) -> DataFrame:
+    """The row of a key, if there is one; the condition reaches the scan."""
+    return items.where(F.col(key) == value)

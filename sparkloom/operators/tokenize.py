@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
@@ -35,6 +35,59 @@ def encoder(path: str):
     return encode
 
 
+def decoder(path: str):
+    """Arrow UDF from ids to text by a tokenizer file; special tokens are skipped."""
+
+    @F.pandas_udf("string")
+    def decode(ids: pd.Series) -> pd.Series:
+        return pd.Series(_tokenizer(path).decode_batch([list(x) if x is not None else [] for x in ids], skip_special_tokens=True), index=ids.index)
+
+    return decode
+
+
+def offsets(path: str):
+    """Arrow UDF from text to (id, token, start, end) of each token, in characters of the text."""
+
+    @F.pandas_udf("array<struct<id:int,token:string,start:int,end:int>>")
+    def of(texts: pd.Series) -> pd.Series:
+        found = _tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
+        return pd.Series([[{"id": i, "token": t, "start": a, "end": b} for i, t, (a, b) in zip(e.ids, e.tokens, e.offsets)] for e in found], index=texts.index)
+
+    return of
+
+
+def token_id(path: str, token: str, unknown: str = "<unk>") -> int:
+    """A token's id; the unknown token's, or 0, for one that is not in the vocabulary."""
+    t = _tokenizer(path)
+    return next((i for i in (t.token_to_id(token), t.token_to_id(unknown)) if i is not None), 0)
+
+
+def vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """(id, token, special) of a tokenizer file."""
+    t = _tokenizer(path)
+    special = {x.content for x in t.get_added_tokens_decoder().values()}
+    return spark.createDataFrame([(i, w, w in special) for w, i in sorted(t.get_vocab().items(), key=lambda x: x[1])], "id int, token string, special boolean")
+
+
+def tokenized(docs: DataFrame, path: str, text: Column, length: int = 2048, pad: int = 0, bos: int | None = None, eos: int | None = None) -> DataFrame:
+    """docs with input_ids, attention_mask, token_count and error: an empty text has no ids and an error."""
+    out = docs.withColumn("_ids", encoder(path)(text))
+    empty = F.coalesce(F.length(text), F.lit(0)) == 0
+    parts = sized(F.col("_ids"), length, pad, bos, eos)
+    none = F.array().cast("array<int>")
+    return out.withColumns({"input_ids": F.when(empty, none).otherwise(parts["input_ids"]), "attention_mask": F.when(empty, none).otherwise(parts["attention_mask"]), "token_count": F.size("_ids"), "error": F.when(empty, "empty text")}).drop("_ids")
+
+
+def image_text_sample(text: Column, image: str = "<image>") -> Column:
+    """The text of an image-text sample: the placeholder on a line of its own before it."""
+    return F.concat(F.lit(f"{image}\n"), text)
+
+
+def spliced(ids: Column, placeholder: int, media: Column) -> Column:
+    """ids with each placeholder replaced by the ids of the media."""
+    return F.flatten(F.transform(ids, lambda i: F.when(i == placeholder, media).otherwise(F.array(i))))
+
+
 def sized(ids: Column, length: int, pad: int = 0, bos: int | None = None, eos: int | None = None) -> dict[str, Column]:
     """input_ids and attention_mask of exactly ``length``: with special tokens, cut at the right, padded at the right."""
     marked = F.concat(*[F.array(F.lit(x)) for x in (bos,) if x is not None], ids, *[F.array(F.lit(x)) for x in (eos,) if x is not None])
@@ -66,9 +119,11 @@ def collate(rows: DataFrame, batch: str, ids: str = "input_ids", pad: int = 0) -
     return out.withColumns({"labels": F.concat(ids, F.array_repeat(F.lit(IGNORED), missing)), "attention_mask": F.concat(F.transform(ids, lambda _: F.lit(1)), F.array_repeat(F.lit(0), missing)), "padded_ids": F.concat(ids, F.array_repeat(F.lit(pad), missing))}).drop("_n")
 
 
-def multimodal(text_ids: Column, images: Column, clips: Column, image_id: int, audio_id: int) -> dict[str, Column]:
-    """Ids of text, images and clips one after the other, and the type of each: 0, 1, 2."""
+def multimodal(text_ids: Column, images: Column, clips: Column, image_id: int, audio_id: int, frames: Column | None = None, video_id: int | None = None) -> dict[str, Column]:
+    """Ids of text, images, clips and video frames one after the other, and the type of each: 0, 1, 2, 3. A video has VIDEO_TOKENS at most."""
     parts = [(text_ids, 0), (F.array_repeat(F.lit(image_id), images * IMAGE_TOKENS), 1), (F.array_repeat(F.lit(audio_id), clips * AUDIO_TOKENS), 2)]
+    if frames is not None:
+        parts.append((F.array_repeat(F.lit(video_id), F.least(frames * IMAGE_TOKENS, F.lit(VIDEO_TOKENS))), 3))
     return {"input_ids": F.concat(*[p for p, _ in parts]), "token_type_ids": F.concat(*[_typed(p, k) for p, k in parts])}
 
 

@@ -1,24 +1,42 @@
-"""Sources: JSONL trees, url lists, WARC files, conversations, preference files, object listings."""
+"""Sources: JSONL trees, url lists, crawls, encyclopedia dumps, paper feeds, repositories, books, image-text tables, objects."""
 
 from __future__ import annotations
 
-import re
+import logging
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from sparkloom.functions import fixed as X
 from sparkloom.functions import text as T
 from sparkloom.functions import udf as U
+from sparkloom.sources import warc
+
+log = logging.getLogger(__name__)
+
+
+def kind_of(path: Column) -> Column:
+    """Type that a path tells: image, audio, video, else text; the first match wins."""
+    path = F.lower(path)
+    return F.when(path.contains("image") | path.contains("img"), "image_text").when(path.contains("audio"), "audio").when(path.contains("video"), "video").otherwise("text")
 
 
 def jsonl_tree(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """All *.jsonl below a folder with the type their path tells: image, audio, video, else text."""
+    """All *.jsonl below a folder with the type their path tells."""
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").json(folder)
-    path = F.lower(F.col("_metadata.file_path"))
-    kind = F.when(path.contains("image") | path.contains("img"), "image_text").when(path.contains("audio"), "audio").when(path.contains("video"), "video").otherwise("text")
-    return rows.withColumn("data_type", kind)
+    return rows.withColumn("data_type", kind_of(F.col("_metadata.file_path")))
+
+
+def indexed(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Rows of the files that folder/index.json lists ({"path": ...} entries), or of the whole tree where there is none."""
+    index = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/index.json")
+    if not index.getFileSystem(spark._jsc.hadoopConfiguration()).exists(index):
+        return jsonl_tree(spark, folder, schema)
+    listed = [r["path"] for r in spark.read.option("multiLine", True).schema("path string").json(f"{folder}/index.json").where("path is not null").collect()]
+    rows = spark.read.schema(schema).json([p if "/" in p and (p[0] == "/" or "://" in p) else f"{folder}/{p}" for p in listed])
+    return rows.withColumn("data_type", kind_of(F.col("_metadata.file_path")))
 
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
@@ -36,59 +54,164 @@ def preferences(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("prompt string, chosen string, rejected string").json(path)
 
 
-def objects(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+def benchmark(spark: SparkSession, path: str) -> DataFrame:
+    """(sample_id, question, choices, answers, image) of a benchmark's JSONL files."""
+    return spark.read.schema("sample_id string, question string, choices array<string>, answers array<string>, image string").json(path)
+
+
+def objects(spark: SparkSession, folder: str, pattern: str = "*", contents: bool = False) -> DataFrame:
     """Path, size, time and MIME type of stored objects; contents are read only if asked for."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    return rows.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"), T.mime_type(F.col("path")).alias("content_type"))
+    more = ["content"] if contents else []
+    return rows.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"), T.mime_type(F.col("path")).alias("content_type"), *more)
 
 
-_BLOCKS = r"(?is)<(script|style|nav|footer|header|noscript)\b.*?</\1\s*>"
+#: Blocks of a page that hold no main text.
+BLOCKS = ("script", "style", "nav", "footer", "header", "noscript")
 
 
-def page_text(html):
-    """Main text of a page: blocks that hold none removed, then tags, entities and white space."""
-    return T.collapse_space(U.unescape(T.strip_tags(F.regexp_replace(F.regexp_replace(html, _BLOCKS, " "), r"(?i)<(br|/p|/div|/li|/h\d)[^>]*>", " "))))
+def page_bare(html: Column) -> Column:
+    """A page's text before entities are resolved: blocks without main text removed, kind by kind, then tags and white space."""
+    for name in BLOCKS:
+        html = F.regexp_replace(html, rf"(?is)<{name}\b.*?</{name}\s*>", " ")
+    return T.collapse_space(T.strip_tags(F.regexp_replace(html, r"(?i)<(br|/p|/div|/li|/h\d)[^>]*>", " ")))
 
 
-_HEAD = re.compile(rb"WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.S)
+def page_text(html: Column) -> Column:
+    """Main text of a page."""
+    return T.collapse_space(U.unescape(page_bare(html)))
 
 
-def warc_records(spark: SparkSession, folder: str) -> DataFrame:
-    """(url, html) of the response records of WARC files (.warc, .warc.gz), split where each file is read."""
+def page_title(html: Column) -> Column:
+    return T.collapse_space(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
-    def split(frames):
-        import gzip
 
-        for frame in frames:
-            out = []
-            for data in frame["content"]:
-                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-                at = 0
-                while m := _HEAD.search(data, at):
-                    fields = dict(x.split(b":", 1) for x in m[1].split(b"\r\n") if b":" in x)
-                    fields = {k.strip().lower(): v.strip() for k, v in fields.items()}
-                    size = int(fields.get(b"content-length", b"0"))
-                    if fields.get(b"warc-type") == b"response":
-                        body = data[m.end() : m.end() + size].partition(b"\r\n\r\n")[2]
-                        out.append((fields.get(b"warc-target-uri", b"").decode("utf-8", "replace"), body.decode("utf-8", "replace")))
-                    at = m.end() + size
-            yield pd.DataFrame(out, columns=["url", "html"])
+def links(pages: DataFrame) -> DataFrame:
+    """(page_id, link): the targets of a page's links."""
+    return pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("link"))
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.warc*").load(folder).select("content")
-    return files.mapInPandas(split, "url string, html string")
+
+def frontier(found: DataFrame, visited: DataFrame) -> DataFrame:
+    """Distinct links (url) that were not visited (url)."""
+    return found.select("url").where("coalesce(url, '') <> ''").distinct().join(visited.select("url"), "url", "left_anti")
 
 
 def crawl(spark: SparkSession, folder: str, languages: tuple[str, ...] = ("en", "zh")) -> DataFrame:
-    rows = warc_records(spark, folder).withColumn("text", page_text(F.col("html")))
-    rows = rows.where(F.length("text") >= 50).withColumn("language", T.language_by_presence(F.col("text")))
-    return rows.where(F.col("language").isin(*languages)).select("url", "text", F.length("text").alias("length"), "language")
+    """(url, text, length, language, source) of the responses in WARC files whose main text is long enough and in a language."""
+    rows = warc.records(spark, folder).withColumn("text", page_text(F.col("html")))
+    rows = rows.where(F.length("text") >= X.MIN_LENGTH).withColumn("language", T.language_by_presence(F.col("text")))
+    return rows.where(F.col("language").isin(*languages)).select("url", "text", F.length("text").alias("length"), "language", F.lit("common_crawl").alias("source"))
+
+
+def encyclopedia(spark: SparkSession, path: str, language: str = "en") -> DataFrame:
+    """(title, text, url) of the articles of a MediaWiki XML dump (.xml or .xml.bz2); redirects and other name spaces are left out."""
+    rows = spark.read.format("xml").option("rowTag", "page").schema("title string, ns int, redirect string, revision struct<text:string>").load(path)
+    rows = rows.where("coalesce(ns, 0) = 0 and redirect is null")
+    return rows.select("title", wiki_plain(F.col("revision.text")).alias("text"), F.concat(F.lit(f"https://{language}.wikipedia.org/wiki/"), F.translate("title", " ", "_")).alias("url")).where(F.length("text") >= X.MIN_LENGTH)
+
+
+def wiki_plain(text: Column) -> Column:
+    """Wiki markup reduced to text: templates, references, tags and link brackets removed."""
+    for pattern, by in ((r"(?s)\{\{[^{}]*\}\}", ""), (r"(?s)\{\{[^{}]*\}\}", ""), (r"(?s)<ref[^>]*/>|<ref.*?</ref>", ""), (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"), (r"'{2,}", ""), (r"(?m)^=+\s*(.*?)\s*=+$", "$1")):
+        text = F.regexp_replace(text, pattern, by)
+    return T.strip(T.strip_tags(text))
+
+
+def papers(spark: SparkSession, path: str, categories: list[str] | None = None) -> DataFrame:
+    """(title, text, url, categories) of an Atom feed's entries: title and abstract, in one of the categories if any are given."""
+    schema = "id string, title string, summary string, category array<struct<_term:string>>"
+    rows = spark.read.format("xml").option("rowTag", "entry").schema(schema).load(path)
+    terms = F.transform("category", lambda c: c["_term"])
+    rows = rows.select("title", F.concat("title", F.lit("\n\n"), "summary").alias("text"), F.col("id").alias("url"), terms.alias("categories"))
+    rows = rows.where(F.arrays_overlap("categories", F.array(*map(F.lit, categories)))) if categories else rows
+    return rows.where(F.length("text") >= X.MIN_LENGTH)
+
+
+def repositories(found: DataFrame, languages: list[str] | None = None, least_stars: int = 10, most: int = 100) -> DataFrame:
+    """Repositories (full_name, description, language, stargazers_count, html_url) with most stars, as texts (a top-k report)."""
+    rows = found.where(F.col("stargazers_count") >= least_stars)
+    rows = rows.where(F.col("language").isin(languages)) if languages else rows
+    rows = rows.orderBy(F.col("stargazers_count").desc(), "full_name").limit(most)
+    text = F.format_string(X.REPOSITORY, "full_name", F.coalesce("description", F.lit("None")), F.coalesce("language", F.lit("None")), F.col("stargazers_count").cast("string"), "html_url")
+    return rows.select("full_name", text.alias("text"), "language", F.col("stargazers_count").alias("stars"), F.col("html_url").alias("url"))
+
+
+def repository_search(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The same from saved search answers ({"items": [...]})."""
+    item = "array<struct<full_name:string,description:string,language:string,stargazers_count:bigint,html_url:string>>"
+    rows = spark.read.option("multiLine", True).schema(f"items {item}").json(path)
+    return repositories(rows.select(F.explode("items").alias("i")).select("i.*"), **options)
+
+
+def books(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, text): a row for each text file, whole."""
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
+    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def image_texts(spark: SparkSession, path: str, url: str = "url", caption: str = "caption") -> DataFrame:
+    """(url, caption) of a Parquet table of image urls with their texts; rows without either are dropped."""
+    return spark.read.parquet(path).select(F.col(url).alias("url"), F.col(caption).alias("caption")).where("coalesce(url, '') <> '' and coalesce(caption, '') <> ''")
+
+
+def shared_conversations(spark: SparkSession, path: str) -> DataFrame:
+    """(image, messages) of image conversations in JSON: turns (from, value)."""
+    rows = spark.read.option("multiLine", not path.endswith(".jsonl")).schema("image string, conversations array<struct<`from`:string,value:string>>").json(path)
+    role = lambda m: F.when(m["from"] == "human", "user").when(m["from"] == "gpt", "assistant").otherwise(m["from"])
+    return rows.select("image", F.transform("conversations", lambda m: F.struct(role(m).alias("role"), m["value"].alias("content"))).alias("messages"))
+
+
+def fetched(urls: DataFrame, get: Callable[[str], tuple[str, bytes]], tries: int = 3, wait: float = 1.0) -> DataFrame:
+    """urls (url, ...) with ``data`` and ``error``: get returns (content type, bytes); images of allowed size only.
+
+    A failed get is tried again after wait, 2 wait, 4 wait, ... seconds; rows that fail keep a null and their error.
+    """
+    names = urls.columns
+
+    def over(batches):
+        import time
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                data, error = None, None
+                for k in range(tries):
+                    try:
+                        kind, data = get(batch.column(names.index("url"))[row].as_py())
+                        error = None if kind.startswith("image/") and X.LEAST_BYTES <= len(data) <= X.MOST_BYTES else "not an image of allowed size"
+                        data = None if error else data
+                        break
+                    except Exception as e:  # the row tells
+                        error = f"{type(e).__name__}: {e}"
+                        if k + 1 < tries:
+                            time.sleep(wait * 2**k)
+                one = batch.slice(row, 1)
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array([data], pa.binary()), pa.array([error], pa.string())], [*names, "data", "error"])
+
+    schema = StructType([*urls.schema.fields, StructField("data", BinaryType()), StructField("error", StringType())])
+    return urls.mapInArrow(over, schema)
+
+
+def read_local(url: str) -> tuple[str, bytes]:
+    """A get for file:// urls: the type by the name's end, and the bytes."""
+    import mimetypes
+    from urllib.parse import unquote, urlparse
+
+    path = unquote(urlparse(url).path)
+    with open(path, "rb") as f:
+        return mimetypes.guess_type(path)[0] or "application/octet-stream", f.read()
 
 
-SOURCES: dict[str, Callable[..., DataFrame]] = {"common_crawl": crawl, "jsonl": jsonl_tree, "url_list": url_list, "conversations": conversations, "preferences": preferences, "objects": objects}
+SOURCES: dict[str, Callable[..., DataFrame]] = {
+    "common_crawl": crawl, "wikipedia": encyclopedia, "arxiv": papers, "github": repository_search, "books": books, "laion": image_texts, "datacomp": image_texts,
+    "sharegpt4v": shared_conversations, "jsonl": jsonl_tree, "indexed": indexed, "url_list": url_list, "conversations": conversations, "preferences": preferences, "objects": objects, "benchmark": benchmark,
+}
 
 
 def collect(spark: SparkSession, source_type: str, *args, **options) -> DataFrame:
-    """Rows of a source by its type; an unknown type gives an empty table."""
+    """Rows of a source by its type; an unknown type is logged and gives an empty table."""
     if source_type not in SOURCES:
+        log.warning("unknown source type: %s", source_type)
         return spark.createDataFrame([], "data_id string, text string")
     return SOURCES[source_type](spark, *args, **options)
