@@ -216,7 +216,7 @@ def reading_ease(text: Column) -> Column:
 
 def spam_marks(text: Column) -> Column:
     """How many of four marks of advertising a text has: links, exclamations, shouting, prices."""
-    marks = [F.regexp_count(text, F.lit(r"https?://")) >= 3, F.regexp_count(text, F.lit("!")) >= 5, F.regexp_count(text, F.lit(r"\b[A-Z]{4,}\b")) >= 5, text.rlike(r"[$€£]\s?\d")]
+    marks = [F.regexp_count(text, F.lit(r"https?://")) >= 3, F.regexp_count(text, F.lit("!")) >= 5, F.regexp_count(text, F.lit("[A-Z]{4,}")) >= 5, text.rlike(r"[$€£]\s?\d")]
     return reduce(lambda a, b: a + b, [m.cast("int") for m in marks])
 
 
