@@ -2,8 +2,9 @@
 
 Unit vectors with cosine >= t lie within eps = sqrt(2 - 2 t). Vectors of a label are sorted by the grid cells (side eps)
 of their leading principal coordinates, cut into blocks of the sequence, and blocks are joined with blocks: first over
-shared or neighbouring stripes of the first coordinate, then only where their bounding boxes lie within eps; the rest is
-provably distant. A pair of blocks is split in halves again and again while boxes of the halves can be told apart.
+shared or neighbouring cells of the first KEYED coordinates, then only where their bounding boxes lie within eps; the
+rest is provably distant. A block ends where the cell of the first two coordinates does, unless it is still small, so
+few blocks reach over many cells. A pair of blocks is split in halves again and again while boxes of the halves can be told apart.
 What is left is compared in full by cosine in double precision.
 
 Equal vectors (same label) are one entry with a count, so groups of copies are never expanded. A pair of blocks sends
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import ship, written
 from sparkloom.llm.components import components
 
-LEADING, BLOCK, LEAF, SAMPLE = 4, 256, 48, 4000
+LEADING, KEYED, BLOCK, LEAST_BLOCK, LEAF, SAMPLE = 4, 3, 256, 32, 48, 4000
 
 
 def _scaled(v: np.ndarray) -> np.ndarray:
@@ -47,8 +48,8 @@ def _axes(found: dict[int, np.ndarray], n: int) -> np.ndarray:
     return found[n] if n in found else np.eye(n)[:, :LEADING]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequences of sorted rows (label, id, copies, vector, place) in blocks of one label and length."""
+def _blocks(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Sequences of sorted rows (label, id, copies, vector, place, cells) in blocks of one label and length."""
     from pyspark import TaskContext
 
     number, rows = TaskContext.get().partitionId() << 32, []
@@ -61,10 +62,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict(made, schema=pa.schema([("block", pa.int64()), ("label", pa.int64()), ("size", pa.int32()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())), ("ids", pa.binary()), ("copies", pa.binary()), ("vectors", pa.binary()), ("places", pa.binary())]))
 
     for batch in batches:
-        for label, i, copies, vector, place in zip(*[batch.column(k).to_pylist() for k in range(5)]):
-            if rows and (len(rows) == BLOCK or rows[0][0] != label or len(rows[0][3]) != len(vector)):
+        for label, i, copies, vector, place, cells in zip(*[batch.column(k).to_pylist() for k in range(6)]):
+            if rows and (len(rows) == most or rows[0][0] != label or len(rows[0][3]) != len(vector) or len(rows) >= least and rows[-1][5][:2] != cells[:2]):
                 yield out()
-            rows.append((label, i, copies, vector, place))
+            rows.append((label, i, copies, vector, place, cells))
     if rows:
         yield out()
 
@@ -108,14 +109,22 @@ def links(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     rows = vectors.mapInArrow(placed, "label bigint, id bigint, copies bigint, embedding array<double>, place array<double>, cells array<int>")
     order = ["label", F.size("embedding"), "cells", "id"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("label", "id", "copies", "embedding", "place")
-    blocks = written(rows.mapInArrow(_blocks, "block bigint, label bigint, size int, lo array<double>, hi array<double>, ids binary, copies binary, vectors binary, places binary"))
-    stripe = lambda side, by: F.floor(F.col(side)[0] / eps) + by
+    most, least = BLOCK, min(LEAST_BLOCK, BLOCK)
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("label", "id", "copies", "embedding", "place", "cells")
+    blocks = written(rows.mapInArrow(lambda batches: _blocks(batches, most, least), "block bigint, label bigint, size int, lo array<double>, hi array<double>, ids binary, copies binary, vectors binary, places binary"))
+    keys = [f"c{k}" for k in range(KEYED)]
+
+    def in_cells(boxes: DataFrame, reach: int) -> DataFrame:
+        """A row for each cell that a box, widened by so many cells, lies in."""
+        for k, name in enumerate(keys):
+            at = lambda side, by: (F.floor(F.get(side, F.lit(k)) / eps) + by).cast("int")  # noqa: B023, E731
+            boxes = boxes.withColumn(name, F.explode(F.sequence(at("lo", -reach), at("hi", reach))))
+        return boxes
+
     boxes = blocks.select("block", "label", "size", "lo", "hi")
-    left = boxes.withColumn("stripe", F.explode(F.sequence(stripe("lo", 0), stripe("hi", 0)))).alias("a")
-    right = boxes.withColumn("stripe", F.explode(F.sequence(stripe("lo", -1), stripe("hi", 1)))).alias("b")
+    left, right = in_cells(boxes, 0).alias("a"), in_cells(boxes, 1).alias("b")
     gaps = F.aggregate(F.zip_with(F.zip_with("a.lo", "b.hi", lambda x, y: x - y), F.zip_with("b.lo", "a.hi", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))), F.lit(0.0), lambda s, g: s + g * g)
-    near = left.join(right, ["label", "size", "stripe"]).where((F.col("a.block") <= F.col("b.block")) & (gaps <= eps * eps + 1e-9)).select(F.col("a.block").alias("a"), F.col("b.block").alias("b")).distinct()
+    near = left.join(right, ["label", "size", *keys]).where((F.col("a.block") <= F.col("b.block")) & (gaps <= eps * eps + 1e-9)).select(F.col("a.block").alias("a"), F.col("b.block").alias("b")).distinct()
     side = lambda name: blocks.select(F.col("block").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("ids", "copies", "vectors", "places")])
     pairs = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{s}_{c}" for s in "ab" for c in ("ids", "copies", "vectors", "places")])
 
