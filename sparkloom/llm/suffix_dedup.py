@@ -196,9 +196,10 @@ def common_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def repeated(shard: pa.Table, width: int, kind: str) -> pa.RecordBatch | None:
-    """(node, piece, count, n, runs) of a shard's entries that have repeated windows: runs of windows (first, last, first, ...).
+    """(node, piece, n, row, start, unit, runs) of a shard's entries that have repeated windows and are asked for: runs of windows (first, last, first, ...).
 
     An entry is a stretch, or the part of one that windows of a range reach: the symbols before and after its core.
+    Stretches that occur twice (row null) are not asked for: all of their windows are repeated.
     """
     sides = [shard.column(c).combine_chunks() for c in ("before", "after")]
     flat = np.frombuffer(b"".join(x for pair in zip(*(s.to_pylist() for s in sides)) for x in pair), kind)
@@ -226,15 +227,18 @@ def repeated(shard: pa.Table, width: int, kind: str) -> pa.RecordBatch | None:
     edge[first] = True
     begin = np.flatnonzero(edge[:-1])
     stop = np.append(begin[1:], len(hit)) - 1
-    begin, stop = begin[hit[begin]], stop[hit[begin]]
+    asked = shard.column("row").combine_chunks().is_valid().to_numpy(zero_copy_only=False) | (shard.column("n").to_numpy() > 0)
     owner = np.searchsorted(first, begin, "right") - 1
+    good = hit[begin] & asked[owner]
+    begin, stop, owner = begin[good], stop[good], owner[good]
     some, many = np.unique(owner, return_counts=True)
     if not len(some):
         return None
     runs = np.stack([within[begin], within[stop]], axis=1).reshape(-1).astype(np.int32)
     offsets = np.append(0, np.cumsum(2 * many)).astype(np.int32)
     take = lambda c: shard.column(c).combine_chunks().take(pa.array(some))
-    return pa.RecordBatch.from_arrays([*map(take, ("node", "piece", "count", "n")), pa.ListArray.from_arrays(pa.array(offsets), pa.array(runs))], ["node", "piece", "count", "n", "runs"])
+    names = ["node", "piece", "n", "row", "start", "unit"]
+    return pa.RecordBatch.from_arrays([*map(take, names), pa.ListArray.from_arrays(pa.array(offsets), pa.array(runs))], [*names, "runs"])
 
 
 def parts_of(before: bytes, after: bytes, lead: int, tail: int, width: int, wide: int) -> Iterator[tuple[bytes, bytes, bytes, int]]:
@@ -283,12 +287,12 @@ def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Da
         salted = busy.select("core", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))).alias("salt"), F.lit(True).alias("busy"))
         marked = variants.withColumn("salt", F.pmod("content", F.lit(64))).join(salted, ["core", "salt"], "left").drop("salt").withColumn("busy", F.coalesce("busy", F.lit(False)))
     wanted = marked.groupBy("at.row").agg(F.collect_list(F.struct("core", "content", "count", "busy", "at.unit", "at.start", "at.size", "at.lead")).alias("all"))
-    schema = "unit tinyint, busy boolean, core bigint, content bigint, node bigint, piece bigint, shift int, count bigint, before binary, after binary"
+    schema = "unit tinyint, busy boolean, row bigint, start int, node bigint, piece bigint, count bigint, before binary, after binary"
 
     def sides(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         signed = lambda data: xxhash.xxh3_64_intdigest(data) - (1 << 63)
-        for text, all_of in zip(batch.column(0), batch.column(1)):
+        for row, text, all_of in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             data = text.as_py().encode("utf-8", "surrogatepass")
             as_words = None
             for v in all_of.as_py():
@@ -297,20 +301,20 @@ def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Da
                     as_words = word_hashes(data).tobytes()
                 symbols, core = as_words if v["unit"] else data, v["start"] + v["lead"]
                 before, after = symbols[v["start"] * wide : core * wide], symbols[(core + size - width) * wide : (v["start"] + v["size"]) * wide]
-                same = v["unit"], v["busy"], v["core"], v["content"]
+                of = v["unit"], v["busy"], row if v["count"] == 1 else None  # one that occurs once is here; one that occurs twice is repeated anyway
                 if not v["busy"]:
-                    out.append((*same, v["core"], v["content"], 0, v["count"], before, after))
+                    out.append((*of, v["start"], v["core"], v["content"], v["count"], before, after))
                     continue
                 for common, left, right, shift in parts_of(before, after, v["lead"], v["size"] - v["lead"] - size + width, width, wide):
-                    out.append((*same, signed(b"%d:" % v["core"] + common), signed(left + b":%d:" % len(left) + right), shift, v["count"], left, right))
-        kinds = [pa.int8(), pa.bool_(), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                    out.append((*of, v["start"] + shift, signed(b"%d:" % v["core"] + common), signed(left + b":%d:" % len(left) + right), v["count"], left, right))
+        kinds = [pa.int8(), pa.bool_(), pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], [x.split()[0] for x in schema.split(", ")])
 
-    texts = written(arrow_map(docs.join(wanted, "row").select("text", "all"), sides, schema))
-    columns = ["unit", "node", "piece", "count", "n", "before", "after"]
+    texts = written(arrow_map(docs.join(wanted, "row").select("row", "text", "all"), sides, schema))
+    columns = ["unit", "row", "start", "node", "piece", "count", "n", "before", "after"]
     entries = texts.where("not busy").withColumn("n", F.lit(0).cast("bigint")).select(*columns)  # n: stretches that share an entry of a busy core
     if split:
-        entries = entries.union(texts.where("busy").groupBy("node", "piece").agg(F.first("unit").alias("unit"), F.sum("count").alias("count"), F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")).select(*columns))
+        entries = entries.union(texts.where("busy").groupBy("node", "piece").agg(F.first("unit").alias("unit"), F.lit(None).cast("bigint").alias("row"), F.lit(0).alias("start"), F.sum("count").alias("count"), F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")).select(*columns))
         entries = written(entries)
     symbols = entries.agg(F.sum((F.octet_length("before") + F.octet_length("after")) / F.when(F.col("unit") == 0, 1).otherwise(8) + 2)).first()[0] or 0
     shards = max(6, int(symbols) // SHARD_SYMBOLS + 1)
@@ -340,16 +344,17 @@ def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Da
         if held and (found := out()) is not None:
             yield found
 
-    runs = written(dealt.mapInArrow(sort_shards, "node bigint, piece bigint, count bigint, n bigint, runs array<int>"))
-    by_stretch = single = runs.where("n = 0").select(F.col("node").alias("core"), F.col("piece").alias("content"), F.col("count").alias("copies"), "runs")
-    if split:
-        of = texts.where("busy").select("core", "content", "node", "piece", "shift", F.col("count").alias("copies"))
-        back = join_counted(of, runs.where("n > 0").drop("count"), ["node", "piece"], "n").groupBy("core", "content").agg(F.first("copies").alias("copies"), F.flatten(F.collect_list(F.transform("runs", lambda x: x + F.col("shift")))).alias("runs"))
-        by_stretch = written(single.union(back))
+    runs = dealt.mapInArrow(sort_shards, "node bigint, piece bigint, n bigint, row bigint, start int, unit tinyint, runs array<int>")
     lengths = F.when(F.col("unit") == 0, length).otherwise(words or 0)
-    whole = hits.where("alike").select("row", "unit", F.array("start", F.col("start") + F.col("size")).alias("r"))
-    mixed = join_counted(hits.where("not alike"), by_stretch, ["core", "content"], "copies")
-    some = mixed.select("row", "unit", F.transform("runs", lambda x, i: F.when(i % 2 == 0, x + F.col("start")).otherwise(x + F.col("start") + lengths)).alias("r"))
+    shifted = F.transform("runs", lambda x, i: F.when(i % 2 == 0, x + F.col("start")).otherwise(x + F.col("start") + lengths)).alias("r")
+    if split:
+        runs = written(runs)
+    some = runs.where("n = 0").select("row", "unit", shifted)
+    if split:
+        of = texts.where("busy and row is not null").select("row", "unit", "start", "node", "piece")
+        some = some.union(join_counted(of, runs.where("n > 0").select("node", "piece", "n", "runs"), ["node", "piece"], "n").select("row", "unit", shifted))
+    twice = join_counted(hits.where("not alike"), variants.where("count > 1").select("core", "content", "count"), ["core", "content"], "count")
+    whole = hits.where("alike").select("row", "unit", "start", "size").union(twice.select("row", "unit", "start", "size")).select("row", "unit", F.array("start", F.col("start") + F.col("size")).alias("r"))
     of_unit = lambda k: F.flatten(F.collect_list(F.when(F.col("unit") == k, F.col("r"))))
     gathered = whole.union(some).groupBy("row").agg(of_unit(0).alias("r"), of_unit(1).alias("w"))
 
