@@ -202,8 +202,8 @@ def _compared(need: int, similarity: float | None):
     return over
 
 
-def links_inside(members: DataFrame, similarity: float, exact: bool) -> DataFrame:
-    """(u, v): a forest over the links inside groups: members (g bigint, id, sig, grams), any number of rows of one g.
+def links_inside(members: DataFrame, texts: DataFrame, similarity: float, exact: bool) -> DataFrame:
+    """(u, v): a forest over the links inside groups: members (g bigint, id), any number of one g; texts (id, sig, grams).
 
     Linked are texts whose signatures share the share of similarity - MARGIN and, if exact, whose sets of shingles have
     the similarity. A group of over a chunk is compared with its pivot, the text nearest to the most frequent bytes of
@@ -211,14 +211,21 @@ def links_inside(members: DataFrame, similarity: float, exact: bool) -> DataFram
     chunk with chunk. So a group of near copies costs its size, not its square.
     """
     need, limit = int(np.ceil(POSITIONS * (similarity - MARGIN))), similarity if exact else None
-    sizes = written(members.groupBy("g").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("grams"), F.lit(0)).cast("bigint")).alias("bytes")).where("n > 1"))
-    count = F.ceil(F.greatest(F.col("n") / CHUNK_ROWS, F.col("bytes") / CHUNK_BYTES))
+    sizes = written(members.groupBy("g").agg(F.count("*").alias("n")).where("n > 1"))
+    bytes_of = F.coalesce(F.octet_length("grams"), F.lit(0)).cast("bigint")
+    of_group = lambda n, size: F.ceil(F.greatest(n / CHUNK_ROWS, size / CHUNK_BYTES))
 
-    def chunked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-        dealt = join_counted(rows, sizes.select("g", "n", count.alias("chunks")), ["g"], "n").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    def chunked(rows: DataFrame) -> DataFrame:
+        """rows (g, id, sig, grams, chunks) dealt to chunks: (g, chunk, chunks, rows)."""
+        dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
         return written(dealt.groupBy("g", "chunk", "chunks").agg(F.sort_array(F.collect_list(F.struct("id", "sig", "grams"))).alias("rows")))
 
-    chunks = chunked(members.select("g", "id", "sig", "grams"), sizes)
+    rows = join_counted(members.select("g", "id"), sizes.withColumn("chunks", F.ceil(F.col("n") / CHUNK_ROWS)), ["g"], "n").join(texts, "id")
+    if exact:  # sets of any size: chunks are bounded in bytes as well
+        rows = written(rows.drop("chunks"))
+        heavy = written(rows.groupBy("g").agg(F.count("*").alias("n"), F.sum(bytes_of).alias("bytes")).select("g", "n", of_group(F.col("n"), F.col("bytes")).alias("chunks")))
+        rows = join_counted(rows, heavy, ["g"], "n")
+    chunks = chunked(rows)
     links = chunks.where("chunks = 1").select(F.col("rows").alias("a"), F.lit(None).cast(ROWS).alias("b")).mapInArrow(_compared(need, limit), "u bigint, v bigint")
     large = chunks.where("chunks > 1")
     if large.isEmpty():
@@ -251,11 +258,11 @@ def links_inside(members: DataFrame, similarity: float, exact: bool) -> DataFram
     parted = written(large.join(chosen, "g").select("g", "rows", "pivot").mapInArrow(apart, f"g bigint, tied array<bigint>, pivot bigint, rest {ROWS}"))
     links = links.union(parted.select(F.explode("tied").alias("u"), F.col("pivot").alias("v")).where("u <> v"))
     left = parted.select("g", F.explode("rest").alias("r")).select("g", "r.*")
-    again = written(left.groupBy("g").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("grams"), F.lit(0)).cast("bigint")).alias("bytes")))
+    again = written(left.groupBy("g").agg(F.count("*").alias("n"), F.sum(bytes_of).alias("bytes")).select("g", "n", of_group(F.col("n"), F.col("bytes")).alias("chunks")))
     if again.isEmpty():
         return links
     salts = F.lit(SALTS).cast("bigint")
-    rest = chunked(left, again).select("g", F.col("rows").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"))
+    rest = chunked(join_counted(left, again, ["g"], "n")).select("g", F.col("rows").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"))
     pairs = rest.join(large.select("g", F.col("rows").alias("b"), F.pmod("chunk", salts).alias("salt")), ["g", "salt"]).select("a", "b")
     return links.union(pairs.mapInArrow(_compared(need, limit), "u bigint, v bigint"))
 
@@ -263,7 +270,7 @@ def links_inside(members: DataFrame, similarity: float, exact: bool) -> DataFram
 def similar_pairs(entries: DataFrame, similarity: float) -> DataFrame:
     """(u, v): a forest over candidates among entries (id, sig), one row for each sig: they meet in a list and share enough positions."""
     quads = F.explode(F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * k + 1, 4)) for k in range(QUADS)]))
-    return links_inside(entries.select(quads.alias("g"), "id", "sig", F.lit(None).cast("binary").alias("grams")), similarity, exact=False)
+    return links_inside(entries.select(quads.alias("g"), "id"), entries.select("id", "sig", F.lit(None).cast("binary").alias("grams")), similarity, exact=False)
 
 
 def verified_pairs(rows: DataFrame, entries: DataFrame, linked: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -273,12 +280,12 @@ def verified_pairs(rows: DataFrame, entries: DataFrame, linked: DataFrame, shing
     """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams = pa.array([np.unique(h).tobytes() for h in shingles_of(batch.column(3), shingle)], pa.binary())
-        return pa.RecordBatch.from_arrays([*batch.columns[:3], grams], ["g", "id", "sig", "grams"])
+        grams = pa.array([np.unique(h).tobytes() for h in shingles_of(batch.column(2), shingle)], pa.binary())
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], grams], ["id", "sig", "grams"])
 
-    members = entries.where("sig is not null").select("id", "sig").join(linked, F.col("id") == F.col("node")).join(rows, F.col("id") == F.col("row"))
-    sets = written(arrow_map(members.select("component", "id", "sig", "text"), each, "g bigint, id bigint, sig binary, grams binary"))
-    return links_inside(sets, similarity, exact=True)
+    members = written(entries.where("sig is not null").select("id", "sig").join(linked, F.col("id") == F.col("node")).select("component", "id", "sig"))
+    texts = arrow_map(members.join(rows, F.col("id") == F.col("row")).select("id", "sig", "text"), each, "id bigint, sig binary, grams binary")
+    return links_inside(members.select(F.col("component").alias("g"), "id"), texts, similarity, exact=True)
 
 
 def _similar_entries(rows: DataFrame, radius: int, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
