@@ -437,3 +437,56 @@ def image_text_samples(spark, sf_dir):
     from sparkloom.operators import tokenize
 
     return read(spark, sf_dir, "benchmark").select(tokenize.image_text_sample(F.col("text")).alias("sample"), "item_id")
+
+
+# --- batches and masks ---------------------------------------------------------------------------------------------
+_LENGTHS = r"list_transform(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''), lambda x: length(x)::int)"
+
+
+@query(f"with r as (select item_id, item_id % 7 as batch, {_LENGTHS} as ids from benchmark), m as (select batch, max(len(ids)) as n from r group by 1) select item_id, array_to_string(list_concat(ids, list_transform(range(0, n - len(ids)), lambda x: 0)), ' ') as padded_ids, array_to_string(list_concat(ids, list_transform(range(0, n - len(ids)), lambda x: -100)), ' ') as labels, list_sum(list_concat(list_transform(ids, lambda x: 1), list_transform(range(0, n - len(ids)), lambda x: 0)))::bigint as attended from r join m using (batch)")
+def collated_batches(spark, sf_dir):
+    """Batches padded to their longest row: ids with 0, labels with the ignored value, the mask with 0 (word lengths stand in for ids)."""
+    from sparkloom.operators import tokenize
+
+    ids = F.transform(T.words(F.col("text")), lambda w: F.length(w))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", (F.col("item_id") % 7).alias("batch"), ids.alias("input_ids"))
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), " ")
+    out = tokenize.collate(rows, "batch")
+    return out.select("item_id", joined("padded_ids").alias("padded_ids"), joined("labels").alias("labels"), F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("attended"))
+
+
+@query(f"select conv_id, string_agg(case when role = 'assistant' then array_to_string({_LENGTHS}, ' ') else array_to_string(list_transform({_LENGTHS}, lambda x: -100), ' ') end, ' ' order by turn) as labels from conversations group by 1")
+def sft_label_masks(spark, sf_dir):
+    """Labels of conversations: the answers' ids, the ignored value elsewhere."""
+    from sparkloom.operators import chat, tokenize
+
+    messages = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), F.transform(T.words(m["text"]), lambda w: F.length(w)).alias("ids")))
+    labels = tokenize.masked_labels(messages)
+    return chat.assemble(read(spark, sf_dir, "conversations")).select("conv_id", F.array_join(F.transform(labels, lambda x: x.cast("string")), " ").alias("labels"))
+
+
+@query(r"""select item_id, len(a) as n_ids, array_to_string(a, ' ') as input_ids, len(ids) + 2 > 20 as truncated from (select item_id, ids, list_concat(list_slice(list_concat([1], ids, [2]), 1, 20), list_transform(range(0, greatest(0, 20 - len(ids) - 2)), lambda x: 0)) as a from (select item_id, """ + _LENGTHS + r""" as ids from benchmark))""")
+def sized_sequences(spark, sf_dir):
+    """Special tokens added, cut and padded to a length (word lengths stand in for ids)."""
+    from sparkloom.operators import tokenize
+
+    ids = F.transform(T.words(F.col("text")), lambda w: F.length(w))
+    parts = tokenize.sized(ids, 20, pad=0, bos=1, eos=2)
+    return read(spark, sf_dir, "benchmark").select("item_id", F.size(parts["input_ids"]).alias("n_ids"), F.array_join(F.transform(parts["input_ids"], lambda x: x.cast("string")), " ").alias("input_ids"), parts["truncated"].alias("truncated"))
+
+
+@query("select name, total, done, case when total > 0 then done / total * 100.0 else 0.0 end as percent from (select source as name, count(*) as total, count(*) filter (length(text) >= 50) as done from documents group by 1)")
+def stage_progress(spark, sf_dir):
+    from sparkloom.plans import stages
+
+    rows = text_of(spark, sf_dir).groupBy(F.col("source").alias("name")).agg(F.count("*").alias("total"), F.count_if(F.length("text") >= 50).alias("done"))
+    return rows.select("name", "total", "done", stages.progress(F.col("done"), F.col("total")).alias("percent"))
+
+
+@query("select item_id, coalesce(json_array_length(nullif(regexp_extract(a, '(?s)\\[.*\\]'), '')), 0)::int as n from (select item_id, case when item_id % 2 = 0 then 'Sure: [{\"question\": \"q\", \"answer\": \"a\"}, {\"question\": \"r\", \"answer\": \"b\"}] done' else text end as a from benchmark)")
+def parsed_answers(spark, sf_dir):
+    """Question-answer pairs read from answers in JSON; none where there is no array."""
+    from sparkloom.operators import hooks
+
+    answer = F.when(F.col("item_id") % 2 == 0, 'Sure: [{"question": "q", "answer": "a"}, {"question": "r", "answer": "b"}] done').otherwise(F.col("text"))
+    return read(spark, sf_dir, "benchmark").select("item_id", F.size(hooks.parsed_pairs(answer)).alias("n"))

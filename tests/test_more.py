@@ -17,7 +17,7 @@ from test_media import png
 
 from sparkloom.functions import text as T
 from sparkloom.functions import udf as U
-from sparkloom.operators import chat, checks, clean, dedup, evaluate, image, label, store, tokenize
+from sparkloom.operators import audio, chat, checks, clean, dedup, evaluate, hooks, image, label, store, tokenize
 from sparkloom.plans import stages
 from sparkloom.sources import readers, sinks, warc
 from sparkloom.streaming import streams
@@ -297,3 +297,49 @@ def test_tokenizer_interface(spark):
     row = chat.tokenized(turns, "tagged", tokenize.encoder(path), opener=False).first()
     assert row["prompt"] == "<|user|>\nhello\n" and row["ids"]
     assert chat.rendered(turns, "closed").first()["prompt"] == "<|user|>\nhello\n</|user|>\n<|assistant|>\n"
+
+
+def test_hooks(spark):
+    df = spark.createDataFrame([("a",), ("bb",), ("bad",)], "text string")
+
+    def score(model, batch):
+        if (batch == "bad").any():
+            raise ValueError("no")
+        return batch.str.len() * model
+
+    length = hooks.model_udf(lambda: 2.0, score, "double")
+    assert [x["s"] for x in df.select(length("text").alias("s")).collect()] == [2.0, 4.0, None]
+    found = spark.createDataFrame([("Bob at bob@example.com",)], "text string").select(hooks.find_entities(lambda t: [("NAME", "Bob", 0, 3, 0.9), ("NAME", "at", 4, 6, 0.2)])("text").alias("e")).first()["e"]
+    assert [x["entity_type"] for x in found] == ["NAME", "EMAIL_ADDRESS"]
+    answers = ['x [{"question": "q", "answer": "a"}] y', "none", None]
+    got = spark.createDataFrame([(a,) for a in answers], "a string").select(hooks.parsed_pairs(F.col("a")).alias("p")).collect()
+    assert [len(x["p"]) for x in got] == [1, 0, 0]
+    hooks.register(spark)
+    assert [tuple(x) for x in spark.sql("select * from sentence_rows('One. Two!')").collect()] == [(0, "One"), (1, "Two")]
+    seen, counts = hooks.observed(df, "rows", n=F.count(F.lit(1)))
+    seen.collect()
+    heard = []
+    with pytest.raises(ValueError):
+        hooks.run_with_callbacks(lambda: int("x"), on_error=heard.append)
+    assert counts.get["n"] == 3 and hooks.run_with_callbacks(lambda: 1, heard.append) == 1 and len(heard) == 2
+
+
+def test_audio(spark):
+    import io
+    import wave
+
+    def clip(x, rate=8000):
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setnchannels(1)
+            w.setsampwidth(2)
+            w.setframerate(rate)
+            w.writeframes((np.asarray(x) * 32767).astype("<i2").tobytes())
+        return out.getvalue()
+
+    t = np.arange(16000) / 8000
+    speech = np.sin(2 * np.pi * 440 * t) * np.where(t % 0.5 < 0.3, 0.5, 0.001)
+    rows = [(1, clip(speech)), (2, clip(speech[:800])), (3, clip(speech * 0)), (4, clip(0.3 * np.sin(2 * np.pi * 440 * t))), (5, b"no wave"), (6, None)]
+    out = {x["id"]: x for x in audio.clean(spark.createDataFrame(rows, "id int, data binary")).collect()}
+    assert [out[i]["reason"] for i in range(1, 7)] == [None, "duration_filtered", "silence_filtered", "snr_filtered", "invalid_format", "invalid_format"]
+    assert abs(out[1]["seconds"] - 2.0) < 1e-9 and out[1]["rate"] == 8000
