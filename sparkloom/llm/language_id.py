@@ -2,9 +2,10 @@
 
 Subwords are the byte 2-, 3- and 4-grams of the text (A-Z lower-cased, ASCII white space as blanks), hashed into
 BUCKETS rows of an embedding table; a text is the mean of its rows. Table and softmax are trained together by
-stochastic gradient descent in numpy, on a sample of at most MAX_PER_LANGUAGE documents of each language (a bounded
-sample of labelled rows, drawn by a hash of the id); what reaches the driver for a document is its sparse bucket
-counts, at most BUCKETS entries however long the text. A fifth of the sample is held back to fit a temperature and the
+stochastic gradient descent in numpy, on a bounded sample of labelled rows, drawn by a hash of the id: at most
+MAX_PER_LANGUAGE documents of each language and MAX_SAMPLE in all. What reaches the driver for a document is the shares
+of its MAX_BUCKETS most frequent buckets, so at most 8 * MAX_BUCKETS * MAX_SAMPLE bytes (192 MB) whatever the corpus.
+All languages of the labels are learnt; more of them than MAX_SAMPLE raise an error. A fifth of the sample is held back to fit a temperature and the
 rejection threshold, the probability that all but REJECTED of the right calls exceed (0.5 at most).
 
 Every whole text is predicted. Texts that are null or have no letter are ``und`` with score 0 and rejected. Without
@@ -25,8 +26,7 @@ from sparkloom.llm.common import arrow_map, remainder, ship
 BUCKETS = 1 << 14
 SIZES = (2, 3, 4)
 DIMENSIONS, EPOCHS, RATE = 12, 4, 0.4
-MAX_PER_LANGUAGE = 1200
-MAX_LANGUAGES = 500
+MAX_PER_LANGUAGE, MAX_SAMPLE, MAX_BUCKETS = 1200, 6000, 4000
 REJECTED = 0.002
 CHUNK = 1 << 19
 UNKNOWN = "und"
@@ -51,11 +51,14 @@ def fold(text: str) -> bytes:
     return b" " + text.encode("utf-8", "surrogatepass").translate(_FOLD) + b" "
 
 
-def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+def counts_of(text: str, most: int = MAX_BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, shares) of a text's subwords: its most frequent buckets, the smaller number of equals first."""
     total = np.zeros(BUCKETS, np.int64)
     for g in subwords(fold(text)):
         total += np.bincount(g, minlength=BUCKETS)
     at = np.flatnonzero(total)
+    if len(at) > most:
+        at = np.sort(at[np.argsort(-total[at], kind="stable")[:most]])
     return at.astype(np.int32), (total[at] / total.sum()).astype(np.float32)
 
 
@@ -126,9 +129,12 @@ def train(labelled: DataFrame, per_language: int = MAX_PER_LANGUAGE) -> Model:
     """labelled: (doc_id, text, lang). Rows with a null are left out."""
     ship(labelled.sparkSession)
     labelled = labelled.select("doc_id", "text", "lang").dropna()
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(MAX_SAMPLE + 1).collect()}
     if not sizes:
         return fit([])
+    if len(sizes) > MAX_SAMPLE:
+        raise ValueError(f"more than {MAX_SAMPLE} languages: no sample within the bound has all of them")
+    per_language = min(per_language, MAX_SAMPLE // len(sizes))
     shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
     point = F.shiftrightunsigned(F.xxhash64(F.lit("language"), "doc_id"), 11) / float(1 << 53)
     sample = labelled.where(point < F.element_at(shares, F.col("lang")))
@@ -137,7 +143,7 @@ def train(labelled: DataFrame, per_language: int = MAX_PER_LANGUAGE) -> Model:
         found = [counts_of(t.as_py()) for t in batch.column(1)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([a.tobytes() for a, _ in found], pa.binary()), pa.array([s.tobytes() for _, s in found], pa.binary())], ["lang", "at", "share"])
 
-    rows = arrow_map(sample.select("lang", "text"), each, "lang string, at binary, share binary").limit(2 * per_language * len(sizes)).collect()
+    rows = arrow_map(sample.select("lang", "text"), each, "lang string, at binary, share binary").limit(MAX_SAMPLE).collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["share"])))
     return fit([(r["lang"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["share"], np.float32)) for r in rows])
 
@@ -162,7 +168,7 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, whose language call is not rejected."""
+    """The documents, all columns, whose language call is not rejected; null texts and those without a letter are."""
     model, names = learn(docs), docs.columns
 
     def over(batches):

@@ -6,13 +6,15 @@ labelled rows, drawn by a hash of the id), and the weights minimise the logistic
 scores. The threshold is the quantile of the scores, weighted by the labels' shares among all labelled rows, below which the
 label-0 documents caught outweigh the label-1 documents lost most (one of those counts KEEP_WEIGHT times); a slope fitted on the same sample turns scores into probabilities, with the threshold at CUT.
 
-Every whole text is scored; null counts as empty. Rows repeat with equal scores. Labels that are null or whose document
-is missing are not learnt from; without both labels every score is 0.5.
+Every whole text is scored; null counts as empty, and an empty table gives no rows. Rows repeat with equal scores. Labels
+that are null or whose document is missing are not learnt from; an id with both labels counts as 0. Without both labels
+every score is 0.5.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ KEEP_WEIGHT = 3.0
 
 _UPPER, _LOWER, _DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
 _STOPS, _SYMBOLS = b".,;:!?", b"!#$%&*+<=>@^_|~\\/[]{}"
-FEATURES = ["log_bytes", "log_words", "word_bytes", "upper", "digits", "high_bytes", "stops", "symbols", "symbol_kinds", "word_variety", "line_variety", "line_words", "spaces", "stops_per_word", "symbol_tails", "top_word"]
+FEATURES = ["log_bytes", "log_words", "word_bytes", "upper", "digits", "high_bytes", "stops", "symbols", "symbol_kinds", "word_variety", "line_variety", "line_words", "spaces", "stops_per_word", "symbol_tails", "top_word", "repeats"]
 
 
 def features(text: str | None) -> list[float]:
@@ -40,7 +42,7 @@ def features(text: str | None) -> list[float]:
     upper, lower, stops, symbols = lost(_UPPER), lost(_LOWER), lost(_STOPS), lost(_SYMBOLS)
     high = len(data) - len(data.translate(None, bytes(range(128, 256))))
     counts = np.unique(np.fromiter(map(hash, words), np.int64, len(words)), return_counts=True)[1] if words else np.zeros(1)
-    return [np.log1p(len(data)), np.log1p(len(words)), min(50.0, sum(map(len, words)) / k), upper / max(1, upper + lower), lost(_DIGITS) / n, high / n, stops / n, symbols / n, sum(c in data for c in _SYMBOLS) / len(_SYMBOLS), np.log(max(1, len(counts))) / np.log(k + 1), len(set(lines)) / max(1, len(lines)), np.log1p(k / max(1, len(lines))), (data.count(b" ") + data.count(b"\n")) / n, min(5.0, stops / k), min(1.0, sum(data.count(bytes([c]) + b" ") for c in _SYMBOLS) / k), float(counts.max()) / k]
+    return [np.log1p(len(data)), np.log1p(len(words)), min(50.0, sum(map(len, words)) / k), upper / max(1, upper + lower), lost(_DIGITS) / n, high / n, stops / n, symbols / n, sum(c in data for c in _SYMBOLS) / len(_SYMBOLS), np.log(max(1, len(counts))) / np.log(k + 1), len(set(lines)) / max(1, len(lines)), np.log1p(k / max(1, len(lines))), (data.count(b" ") + data.count(b"\n")) / n, min(5.0, stops / k), min(1.0, sum(data.count(bytes([c]) + b" ") for c in _SYMBOLS) / k), float(counts.max()) / k, sum(map(eq, words, words[1:])) / k]
 
 
 @dataclass
@@ -94,7 +96,7 @@ def fit(x: np.ndarray, y: np.ndarray, share_of_0: float, seed: int = 11) -> Mode
 def train(docs: DataFrame, labels: DataFrame, per_label: int = MAX_PER_LABEL) -> Model:
     """docs (doc_id, text), labels (doc_id, quality): only what may be learnt from."""
     ship(docs.sparkSession)
-    labels = labels.select("doc_id", "quality").dropna().where("quality in (0, 1)").dropDuplicates(["doc_id"])
+    labels = labels.select("doc_id", "quality").dropna().where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sizes = {r["quality"]: r["count"] for r in labels.groupBy("quality").count().collect()}
     if set(sizes) != {0, 1}:
         return _constant()
@@ -135,7 +137,7 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, all columns, that score at least CUT."""
+    """The documents, all columns, that score at least CUT; a null text is scored as an empty one, repeated rows alike."""
     model, names = learn(docs, labels), docs.columns
 
     def over(batches):

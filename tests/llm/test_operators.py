@@ -290,6 +290,50 @@ def test_quality(docs, empty, spark):
     assert quality.query(d, y).join(y, "doc_id").where("predicted <> quality").count() == 0
 
 
+def held_out(sf, name):
+    return f"/root/testdata/{sf}/{name}.parquet"
+
+
+def test_language_on_held_out_documents(spark):
+    docs = spark.read.parquet(held_out("sf0.01", "documents"))
+    rows = language_id.query(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").collect()
+    assert len(rows) > 100 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+    kept = language_id.keep(docs).count()
+    assert kept >= 0.9 * docs.count()
+
+
+def test_language_across_chunks(monkeypatch):
+    text = " ".join(f"w{i % 977}" for i in range(20_000))
+    whole = language_id.counts_of(text)
+    monkeypatch.setattr(language_id, "CHUNK", 1000)
+    cut = language_id.counts_of(text)
+    assert (whole[0] == cut[0]).all() and np.allclose(whole[1], cut[1])
+    assert len(language_id.counts_of(text, 5)[0]) == 5
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_SAMPLE", 3)
+    rows = [(i, f"text {i}", f"l{i}") for i in range(20)]
+    with pytest.raises(ValueError, match="languages"):
+        language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+
+
+def test_quality_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(held_out("sf0.1", n)) for n in ("documents", "labels"))
+    rows = quality.query(docs, labels).where("held_out").join(labels, "doc_id").select("score", "predicted", "quality").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == k] for k in (1, 0))
+    wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert len(rows) > 500 and wins >= 0.98 and sum(r["predicted"] == r["quality"] for r in rows) >= 0.97 * len(rows)
+
+
+def test_quality_of_tied_labels(spark):
+    docs = spark.createDataFrame([(i, "good words here." if i % 2 else "### !!! ###") for i in range(40)], "doc_id bigint, text string")
+    once = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    twice = once.union(spark.createDataFrame([(0, 1), (2, 1), (0, 0)], once.schema))  # an id with both labels counts as 0
+    a, b = (sorted(map(tuple, quality.query(docs, y).collect())) for y in (once, twice))
+    assert a == b
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(3)
@@ -336,6 +380,13 @@ def test_urls(spark):
     right = sum((r["verdict"] == "allow") == bool(y) for r, (_, y) in zip(sorted(seen, key=lambda r: r["page_id"]), url_filter.LABELLED))
     assert right >= 0.9 * len(url_filter.LABELLED)
     assert url_filter.judge(df.select("page_id", "url").limit(0), weights).count() == 0
+    unseen = [
+        ("https://library.museum.org/guide/collection", 1), ("https://research.university.edu/paper/77", 1), ("https://news.science.org/report/2023", 1), ("https://wiki.gardeners.net/species/rose", 1),
+        ("https://docs.school.edu/lessons/history/2", 1), ("https://www.recipes.org/bread/soup.html", 1), ("http://casino-win.biz/free-bonus?ref=1", 0), ("http://buy-pills.shop/viagra/cheap", 0),
+        ("http://free-crack.click/download/keygen", 0), ("http://poker.bonus.win/play/slots", 0), ("http://seo-spam.top/click/backlinks", 0), ("http://adult-video.club/watch/free", 0),
+    ]
+    judged = url_filter.judge(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(unseen)], "page_id bigint, url string"), weights, rules=[]).collect()
+    assert sum((r["verdict"] == "allow") == bool(unseen[r["page_id"]][1]) for r in judged) >= 0.9 * len(unseen)
 
 
 def test_pipeline(spark, tmp_path, docs):
@@ -343,6 +394,10 @@ def test_pipeline(spark, tmp_path, docs):
 
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    nothing = tmp_path / "nothing"
+    docs.limit(0).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(nothing / "documents.parquet"))
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(str(nothing / "labels.parquet"))
+    assert p.run(spark, str(nothing)).count() == 0
     assert [n for n, _ in p.STAGES] == ["quality", "language", "near_duplicates", "passages", "packing"]
     out = p.run(spark, str(tmp_path))
     assert out.count() > 0 and "sequence_id" in out.columns
@@ -423,3 +478,17 @@ def test_similar_groups_are_verified(spark):
         apart += 0.7 <= near < 0.8
         assert (got[i], got[i + 1]) == (i, i if near >= 0.8 else i + 1), near
     assert apart > 5
+
+
+def test_sql_of_queries(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "labels", "pages"):
+        con.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
+    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    for name, sql in queries.ORACLE_SQL.items():
+        df = queries.QUERIES[name](spark, sf)
+        columns = sorted(df.columns)
+        assert sorted(map(tuple, df.select(*columns).collect())) == sorted(con.sql("select " + ", ".join(columns) + f" from ({sql})").fetchall())
