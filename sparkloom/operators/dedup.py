@@ -7,10 +7,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from sparkloom.operators.skew import join_counted, pin_splits
+
 
 def exact_groups(docs: DataFrame, key: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(hash, first, n) of each distinct content. Two narrow columns travel; the hash is made where the row is read."""
@@ -22,9 +24,8 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 
     A place is kept by every scan only if splits are cut alike, so how they are cut is pinned for the session.
     """
-    spark, name = docs.sparkSession, "_row"
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
+    pin_splits(docs.sparkSession)
+    name = "_row"
     while name in docs.columns:
         name = f"_{name}"
     return docs.withColumn(name, F.monotonically_increasing_id()), name
@@ -182,31 +183,34 @@ def minhash_bands(docs: DataFrame, threshold: float = 0.8, permutations: int = 1
 
 def near_links(bands: DataFrame) -> DataFrame:
     """(doc_id, first): each row tied to the first row of each of its bands' buckets: a star for each bucket, not its pairs."""
-    first = bands.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return bands.join(first, ["band", "key"]).where("doc_id <> first").select("doc_id", "first").distinct()
+    _checkpoints(bands.sparkSession)
+    first = bands.groupBy("band", "key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").checkpoint()
+    return join_counted(bands, first, ["band", "key"], "n").where("doc_id <> first").select("doc_id", "first").distinct()
 
 
-def settle(nodes: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
-    """(doc_id, component): smallest id reachable over links (doc_id, first), by minimum labels with pointer jumping."""
-    spark = nodes.sparkSession
+def _checkpoints(spark: SparkSession) -> None:
+    """The session's checkpoint folder: the one its setting names; one of our own where none is named (tests)."""
     if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+
+
+def settle(nodes: DataFrame, links: DataFrame, rounds: int = 50) -> DataFrame:
+    """(doc_id, component): smallest id reachable over links (doc_id, first), by minimum labels with pointer jumping."""
+    _checkpoints(nodes.sparkSession)
     both = links.select("doc_id", F.col("first").alias("other")).union(links.select("first", "doc_id")).checkpoint()
-    labels = both.groupBy("doc_id").agg(F.least(F.min("other"), F.col("doc_id")).alias("component")).checkpoint()
+    labels = both.groupBy("doc_id").agg(F.least(F.min("other"), F.col("doc_id")).alias("component"), F.count("*").alias("n")).checkpoint()
     for _ in range(rounds):
-        seen = both.join(labels.withColumnRenamed("doc_id", "other"), "other").groupBy("doc_id").agg(F.min("component").alias("seen"))
-        lower = labels.join(seen, "doc_id").select("doc_id", F.least("component", "seen").alias("c"), F.col("component").alias("old"))
-        jump = labels.select(F.col("doc_id").alias("c"), F.col("component").alias("next"))
-        new = lower.join(jump, "c", "left").select("doc_id", F.least("c", F.coalesce("next", "c")).alias("component"), "old").checkpoint()
+        seen = join_counted(both, labels.withColumnRenamed("doc_id", "other"), ["other"], "n").groupBy("doc_id").agg(F.min("component").alias("seen"))
+        lower = labels.join(seen, "doc_id").select("doc_id", F.least("component", "seen").alias("c"), F.col("component").alias("old"), "n").checkpoint()
+        into = lower.groupBy("c").agg(F.count("*").alias("times")).join(labels.select(F.col("doc_id").alias("c"), F.col("component").alias("next")), "c").checkpoint()
+        new = join_counted(lower, into, ["c"], "times").select("doc_id", F.least("c", "next").alias("component"), "old", "n").checkpoint()
         changed = new.where("component <> old").limit(1).count()
         labels = new.drop("old")
         if not changed:
             break
     else:
         raise RuntimeError(f"labels did not settle in {rounds} rounds")
-    return nodes.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+    return nodes.select("doc_id").join(labels.drop("n"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
 
 
 def minhash(docs: DataFrame, threshold: float = 0.8, permutations: int = 128) -> DataFrame:
