@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import strip
 
+log = logging.getLogger(__name__)
+
 
 def vqa_score(predicted: Column, answers: Column) -> Column:
     """Mean over answers of 1 (equal), 0.5 (one in the other) or 0, times 3, at most 1."""
@@ -132,3 +137,27 @@ def overlap(a: Column, b: Column) -> Column:
     side = lambda lo, size: F.greatest(F.lit(0.0), F.least(a[lo] + a[size], b[lo] + b[size]) - F.greatest(a[lo], b[lo]))
     both = side("x", "width") * side("y", "height")
     return F.coalesce(F.try_divide(both, a["width"] * a["height"] + b["width"] * b["height"] - both), F.lit(0.0))
+
+
+def run_benchmark(rows: DataFrame, name: str) -> DataFrame:
+    """One row (benchmark, num_samples, num_correct, accuracy) of predictions (predicted, answers) of a benchmark."""
+    named = rows.withColumn("benchmark", F.lit(name))
+    return accuracy_by(named, "benchmark", benchmark_score(F.col("benchmark"), F.col("predicted"), F.col("answers")))
+
+
+def run_benchmarks(makers: dict[str, Callable[[], DataFrame]]) -> DataFrame | None:
+    """The rows of all benchmarks whose predictions can be made; one that fails is logged and left out; None if all do."""
+    out = None
+    for name, make in makers.items():
+        try:
+            one = run_benchmark(make(), name)
+        except Exception:
+            log.exception("benchmark %s failed and is left out", name)
+            continue
+        out = one if out is None else out.union(one)
+    return out
+
+
+def first_details(rows: DataFrame, most: int = 100) -> DataFrame:
+    """The first samples of a run by id, for a report (a top-k report)."""
+    return rows.orderBy("sample_id").limit(most)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.functions import fixed as X
+
 
 def save_items(items: DataFrame, folder: str) -> DataFrame:
     """Write items by type below folder and return the one-row save result: total, saved and failed, counted while writing.
@@ -80,6 +83,18 @@ def report(parts: dict[str, DataFrame], rows: int = 100) -> dict[str, str]:
     return {"json": json.dumps(data, default=str, ensure_ascii=False), "markdown": text}
 
 
+def put(spark: SparkSession, path: str, data: bytes) -> tuple[str, int]:
+    """Store one object, in place of what was there; its MIME type by the name's end, and its size."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    end = re.search(r"\.[^./]*$", path)
+    return X.MIME.get(end[0].lower() if end else "", X.MIME_DEFAULT), len(data)
+
+
 def delete(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
     """Delete objects and tell for each whether it was there and went."""
     conf, out = spark._jsc.hadoopConfiguration(), {}

@@ -343,3 +343,14 @@ def test_audio(spark):
     out = {x["id"]: x for x in audio.clean(spark.createDataFrame(rows, "id int, data binary")).collect()}
     assert [out[i]["reason"] for i in range(1, 7)] == [None, "duration_filtered", "silence_filtered", "snr_filtered", "invalid_format", "invalid_format"]
     assert abs(out[1]["seconds"] - 2.0) < 1e-9 and out[1]["rate"] == 8000
+
+
+def test_benchmark_runs_and_objects(spark, tmp_path):
+    rows = spark.createDataFrame([("red", ["red"]), ("x", ["y"])], "predicted string, answers array<string>")
+
+    def fails():
+        raise ValueError("no file")
+
+    got = evaluate.run_benchmarks({"gqa": lambda: rows, "mmlu": fails}).collect()
+    assert [tuple(x) for x in got] == [("gqa", 2, 1, 0.5)] and evaluate.run_benchmarks({"mmlu": fails}) is None
+    assert sinks.put(spark, str(tmp_path / "a/b.PNG"), b"123") == ("image/png", 3) and (tmp_path / "a/b.PNG").read_bytes() == b"123"
