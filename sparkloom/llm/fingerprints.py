@@ -75,38 +75,58 @@ def _signed(mask: int) -> Column:
     return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint")
 
 
-def find_within(queries: DataFrame, entries: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
-    """(query_id, id, distance) for all entries (id, fp) within radius bits of a query (query_id, fp).
+class Tables:
+    """The permuted tables of a radius: the bits are cut into blocks, and each choice of blocks - radius of them is a table's key.
 
-    The bits are cut into blocks; fingerprints within the radius agree in at least blocks - radius of them, so each
-    table (a choice of that many blocks) is keyed by the bits it puts in front, and one of the tables has every match.
-    Lists of over MOST_POSTED entries are cut in the same way by the bits that are not in front.
+    Fingerprints within the radius agree in at least that many blocks, so one of the tables has every match. Below a
+    key, the bits that are not in front are cut in the same way, for lists of over MOST_POSTED entries.
     """
-    blocks = blocks or radius + 2
-    choices = lambda bits: [sum(c) for c in combinations(_masks(bits, blocks), blocks - radius)]
-    tables = choices(list(range(64)))
-    below = [choices([b for b in range(64) if not m >> b & 1]) for m in tables]
 
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        keys = F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(_signed(m)).alias("key")) for k, m in enumerate(tables)])
+    def __init__(self, radius: int, blocks: int | None = None):
+        blocks = blocks or radius + 2
+        choices = lambda bits: [sum(c) for c in combinations(_masks(bits, blocks), blocks - radius)]
+        self.keys = choices(list(range(64)))
+        self.below = [choices([b for b in range(64) if not m >> b & 1]) for m in self.keys]
+
+    def post(self, df: DataFrame, name: str) -> DataFrame:
+        """(name, fp_name, t, key): df (name, fp) under the key of each table."""
+        keys = F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(_signed(m)).alias("key")) for k, m in enumerate(self.keys)])
         return df.select(F.col(name), F.col("fp").alias(f"fp_{name}"), F.explode(keys).alias("k")).select(name, f"fp_{name}", "k.t", "k.key")
 
-    def deeper(df: DataFrame, name: str) -> DataFrame:
+    def post_below(self, df: DataFrame, name: str) -> DataFrame:
         fp = F.col(f"fp_{name}")
-        keys = F.filter(F.array(*[F.struct(F.lit(100 * (k + 1) + i).alias("t"), F.lit(k).alias("of"), fp.bitwiseAND(_signed(m | tables[k])).alias("key")) for k, some in enumerate(below) for i, m in enumerate(some)]), lambda x: x["of"] == F.col("t"))
+        keys = F.filter(F.array(*[F.struct(F.lit(100 * (k + 1) + i).alias("t"), F.lit(k).alias("of"), fp.bitwiseAND(_signed(m | self.keys[k])).alias("key")) for k, some in enumerate(self.below) for i, m in enumerate(some)]), lambda x: x["of"] == F.col("t"))
         return df.select(name, fp, F.explode(keys).alias("k")).select(name, f"fp_{name}", "k.t", "k.key")
 
-    left, right = keyed(queries, "query_id"), keyed(entries, "id")
+    def in_lists(self, posted: DataFrame, name: str, lists: DataFrame) -> DataFrame:
+        """Posts in the lists (t, key, n) of a table of theirs, those of long lists posted below."""
+        short = join_counted(posted, lists.where(F.col("n") <= MOST_POSTED), ["t", "key"], "n")
+        long = lists.where(F.col("n") > MOST_POSTED)
+        return short if long.isEmpty() else short.unionByName(self.post_below(join_counted(posted, long, ["t", "key"], "n"), name))
+
+
+def find_within(queries: DataFrame, entries: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
+    """(query_id, id, distance) for all entries (id, fp) within radius bits of a query (query_id, fp)."""
+    tables = Tables(radius, blocks)
+    left, right = tables.post(queries, "query_id"), tables.post(entries, "id")
     lists = written(right.groupBy("t", "key").agg(F.count("*").alias("n")))
-    long = lists.where(F.col("n") > MOST_POSTED)
-    if not long.isEmpty():
-        whole = lists.where(F.col("n") <= MOST_POSTED)
-        left = join_counted(left, whole, ["t", "key"], "n").unionByName(deeper(join_counted(left, long, ["t", "key"], "n"), "query_id"))
-        right = join_counted(right, whole, ["t", "key"], "n").unionByName(deeper(join_counted(right, long, ["t", "key"], "n"), "id"))
-    met = left.join(right, ["t", "key"]).withColumn("distance", F.bit_count(F.col("fp_query_id").bitwiseXOR(F.col("fp_id"))))
+    met = tables.in_lists(left, "query_id", lists).join(tables.in_lists(right, "id", lists), ["t", "key"])
+    met = met.withColumn("distance", F.bit_count(F.col("fp_query_id").bitwiseXOR(F.col("fp_id"))))
     return met.where(F.col("distance") <= radius).select("query_id", "id", "distance").distinct()
 
 
+def pairs_within(entries: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
+    """(u, v): each pair of entries (id, fp), one row for each fp, within radius bits, once. Lists of one entry are left alone."""
+    tables = Tables(radius, blocks)
+    posted = tables.post(entries, "id")
+    lists = written(posted.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    kept = tables.in_lists(posted, "id", lists)
+    a, b = kept.alias("a"), kept.alias("b")
+    near = F.bit_count(F.col("a.fp_id").bitwiseXOR(F.col("b.fp_id"))) <= radius
+    met = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.fp_id") < F.col("b.fp_id")) & near)
+    return met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
+
+
 def edited(text: str, following: str) -> str:
     """The last floor(n / 2) code points replaced by as many (or all) of the following text's first."""
     half = len(text) // 2
@@ -185,7 +205,8 @@ def edited_fingerprints(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     found = _next_documents(docs)
     kinds = written(found.groupBy("fingerprint").agg(F.count("*").alias("n")).withColumn("fp", F.conv("fingerprint", 16, -10).cast("bigint")))
-    pairs = find_within(kinds.select(F.col("fp").alias("query_id"), "fp"), kinds.select(F.col("fp").alias("id"), "fp"), radius)
-    within = pairs.join(kinds.select(F.col("fp").alias("id"), "n"), "id").groupBy(F.col("query_id").alias("fp")).agg((F.sum("n") - 1).alias("n_within"))
-    near = written(kinds.join(within, "fp").select("fingerprint", "n", "n_within"))
+    pairs = pairs_within(kinds.select(F.col("fp").alias("id"), "fp"), radius)
+    sides = pairs.union(pairs.select("v", "u")).toDF("fp", "id")
+    others = sides.join(kinds.select(F.col("fp").alias("id"), "n"), "id").groupBy("fp").agg(F.sum("n").alias("others"))
+    near = written(kinds.join(others, "fp", "left").select("fingerprint", "n", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_within")))
     return join_counted(found, near, ["fingerprint"], "n").select(*[x.split()[0] for x in SCHEMA.split(", ")], "n_within")

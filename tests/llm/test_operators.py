@@ -210,6 +210,9 @@ def test_permuted_tables(spark, monkeypatch, most):
     df = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "id bigint, fp bigint")
     got = {tuple(x) for x in fingerprints.find_within(df.toDF("query_id", "fp"), df, 3).collect()}
     assert got == {(i, j, (a ^ b).bit_count()) for i, a in enumerate(fps) for j, b in enumerate(fps) if (a ^ b).bit_count() <= 3}
+    kinds = {f: i for i, f in enumerate(fps)}
+    pairs = {frozenset(x) for x in fingerprints.pairs_within(df.where(F.col("id").isin(list(kinds.values()))), 3).collect()}
+    assert pairs == {frozenset((i, j)) for a, i in kinds.items() for b, j in kinds.items() if 0 < (a ^ b).bit_count() <= 3}
 
 
 @pytest.mark.parametrize("most", [500, 2])
