@@ -38,11 +38,16 @@ class _Tables:
 _tables: list[_Tables] = []
 
 
-def hashed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first byte, byte after the last) of each word of data, as it is written."""
+def _ready() -> _Tables:
+    """The tables, made once for each process."""
     if not _tables:
         _tables.append(_Tables())
-    t, x = _tables[0], np.frombuffer(data, np.uint8)
+    return _tables[0]
+
+
+def hashed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, byte after the last) of each word of data, as it is written."""
+    t, x = _ready(), np.frombuffer(data, np.uint8)
     inside = np.zeros(len(x) + 2, bool)
     inside[1:-1] = t.in_word[x]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -72,12 +77,15 @@ def words_of_texts(texts: Iterable[str | None], lower: bool = True) -> tuple[np.
 
 
 def runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
-    """A hash of each k neighbours, in their order."""
-    if k == 1:
-        return mix(hashes)
-    half, n = runs_of(hashes, k // 2), max(0, len(hashes) - k + 1)
-    out = mix(half[:n]) + half[k // 2 : k // 2 + n]
-    return mix(mix(out) + hashes[k - 1 :] if k % 2 else out)
+    """A hash of each k neighbours (LONG at most), in their order: the same polynomial over hashes, read off prefix sums."""
+    t, out = _ready(), np.empty(max(0, len(hashes) - k + 1), np.uint64)
+    for at in range(0, len(out), CHUNK):
+        part = hashes[at : at + CHUNK + k - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * t.powers[: len(part)], out=sums[1:])
+        n = len(part) - k + 1
+        out[at : at + n] = (sums[k:] - sums[:n]) * t.inverses[:n]
+    return mix(out)
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -168,6 +168,11 @@ def test_words_are_hashed_alike():
     assert counts.tolist() == [len(common.words_of(t)) for t in texts_] and len(set(got.tolist())) == len(set(words))
     known = {}
     assert all(known.setdefault(w, h) == h for w, h in zip(words, got.tolist()))
+    some = got[:3000]
+    for k in (1, 2, 5, 51):
+        runs, at = tokens.runs_of(some, k), {}
+        assert len(runs) == len(some) - k + 1 and all(at.setdefault(tuple(some[i : i + k].tolist()), h) == h for i, h in enumerate(runs.tolist()))
+        assert len(set(at.values())) == len(at)
     keys = r.choices(range(50), k=1000)
     order, heads = tokens.grouped(np.array(keys, np.uint64))
     assert [keys[i] for i in order] == sorted(keys) and len(heads) == len(set(keys))
