@@ -16,7 +16,9 @@ def strip(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    """Words between white space (Unicode); stripped first, so that no word has to be looked at to drop empty ones."""
+    bare = strip(text)
+    return F.when(F.length(bare) > 0, F.split(bare, r"(?U)\s+")).when(F.length(bare) == 0, F.array().cast("array<string>"))
 
 
 def hits(text: Column, found: list[str]) -> Column:
@@ -77,7 +79,7 @@ def variety(found: Column) -> Column:
 
 def with_words(df: DataFrame, text: str = "text") -> DataFrame:
     """df with its words (_w) and lower-cased words (_lw), split once for all the scores of a row."""
-    return df.withColumn("_w", words(F.col(text))).withColumn("_lw", F.transform("_w", F.lower))
+    return df.withColumn("_w", words(F.col(text))).withColumn("_lw", words(F.lower(F.col(text))))
 
 
 def filter_scores(text: Column) -> dict[str, Column]:
