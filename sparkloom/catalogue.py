@@ -114,11 +114,6 @@ def html_strip(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.length(bare).alias("n_chars"), F.sha2(bare, 256).alias("h"))
 
 
-@query()
-def page_main_text(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", "url", readers.page_text(F.col("html")).alias("text"))
-
-
 @query("select page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as link from pages")
 def page_links(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("link"))
@@ -217,16 +212,6 @@ def pii_counts(spark, sf_dir):
     return text_of(spark, sf_dir).agg(*[F.sum(F.regexp_count("text", F.lit(p))).alias(k.lower()) for k, p in X.PII.items()])
 
 
-@query()
-def pii_entities(spark, sf_dir):
-    return text_of(spark, sf_dir).select("doc_id", F.explode(U.find_pii("text")).alias("e")).select("doc_id", "e.*")
-
-
-@query()
-def pii_redacted(spark, sf_dir):
-    return text_of(spark, sf_dir).select("doc_id", U.cover_all("text").alias("c")).select("doc_id", "c.*")
-
-
 @query(r"select doc_id, unnest(list_filter(regexp_extract_all(text, '\b(?:\d{1,3}\.){3}\d{1,3}\b'), lambda ip: list_bool_and(list_transform(string_split(ip, '.'), lambda x: x::int <= 255)))) as ip from documents")
 def pii_strict_ip(spark, sf_dir):
     found = F.regexp_extract_all("text", F.lit(X.PII["IP_ADDRESS"]), 0)
@@ -298,11 +283,6 @@ def metadata_merge(spark, sf_dir):
     return rows.select("doc_id", m["quality"].alias("quality"), m["lang"].alias("lang"), m["origin"].alias("origin"))
 
 
-@query("select l.doc_id from labels l left join documents d using (doc_id) where d.doc_id is null")
-def orphan_labels(spark, sf_dir):
-    return read(spark, sf_dir, "labels").join(text_of(spark, sf_dir), "doc_id", "left_anti").select("doc_id")
-
-
 # --- conversations -------------------------------------------------------------------------------------------------
 def _sql_template(name: str) -> str:
     begin, roles, opener = chat.TEMPLATES[name]

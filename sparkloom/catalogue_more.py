@@ -45,6 +45,18 @@ def page_bare_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.length(bare).alias("n_chars"), F.sha2(bare, 256).alias("h"))
 
 
+def _sql_main_text() -> str:
+    out = _sql_bare_page()
+    for entity, sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):  # all that these tables have
+        out = f"replace({out}, '{entity}', '{sign}')"
+    return rf"select page_id, url, regexp_replace(regexp_replace({out}, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') as text from pages"
+
+
+@query(_sql_main_text())
+def page_main_text(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", "url", readers.page_text(F.col("html")).alias("text"))
+
+
 @query("select page_id, regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') as title from pages")
 def page_titles(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", readers.page_title(F.col("html")).alias("title"))
@@ -116,6 +128,25 @@ def _sql_strict() -> str:
     return " union all ".join(parts)
 
 
+#: Leftmost match of the patterns, in their order; the values found and the text between them.
+_FOUND = "select doc_id, regexp_split_to_array(text, '{p}') as p, regexp_extract_all(text, '{p}') as v from documents".format(p="|".join(X.PII.values()))
+_KIND = "case " + " ".join(f"when regexp_full_match(x, '{p}') then '{k}'" for k, p in X.PII.items()) + " end"
+
+
+def _sql_cover(covered: str) -> str:
+    return f"case when len(v) = 0 then array_to_string(p, '') else p[1] || array_to_string(list_transform(range(1, len(v) + 1), lambda i: list_transform([v[i]], lambda x: {covered})[1] || p[i + 1]), '') end"
+
+
+@query("select doc_id, " + ", ".join(f"{_sql_cover(c)} as {k}" for k, c in (("replace", f"'[' || {_KIND} || ']'"), ("mask", "case when length(x) <= 4 then repeat('*', length(x)) else substr(x, 1, 2) || repeat('*', length(x) - 4) || substr(x, -2) end"), ("hash", f"'[' || {_KIND} || '_' || substr(md5(x), 1, 8) || ']'"))) + f" from ({_FOUND})")
+def pii_redacted(spark, sf_dir):
+    return text_of(spark, sf_dir).select("doc_id", U.cover_all("text").alias("c")).select("doc_id", "c.*")
+
+
+@query(f"select doc_id, {_KIND} as entity_type, x as text, start::int as start, (start + length(x))::int as \"end\", 0.9::double as score from (select doc_id, v[i] as x, length(array_to_string(p[1:i], '')) + length(array_to_string(v[1:i - 1], '')) as start from (select *, unnest(range(1, len(v) + 1)) as i from ({_FOUND})))")
+def pii_entities(spark, sf_dir):
+    return text_of(spark, sf_dir).select("doc_id", F.explode(U.find_pii("text")).alias("e")).select("doc_id", "e.*")
+
+
 @query(_sql_strict())
 def pii_strict(spark, sf_dir):
     return text_of(spark, sf_dir).select("doc_id", F.explode(T.strict_pii(F.col("text"))).alias("e")).select("doc_id", "e.*")
