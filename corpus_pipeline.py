@@ -14,12 +14,20 @@ from sparkloom.llm.queries import vocabulary
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Null texts are scored as empty; repeated rows share their fate; an id with both labels counts as label 0. Without
+    labels nothing is rejected. An empty table gives no rows.
+    """
     return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the classifier calls with enough probability."""
+    """Documents whose language the classifier calls with enough probability.
+
+    Null texts and texts without a letter go; repeated rows share their fate. Without a language to learn all go. An
+    empty table gives no rows.
+    """
     return language_id.keep(docs)
 
 
@@ -33,12 +41,19 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that repeated strings of over 50 words, or of 400 bytes and more, cover."""
+    """Documents without the bytes that repeated strings of over 50 words, or of 400 bytes and more, cover.
+
+    Null texts stay null; rows that repeat a text of that length lose it; no row goes. n_chars is counted anew. An empty
+    table gives no rows.
+    """
     return suffix_dedup.keep(docs, words=51)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 2048 tokens."""
+    """Pieces of the documents in sequences of at most 2048 tokens.
+
+    A null or empty text is one piece, its end token; repeated rows are packed each. An empty table gives no rows.
+    """
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
