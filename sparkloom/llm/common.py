@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import io
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.skew import join_counted, pin_splits
 
-__all__ = ["arrow_map", "batch_of", "join_counted", "pin_splits", "remainder", "shared_folder", "ship", "table", "unused", "words_of", "written"]
+__all__ = ["arrow_map", "batch_of", "give_back", "join_counted", "pin_splits", "remainder", "shared_folder", "ship", "table", "unused", "words_of", "written"]
 
 #: A word: a run of bytes that are no ASCII white space (``bytes.split`` cuts at the same six bytes).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -81,6 +83,21 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@lru_cache(maxsize=1)
+def _trimmer() -> Callable[[int], int]:
+    """The C library's malloc_trim, where it has one."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return a worker's unused memory to the machine: workers are used again, and arrays of one stage would stay in the next."""
+    pa.default_memory_pool().release_unused()
+    _trimmer()(0)
+
+
 def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
     """Map record batches, SLICE_ROWS rows at a time; a result of None adds nothing."""
     ship(df.sparkSession)
@@ -90,7 +107,7 @@ def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | N
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 if (out := each(batch.slice(at, SLICE_ROWS))) is not None:
                     yield out
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return df.mapInArrow(over, schema)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_map, remainder, ship
+from sparkloom.llm.common import arrow_map, give_back, remainder, ship
 
 BUCKETS = 1 << 14
 SIZES = (2, 3, 4)
@@ -175,5 +175,6 @@ def keep(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(names.index("text"))
             yield batch.filter(pa.array([not model.predict(t.as_py())[2] for t in texts], pa.bool_()))
+            give_back()
 
     return docs.mapInArrow(over, docs.schema)

@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sparkloom.llm.common import ship
+from sparkloom.llm.common import give_back, ship
 
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_STRETCHES, MAX_CACHED_WORDS = 400_000, 200_000
 #: Lower-cased Latin-1: letters, numbers, and the contractions and runs of the word-level pre-tokenizer.
 _LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}\t\n\r\x0b\x0c \x85\xa0]+")
@@ -71,7 +71,7 @@ class WordIds:
             return b"".join(map(self.stretches.__getitem__, stretches)) + self.end
         except KeyError:
             new = [s for s in set(stretches) if s not in self.stretches]
-            if len(self.stretches) + len(new) > MAX_CACHED_WORDS:
+            if len(self.stretches) + len(new) > MAX_CACHED_STRETCHES:
                 self.stretches.clear()
                 new = set(stretches)
             for s in new:
@@ -194,6 +194,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 1
                     rests.append((doc, whole, n, ids[4 * whole :]))
             if len(rows) > 5000:
                 yield out()
+            give_back()
         for window in fill_windows([r[2] - r[1] for r in rests], capacity):
             offset = 0
             for item, at, n in window:
@@ -206,5 +207,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 1
                 yield out()
         if rows:
             yield out()
+        rests.clear()
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(over, SCHEMA + ", ids array<int>" * with_ids)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_map, remainder, ship
+from sparkloom.llm.common import arrow_map, give_back, remainder, ship
 
 MAX_PER_LABEL = 4000
 PAIRS, EPOCHS, RATE, DECAY = 40_000, 6, 0.1, 1e-4
@@ -143,5 +143,6 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def over(batches):
         for batch in batches:
             yield batch.filter(pa.array(probabilities(batch.column(names.index("text")), model) >= CUT, pa.bool_()))
+            give_back()
 
     return docs.mapInArrow(over, docs.schema)

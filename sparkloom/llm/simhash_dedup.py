@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_map, join_counted, pin_splits, unused, words_of, written
+from sparkloom.llm.common import arrow_map, give_back, join_counted, pin_splits, unused, words_of, written
 from sparkloom.llm.components import Forest, components
 from sparkloom.llm.tokens import runs_of, words_of_texts
 
@@ -198,6 +198,8 @@ def _compared(need: int, similarity: float | None):
             if out.up:
                 nodes = list(out.up)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([out.root(n) for n in nodes], pa.int64())], ["u", "v"])
+            del out
+            give_back()
 
     return over
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.anchors import GRAM_WORDS, stretches, width_of, word_hashes, word_places, word_stretches
-from sparkloom.llm.common import arrow_map, join_counted, pin_splits, ship, unused, written
+from sparkloom.llm.common import arrow_map, give_back, join_counted, pin_splits, ship, unused, written
 
 LENGTH = 400
 PASSAGE_WORDS = 51
@@ -329,7 +329,10 @@ def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Da
             table = pa.Table.from_batches(held)
             held.clear()
             unit = shard & 1
-            return repeated(table, units[unit][1], "<u8" if unit else "u1")
+            made = repeated(table, units[unit][1], "<u8" if unit else "u1")
+            del table
+            give_back()
+            return made
 
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("shard")).to_numpy()
