@@ -2,7 +2,8 @@
 
 1. Each text is cut into content-defined stretches (see anchors); only windows whose stretches have equal cores can be
    equal. Stretches whose core occurs once are done, and so are cores around which all stretches are equal: copies are
-   counted, not compared.
+   counted, not compared. So are those that one text holds several times (a line that it repeats): they make one row,
+   with the symbols they cover.
 2. Around the other cores, distinct stretches are gathered in shards by core and written one after the other, with the
    core (equal symbols by construction) as one symbol. A shard's suffix array is built by induced sorting: suffixes are
    classified, leftmost-smaller substrings sorted by induction and named, the named string is sorted recursively, and
@@ -241,6 +242,24 @@ def repeated(shard: pa.Table, width: int, kind: str) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([*map(take, names), pa.ListArray.from_arrays(pa.array(offsets), pa.array(runs))], [*names, "runs"])
 
 
+def own_copies(owner: np.ndarray, start: np.ndarray, size: np.ndarray, lead: np.ndarray, core: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """The distinct stretches of each owner, in turn: where they come first, how often, and, of those that come again, the symbols covered (from, to, ...)."""
+    order = np.lexsort((content, core, owner))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in (owner, core, content)])
+    heads = np.flatnonzero(fresh)
+    times = np.diff(np.append(heads, len(order)))
+    turn = np.argsort(order[heads])
+    heads, times = heads[turn], times[turn]
+    again = np.flatnonzero(times > 1)
+    covered = [merge(np.stack([start[at], start[at] + size[at]], axis=1)) for at in (order[h : h + n] for h, n in zip(heads[again], times[again]))]
+    lengths = np.zeros(len(heads), np.int64)
+    lengths[again] = [len(x) for x in covered]
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    values = np.concatenate(covered) if covered else np.zeros(0, np.int32)
+    return order[heads], times, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(times == 1))
+
+
 def parts_of(before: bytes, after: bytes, lead: int, tail: int, width: int, wide: int) -> Iterator[tuple[bytes, bytes, bytes, int]]:
     """(symbols that all windows of a range have, symbols before, after, first window) for the ranges of a stretch of a busy core.
 
@@ -270,16 +289,18 @@ def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Da
             data = text.as_py().encode("utf-8", "surrogatepass")
             for unit, (size, _, _) in enumerate(units):
                 found.append((row, unit, word_stretches(word_hashes(data), size) if unit else stretches(data, size)))
-        counts = [len(x[0]) for _, _, x in found]
-        rows, kinds = (np.repeat(np.array([f[k] for f in found], np.int64), counts) for k in (0, 1))
+        owner = np.repeat(np.arange(len(found)), [len(x[0]) for _, _, x in found])
         columns = [np.concatenate([x[k] for _, _, x in found]) if found else np.zeros(0, np.int64) for k in range(5)]
-        return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(kinds.astype(np.int8)), *[pa.array(c.astype(np.int32)) for c in columns[:3]], *[pa.array(c.view(np.int64)) for c in columns[3:]]], ["row", "unit", "start", "size", "lead", "core", "content"])
+        first, times, places = own_copies(owner, *columns)
+        rows, kinds = (np.array([f[k] for f in found], t)[owner[first]] for k, t in ((0, np.int64), (1, np.int8)))
+        columns = [c[first] for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(kinds), *[pa.array(c.astype(np.int32)) for c in columns[:3]], *[pa.array(c.view(np.int64)) for c in columns[3:]], pa.array(times.astype(np.int32)), places], ["row", "unit", "start", "size", "lead", "core", "content", "times", "places"])
 
     least = min(length, 2 * words - 1) if words else length
-    parts = written(arrow_map(docs.where(F.octet_length("text") >= least).select("row", "text"), cut, "row bigint, unit tinyint, start int, size int, lead int, core bigint, content bigint"))
-    kinds = written(parts.groupBy("core").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b")).where("n > 1").select("core", "n", (F.col("a") == F.col("b")).alias("alike")))
+    parts = written(arrow_map(docs.where(F.octet_length("text") >= least).select("row", "text"), cut, "row bigint, unit tinyint, start int, size int, lead int, core bigint, content bigint, times int, places array<int>"))
+    kinds = written(parts.groupBy("core").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"), F.sum("times").alias("all")).where("all > 1").select("core", "n", (F.col("a") == F.col("b")).alias("alike")))
     hits = written(join_counted(parts, kinds, ["core"], "n"))
-    variants = written(hits.where("not alike").groupBy("core", "content").agg(F.count("*").alias("count"), F.min(F.struct("row", "unit", "start", "size", "lead")).alias("at")))
+    variants = written(hits.where("not alike").groupBy("core", "content").agg(F.sum("times").alias("count"), F.count("*").alias("n"), F.min(F.struct("row", "unit", "start", "size", "lead")).alias("at")))
     busy = written(variants.groupBy("core").agg(F.count("*").alias("kinds")).where(F.col("kinds") > BUSY).select("core"))
     split = not busy.isEmpty()
     marked = variants.withColumn("busy", F.lit(False))
@@ -356,8 +377,9 @@ def spans(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> Da
     if split:
         of = texts.where("busy and row is not null").select("row", "unit", "start", "node", "piece")
         some = some.union(join_counted(of, runs.where("n > 0").select("node", "piece", "n", "runs"), ["node", "piece"], "n").select("row", "unit", shifted))
-    twice = join_counted(hits.where("not alike"), variants.where("count > 1").select("core", "content", "count"), ["core", "content"], "count")
-    whole = hits.where("alike").select("row", "unit", "start", "size").union(twice.select("row", "unit", "start", "size")).select("row", "unit", F.array("start", F.col("start") + F.col("size")).alias("r"))
+    twice = join_counted(hits.where("not alike"), variants.where("count > 1").select("core", "content", "n"), ["core", "content"], "n")
+    placed = F.coalesce("places", F.array("start", F.col("start") + F.col("size"))).alias("r")
+    whole = hits.where("alike").select("row", "unit", placed).union(twice.select("row", "unit", placed))
     of_unit = lambda k: F.flatten(F.collect_list(F.when(F.col("unit") == k, F.col("r"))))
     gathered = whole.union(some).groupBy("row").agg(of_unit(0).alias("r"), of_unit(1).alias("w"))
 

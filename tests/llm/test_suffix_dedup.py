@@ -137,3 +137,23 @@ def test_clashing_names(spark):
     docs = spark.createDataFrame([(1, p, 7, "a"), (2, p, 8, "b"), (3, "x", 9, "c")], "doc_id bigint, text string, _row bigint, spans string")
     rows = sd.keep(docs).orderBy("doc_id").collect()
     assert [(r["_row"], r["spans"], r["text"]) for r in rows] == [(7, "a", ""), (8, "b", ""), (9, "c", "x")]
+
+def test_a_line_that_texts_repeat_is_one_row_a_text(spark, monkeypatch):
+    """Stretches that a text holds several times meet those of other texts once, and all of their places go."""
+    joined = []
+
+    def counting(left, right, keys, n):
+        joined.append((left.count(), right.agg({n: "sum"}).first()[0] or 0, left.join(right, keys).count()))
+        return join_counted(left, right, keys, n)
+
+    join_counted = sd.join_counted
+    r = random.Random(13)
+    line = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    texts = [line(r.randint(0, 60)) + "Is onhe. " * r.randint(60, 80) + line(r.randint(0, 60)) + "Is onhe. " * k for k in (0, 9, 40) for _ in range(8)]
+    texts += [line(90), "Is onhe. " * 6, "once more " * 30]
+    check(spark, texts, 46)
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "row bigint, text string")
+    monkeypatch.setattr(sd, "join_counted", counting)
+    sd.spans(rows, 46, 21).count()
+    assert joined[0][0] < 50 * len(texts) and joined[1][2] < 10 * len(texts)
+    assert all(made == n for _, n, made in joined)
