@@ -37,12 +37,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import pin_splits, remainder, ship, written
+from sparkloom.llm.common import give_back, pin_splits, remainder, ship, written
 from sparkloom.llm.tokens import grouped, mix, numbered, words_of_texts
 
 END = 0x5851F42D4C957F2D
 MASSES = (5000.0, 4.0)  # of orders 2 and 3
 BLOCK_BYTES, SHARD_KEYS, MOST_TASKS, LANE = 8_000_000, 4_000_000, 20_000, 512
+#: Keys that are hashed at once.
+STEP = 1 << 18
 
 
 class Block:
@@ -57,7 +59,8 @@ class Block:
         is_word[self.ends] = False
         self.tokens[is_word] = words
         self.learnt = np.repeat(trains.to_numpy(zero_copy_only=False).astype(bool), self.sizes)
-        self.place = np.arange(len(self.tokens)) - np.repeat(self.ends - self.sizes + 1, self.sizes)
+        self.place = np.arange(len(self.tokens), dtype=np.int32)
+        self.place -= np.repeat((self.ends - self.sizes + 1).astype(np.int32), self.sizes)
         self.start = mix(np.array([END], np.uint64))[0]
         self.counts: dict[int, np.ndarray] = {}
         self._last = 0, mix(self.tokens)
@@ -91,29 +94,46 @@ class Block:
     def hear(self, answers: dict[int, np.ndarray]) -> None:
         """Counts of all orders answered, for each token; 0 where an n-gram would reach beyond the text's start."""
         for order in sorted(answers):
-            count = np.zeros(len(self.tokens), np.int64)
+            answer = answers[order]
+            if int(answer.max(initial=0)) < (1 << 31) - 1:
+                answer = answer.astype(np.int32)
             at, by_key, heads, keys = self.asked(order)
-            if len(keys) != len(answers[order]):
+            if len(keys) != len(answer):
                 raise RuntimeError("a block differs from what was asked for: the input changed between two scans")
-            count[at] = answers[order][numbered(by_key, heads)]
+            del keys
+            number = numbered(by_key, heads)
+            del by_key, heads
+            count = np.zeros(len(self.tokens), answer.dtype)
+            count[at] = answer[number]
             self.counts[order] = count
+            del at, number
 
 
 class Arcs:
     """An open-addressed table from (state, symbol) to the arc's number."""
 
-    def __init__(self, states: np.ndarray, symbols: np.ndarray):
-        self.keys = (states.astype(np.uint64) << np.uint64(32)) | symbols.astype(np.uint64)
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
         bits = max(4, (2 * len(self.keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.table = np.full(1 << bits, -1, np.int32)
-        rest, slot = np.arange(len(self.keys), dtype=np.int32), self._slot(self.keys)
+        rest, slot = np.arange(len(self.keys), dtype=np.int32), np.empty(len(self.keys), np.int32 if bits < 31 else np.int64)
+        for at in range(0, len(slot), STEP):
+            slot[at : at + STEP] = self._slot(self.keys[at : at + STEP])
         while len(rest):
             free = self.table[slot] < 0
             self.table[slot[free]] = rest[free]
             lost = self.table[slot] != rest
             rest, slot = rest[lost], (slot[lost] + 1) & self.mask
 
+    @staticmethod
+    def of(states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """State and symbol of each pair as one integer."""
+        keys = states.astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= symbols.astype(np.uint32)
+        return keys
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix(keys) >> self.shift).astype(np.int64)
 
@@ -121,7 +141,7 @@ class Arcs:
         """The arc of each pair; -1 where there is none."""
         if not len(self.keys):
             return np.full(len(states), -1, np.int32)
-        keys = (states.astype(np.uint64) << np.uint64(32)) | symbols.astype(np.uint64)
+        keys = self.of(states, symbols)
         slot = self._slot(keys)
         out = self.table[slot]
         live = np.flatnonzero((out >= 0) & (self.keys[out] != keys))
@@ -141,8 +161,9 @@ class Automaton:
     def __init__(self, block: Block, total: int, kinds: int, masses=MASSES):
         self.room, self.history = float(total + kinds + 1), len(masses)
         self.unknown = -math.log10(self.room)
-        by_key, heads = grouped(block.keys(1))
-        self.symbols = numbered(by_key, heads)
+        by, first = grouped(block.keys(1))
+        self.symbols = numbered(by, first)
+        del by, first
         n = len(self.symbols)
         counts = block.counts
         end_count = int(counts[1][block.ends[0]])
@@ -155,17 +176,19 @@ class Automaton:
             if order == 1:
                 p = (count + 1) / self.room
             else:
+                p *= masses[order - 2]
+                p += count
                 history = block.before(counts[order - 1], end_count if order == 2 else 0)
-                p = np.where(count > 0, (count + masses[order - 2] * p) / (np.maximum(history, 1) + masses[order - 2]), 0.0)
+                np.maximum(history, 1, out=history)
+                p /= history + masses[order - 2]
+                p[count == 0] = 0.0
+                del history
             some = np.flatnonzero(count > 0)
-            key, at = block.keys(order)[some], np.zeros(0, np.int64)
-            if len(some):
-                by, first = grouped(key)
-                at = some[by[first]]  # one place for each n-gram
+            by, first = grouped(block.keys(order)[some])
+            at = some[by[first]]  # one place for each n-gram
             if order <= len(masses):
                 here = np.zeros(n, np.int32)
-                if len(some):
-                    here[some] = offset + numbered(by, first)
+                here[some] = offset + numbered(by, first)
                 mass = masses[order - 1]
                 fails.append(state[at] if order > 1 else np.zeros(len(at), np.int32))
                 backs.append(np.log10(mass / (count[at] + mass)))
@@ -176,11 +199,15 @@ class Automaton:
                     first_state = self.start = int(ends[0])  # 0 if no text was learnt from
             else:
                 here, to = state, state[at]
-            arcs.append((state_before[at], self.symbols[at], to, np.log10(p[at])))
+            del some, by, first
+            arcs.append((Arcs.of(state_before[at], self.symbols[at]), to, np.log10(p[at])))
             state_before, state = block.before(here, first_state if order == 1 else 0), here
         self.fail, self.back = np.concatenate(fails), np.concatenate(backs)
-        source, symbol, self.to, self.weight = (np.concatenate(x) for x in zip(*arcs))
-        self.arcs = Arcs(source, symbol)
+        del p, count, state, state_before, here, to, at, fails, backs
+        keys, self.to, self.weight = map(list, zip(*arcs))
+        del arcs
+        self.to, self.weight, keys = np.concatenate(self.to), np.concatenate(self.weight), np.concatenate(keys)
+        self.arcs = Arcs(keys)
 
     def traverse(self, sizes: np.ndarray, lane: int) -> np.ndarray:
         """log10 probability of each text: the state is carried over its tokens, the weights of arcs and failures add up."""
@@ -278,6 +305,7 @@ def _asks(block: Block, number: int, orders: tuple[int, ...], shards: int) -> It
                 ],
                 ["shard", "block", "grams", "keys", "counts"],
             )
+        del at, by_key, heads, keys, counts, part
 
 
 ASK = "shard bigint, block bigint, grams int, keys binary, counts binary"
@@ -305,10 +333,12 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows and now != (shard, order):
                 yield out(*now, rows)
                 rows = []
+                give_back()
             now = shard, order
             rows.append((block, keys, counts))
     if rows:
         yield out(*now, rows)
+    give_back()
 
 
 def _told(heard: pa.Table) -> dict[int, np.ndarray]:
@@ -319,6 +349,17 @@ def _told(heard: pa.Table) -> dict[int, np.ndarray]:
     return {order: np.concatenate(parts) for order, parts in out.items()}
 
 
+def scored(block: Block, answers: dict[int, np.ndarray], orders: tuple[int, ...], total: int, kinds: int, masses: tuple[float, ...], lane: int) -> list[np.ndarray]:
+    """n_tokens, n_known, train_tokens, base_score and score of each text of a block. The answers are used up."""
+    block.hear({n: answers.pop(n, np.zeros(0, np.int64)) for n in orders})
+    firsts, sizes = block.ends - block.sizes + 1, block.sizes
+    per = lambda x: np.add.reduceat(x, firsts)
+    known = per((block.counts[1] > 0).astype(np.int64))
+    base = per(np.log10((block.counts[1] + 1) / float(total + kinds + 1)))
+    automaton = Automaton(block, total, kinds, masses)
+    return [sizes, known, np.full(len(firsts), total, np.int64), base, automaton.traverse(sizes, lane)]
+
+
 def score(docs: DataFrame, trains, masses: tuple[float, ...] = MASSES) -> DataFrame:
     """One row for each document. docs: (doc_id, text); trains: boolean column, true for documents to learn from.
 
@@ -335,6 +376,7 @@ def score(docs: DataFrame, trains, masses: tuple[float, ...] = MASSES) -> DataFr
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in _blocks(batches, most):
             yield from _asks(Block(rows.column(1), rows.column(2)), number, orders, shards)
+            give_back()
 
     def name_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in _blocks(batches, most):
@@ -351,14 +393,8 @@ def score(docs: DataFrame, trains, masses: tuple[float, ...] = MASSES) -> DataFr
         names, kind = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"], [pa.int64()] * 4 + [pa.float64()] * 2
         if not texts.num_rows:
             return pa.table([pa.array([], t) for t in kind], names)
-        block, answers = Block(texts.column("text"), texts.column("trains")), _told(heard)
-        block.hear({n: answers.get(n, np.zeros(0, np.int64)) for n in orders})
-        automaton = Automaton(block, total, kinds, masses)
-        firsts = block.ends - block.sizes + 1
-        per = lambda x: np.add.reduceat(x, firsts)
-        known = per((block.counts[1] > 0).astype(np.int64))
-        base = per(np.log10((block.counts[1] + 1) / automaton.room))
-        made = [texts.column("doc_id"), block.sizes, known, np.full(len(firsts), total, np.int64), base, automaton.traverse(block.sizes, lane)]
+        made = [texts.column("doc_id"), *scored(Block(texts.column("text"), texts.column("trains")), _told(heard), orders, total, kinds, masses, lane)]
+        give_back()
         return pa.table([x if isinstance(x, pa.ChunkedArray) else pa.array(x, t) for x, t in zip(made, kind)], names)
 
     return blocks.cogroup(to_blocks).applyInArrow(read, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -2,10 +2,12 @@ import hashlib
 import math
 import random
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -144,6 +146,27 @@ def test_lm_without_training_texts(docs):
     assert all(x["score"] == x["base_score"] == 0 and x["n_known"] == 0 for x in rows)
 
 
+def test_memory_of_a_scoring_block():
+    """A block's arrays take so many bytes a token at most while its automaton is built."""
+    r = random.Random(17)
+    kinds = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(30_000)]
+    texts = pa.chunked_array([pa.array([" ".join(r.choice(kinds) for _ in range(500)) for _ in range(400)])])
+    block = lm_scoring.Block(texts, pa.chunked_array([pa.array([True] * 400)]))
+    answers = {}
+    for order in (1, 2, 3):
+        at, by_key, heads, _ = block.asked(order)
+        answers[order] = np.add.reduceat(block.learnt[at][by_key].astype(np.int64), heads)
+    del at, by_key, heads
+    tracemalloc.start()
+    try:
+        block.hear(answers)
+        automaton = lm_scoring.Automaton(block, len(block.tokens), len(answers[1]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(automaton.to) > 300_000 and peak < 180 * len(block.tokens), peak / len(block.tokens)
+
+
 def test_lm_is_a_distribution():
     plain = PlainModel([list("abcabd"), list("abce"), list("ab")], (5.0, 2.0, 1.0))
     words = ["a", "b", "c", "d", "e", None, "never seen"]
