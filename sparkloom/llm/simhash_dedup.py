@@ -303,8 +303,10 @@ def _similar_entries(rows: DataFrame, radius: int, shingle: int, similarity: flo
     sigs = entries.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     reps, sigs = written(reps), written(sigs)
     to = lambda firsts, key: join_counted(entries.select(key, F.col("id").alias("u")), firsts, [key], "n").select("u", F.col("id").alias("v")).where("u <> v")
-    links = near_pairs(reps.select("id", "fp"), radius).union(to(reps, "fp")).union(to(sigs, "sig")).union(similar_pairs(sigs.select("id", "sig"), similarity))
-    linked = components(verified_pairs(rows.select("row", "text"), entries, components(links), shingle, similarity))
+    # links found in Python are written first: components begins with Python too, and a task would run a worker for each
+    similar = written(similar_pairs(sigs.select("id", "sig"), similarity))
+    links = near_pairs(reps.select("id", "fp"), radius).union(to(reps, "fp")).union(to(sigs, "sig")).union(similar)
+    linked = components(written(verified_pairs(rows.select("row", "text"), entries, components(links), shingle, similarity)))
     return of, written(entries.join(linked, entries.id == linked.node, "left").select("fp", "grams", "least", "n", F.coalesce("component", "id").alias("top")))
 
 

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe, common, components, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, queries, simhash_dedup, tokens, url_filter
+from sparkloom.llm import bpe, common, components, embedding_dedup, fingerprints, language_id, lm_scoring, packing, quality, queries, simhash_dedup, suffix_dedup, tokens, url_filter
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp string, row string, score string, n string"
 PATTERN = common.WORD_PATTERN
@@ -491,6 +491,39 @@ def test_keep_similar_judges_rows(spark):
     assert simhash_dedup.keep_similar(docs.limit(0), 5, 0.8).count() == 0
 
 
+def most_workers(plan, above=0):
+    """The most Python workers that a task of a physical plan runs at once."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return most_workers(plan.initialPlan(), above)
+    here = 0 if "Exchange" in plan.nodeName() else above + ("MapInArrow" in plan.nodeName())
+    below = plan.children()
+    return max([here, *(most_workers(below.apply(i), here) for i in range(below.size()))])
+
+
+def test_a_task_of_the_pipeline_runs_one_worker(spark, monkeypatch):
+    """Workers stay with an executor, so one that runs two in a task has twice as many in all stages after that."""
+    import corpus_pipeline
+
+    found = []
+
+    def seen(df):
+        found.append((most_workers(df._jdf.queryExecution().executedPlan()), df.columns))
+        return common.written(df)
+
+    for module in (simhash_dedup, components, suffix_dedup):
+        monkeypatch.setattr(module, "written", seen)
+    r = random.Random(14)
+    line = lambda n: " ".join(r.choice("abcdefghij") * r.randint(1, 9) for _ in range(n))
+    base, passage = line(200), line(120)
+    rows = [(i, base + f" {i}" if i % 2 else line(9) + passage + line(9), "en", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint")
+    for stage, left in ((corpus_pipeline.near_duplicate_stage, 7), (corpus_pipeline.passage_stage, 12)):
+        done = stage(spark, docs, "")
+        found.append((most_workers(done._jdf.queryExecution().executedPlan()), done.columns))
+        assert done.count() == left
+    assert max(n for n, _ in found) == 1, [c for n, c in found if n > 1]
+
+
 def test_similar_groups_are_verified(spark):
     r = random.Random(12)
     jaccard = lambda a, b: len(a & b) / len(a | b)
