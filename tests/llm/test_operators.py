@@ -1,3 +1,4 @@
+import cProfile
 import hashlib
 import math
 import random
@@ -56,6 +57,28 @@ def test_bpe_is_the_library(docs, empty):
     assert all(coder.encode_words([w])[w] == [i] for w, i in list(coder.ids.items())[::50])
 
 
+def test_bpe_learns_new_words_in_few_calls():
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    t, r, coder = Tokenizer.from_file(path), random.Random(4), bpe.TrieBPE(path)
+    parts = [*"abcXYZ019 '.,!-_$\n\t\r\x0b\x00", "  ", "é", "ß", "ª", "²", "×", "\xa0", "\x85", "中", "δ", "\u0301", "\u3000", "'s", "'ll", "<|endoftext|>", " the"]
+    odd = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    odd += ["ab" * 500 + end for end in ("", "c", "d", "cd")]  # words that share more than is compared at once
+    for text, pieces in zip(odd, coder.encode_many(odd)):
+        ids = t.encode(text, add_special_tokens=False).ids
+        assert ",".join(x for x, _ in pieces) == ",".join(map(str, ids)), text
+        assert coder.decode(pieces) == t.decode(ids, skip_special_tokens=False), text
+    words = list({"".join(r.choice(["ka", "lo", "mir", "ent", "su", "é"]) for _ in range(r.randint(2, 6))) + r.choice(["", ",", "."]) for _ in range(8000)})
+    profile = cProfile.Profile()
+    profile.enable()
+    coder.encode_many([" ".join(words)])
+    profile.disable()
+    calls = sum(x.callcount for x in profile.getstats())
+    assert coder.encode(" ".join(words)) == ",".join(map(str, t.encode(" ".join(words), add_special_tokens=False).ids))
+    assert calls < 40 * len(words), calls / len(words)
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
