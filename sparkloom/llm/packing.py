@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +30,22 @@ MAX_CACHED_STRETCHES, MAX_CACHED_WORDS = 400_000, 200_000
 #: Lower-cased Latin-1: letters, numbers, and the contractions and runs of the word-level pre-tokenizer.
 _LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}\t\n\r\x0b\x0c \x85\xa0]+")
-_ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f<|>Ā-\U0010ffff]")
+_ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9fĀ-\U0010ffff]")
+
+
+class _Learnt(dict):
+    """Values by key, made when a key is first asked for; emptied when full."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value
 
 
 class WordIds:
@@ -43,40 +58,31 @@ class WordIds:
         self.whole.no_truncation()
         self.whole.no_padding()
         self.model = self.whole.model
+        self.special = [x.content for x in self.whole.get_added_tokens_decoder().values()]
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         table = {b: chr(b) for b in visible}
         table |= {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in table)}
         self.as_bytes = {c: "".join(table[b] for b in chr(c).encode()) for c in range(256)}
         self.end = np.array([end_id], "<u4").tobytes()
-        self.stretches: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.bytes_of = [np.array([i], "<u4").tobytes() for i in range(self.whole.get_vocab_size())]
+        self.words = _Learnt(self._word, MAX_CACHED_WORDS)
+        self.stretches = _Learnt(self._stretch, MAX_CACHED_STRETCHES)
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= MAX_CACHED_WORDS:
-                self.words.clear()
-            found = np.array([t.id for t in self.model.tokenize(word.translate(self.as_bytes))], "<u4").tobytes()
-            self.words[word] = found
-        return found
+        return b"".join([self.bytes_of[t.id] for t in self.model.tokenize(word if word.isascii() else word.translate(self.as_bytes))])
+
+    def _stretch(self, stretch: str) -> bytes:
+        if stretch.isalpha():  # in Latin-1 these are the letters of _PIECE
+            return self.words[stretch]
+        return b"".join([self.words[w] for w in _PIECE.findall(stretch)])
 
     def __call__(self, text: str | None) -> bytes:
         """The ids of a whole text and the end id, little-endian, four bytes each."""
         if not text:
             return self.end
-        if _ODD.search(text):  # anything whose normal form or cut may depend on more than Latin-1
+        if any(x in text for x in self.special) or _ODD.search(text):  # anything whose normal form or cut may depend on more than Latin-1
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
-        stretches = text.lower().split()
-        try:
-            return b"".join(map(self.stretches.__getitem__, stretches)) + self.end
-        except KeyError:
-            new = [s for s in set(stretches) if s not in self.stretches]
-            if len(self.stretches) + len(new) > MAX_CACHED_STRETCHES:
-                self.stretches.clear()
-                new = set(stretches)
-            for s in new:
-                self.stretches[s] = b"".join(map(self._word, _PIECE.findall(s)))
-            return b"".join(map(self.stretches.__getitem__, stretches)) + self.end
+        return b"".join(map(self.stretches.__getitem__, text.lower().split())) + self.end
 
 
 @lru_cache(maxsize=2)
@@ -88,10 +94,15 @@ def word_ids(path: str, end_id: int) -> WordIds:
 def closest_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """The multiset of lengths, within counts, whose sum is closest to capacity from below.
 
-    Longer lengths come first; the programme stops as soon as the capacity is reached.
+    Longer lengths come first; the programme stops as soon as the capacity is reached. Of the lengths over half the
+    capacity only one can be used, so their sums are themselves.
     """
     mask, reach, steps = (1 << (capacity + 1)) - 1, 1, []
-    for length in sorted(counts, reverse=True):
+    for length in counts:
+        if capacity < 2 * length <= 2 * capacity and counts[length] > 0:
+            reach |= 1 << length
+    short = () if reach >> capacity & 1 else sorted([n for n in counts if 2 * n <= capacity], reverse=True)
+    for length in short:
         left, take = min(counts[length], capacity // length), 1
         while left > 0:  # binary parts of the count
             take = min(take, left)
@@ -106,6 +117,8 @@ def closest_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
         if not before >> at & 1:
             used[length] += take
             at -= length * take
+    if at:
+        used[at] += 1
     return dict(used)
 
 

@@ -107,6 +107,30 @@ def test_packing(docs, empty):
     assert packing.pack(empty, path).count() == 0 and packing.pack(docs, path).count() > 0
 
 
+def test_packing_encodes_signs_by_stretch_as_the_library():
+    from tokenizers import Tokenizer
+
+    path, r = queries.vocabulary("word_bpe_49k.json"), random.Random(6)
+    t, coder = Tokenizer.from_file(path), packing.WordIds(path, 1)
+    parts = [*"abcXYZ019 '.,!-_$<|>/w\n\t\r\x0b", "é", "ß", "À", "ª", "²", "×", "\xa0", "\xad", "'s", "'LL", "</w>", " the"]
+    plain = ["a | b <c> d", *("".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(3000))]
+    odd = ["x<|endoftext|>y", "<|startoftext|>", "<|STARTOFTEXT|>", "\x00 a", "İ", "中 δ", "A\u0301"]
+    for text in plain + odd:
+        assert coder(text) == struct.pack(f"<{len(ids := [*t.encode(text, add_special_tokens=False).ids, 1])}I", *ids), text
+    want = [coder(text) for text in plain]
+    coder.whole = None  # texts without a special token or a character beyond Latin-1 don't need it
+    assert [coder(text) for text in plain] == want
+
+
+def test_closest_fill_takes_long_lengths_at_once():
+    counts, profile = {n: 1 for n in range(600, 2048)}, cProfile.Profile()
+    profile.enable()
+    used = packing.closest_fill(counts, 2048)
+    profile.disable()
+    assert sum(n * k for n, k in used.items()) == 2048 and all(k == 1 for k in used.values())
+    assert sum(x.callcount for x in profile.getstats()) < 100
+
+
 def test_closest_fill_against_brute_force():
     r = random.Random(1)
     for _ in range(300):
