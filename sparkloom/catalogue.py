@@ -362,20 +362,20 @@ def corpus_report(spark, sf_dir):
 
 
 # --- tokens --------------------------------------------------------------------------------------------------------
-def _encoded(spark, sf_dir):
+def _counted(spark, sf_dir, *more):
     import public_tokenizers
 
-    return text_of(spark, sf_dir).select("doc_id", "lang", "text", tokenize.encoder(public_tokenizers.path("word_bpe_49k.json"))("text").alias("ids"))
+    return text_of(spark, sf_dir).select(*more, tokenize.counter(public_tokenizers.path("word_bpe_49k.json"))("text").alias("n_tokens"))
 
 
 @query()
 def token_statistics(spark, sf_dir):
-    return tokenize.statistics(_encoded(spark, sf_dir))
+    return tokenize.statistics(_counted(spark, sf_dir), n=F.col("n_tokens"))
 
 
 @query()
 def token_fertility(spark, sf_dir):
-    return tokenize.fertility(_encoded(spark, sf_dir), "ids", T.words(F.col("text")), "lang")
+    return tokenize.fertility(_counted(spark, sf_dir, "lang", F.size(T.words(F.col("text"))).alias("n_words")), F.col("n_tokens"), F.col("n_words"), "lang")
 
 
 # --- events and the star schema ------------------------------------------------------------------------------------

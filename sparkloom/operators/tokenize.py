@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 IGNORED = -100
+#: Characters encoded at a time: the library holds some hundred bytes for each token of what it encodes.
+CHUNK_CHARS = 1 << 18
 # Ids that stand for one image or audio clip, and the most of a video.
 IMAGE_TOKENS, AUDIO_TOKENS, VIDEO_TOKENS = 256, 512, 1024
 
@@ -24,17 +28,47 @@ def _tokenizer(path: str):
     return t
 
 
+def _chunks(texts: pd.Series) -> Iterator[list[str]]:
+    """The texts, null ones as empty, in lists of CHUNK_CHARS characters or so; a longer text is a list of its own."""
+    some, chars = [], 0
+    for t in texts:
+        t = t or ""
+        if some and chars + len(t) > CHUNK_CHARS:
+            yield some
+            some, chars = [], 0
+        some.append(t)
+        chars += len(t)
+    if some:
+        yield some
+
+
+def _encodings(path: str, texts: pd.Series, made: Callable, places: bool = False) -> list:
+    """made(encoding) of each text; no more encodings than those of a chunk are held."""
+    t = _tokenizer(path)
+    encode = t.encode_batch if places else t.encode_batch_fast
+    return [made(e) for some in _chunks(texts) for e in encode(some, add_special_tokens=False)]
+
+
 def encoder(path: str):
     """Arrow UDF from text to ids by a tokenizer file; null and empty texts have none. The file is read once a worker."""
 
     @F.pandas_udf(ArrayType(IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
-        found = _tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
-        return pd.Series([e.ids for e in found], index=texts.index)
+        return pd.Series(_encodings(path, texts, lambda e: np.array(e.ids, np.int32)), index=texts.index, dtype=object)
 
     return encode
 
 
+def counter(path: str):
+    """Arrow UDF from text to the number of its ids; the ids themselves stay where they are made."""
+
+    @F.pandas_udf(IntegerType())
+    def count(texts: pd.Series) -> pd.Series:
+        return pd.Series(_encodings(path, texts, len), index=texts.index, dtype="int32")
+
+    return count
+
+
 def decoder(path: str):
     """Arrow UDF from ids to text by a tokenizer file; special tokens are skipped."""
 
@@ -50,8 +84,8 @@ def offsets(path: str):
 
     @F.pandas_udf("array<struct<id:int,token:string,start:int,end:int>>")
     def of(texts: pd.Series) -> pd.Series:
-        found = _tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
-        return pd.Series([[{"id": i, "token": t, "start": a, "end": b} for i, t, (a, b) in zip(e.ids, e.tokens, e.offsets)] for e in found], index=texts.index)
+        rows = lambda e: [{"id": i, "token": t, "start": a, "end": b} for i, t, (a, b) in zip(e.ids, e.tokens, e.offsets)]
+        return pd.Series(_encodings(path, texts, rows, places=True), index=texts.index)
 
     return of
 
@@ -96,14 +130,15 @@ def sized(ids: Column, length: int, pad: int = 0, bos: int | None = None, eos: i
     return {"input_ids": F.concat(cut, F.array_repeat(F.lit(pad), missing)), "attention_mask": F.concat(F.transform(cut, lambda _: F.lit(1)), F.array_repeat(F.lit(0), missing)), "truncated": F.size(marked) > length, "padded": missing > 0}
 
 
-def statistics(rows: DataFrame, ids: str = "ids", length: int = 2048) -> DataFrame:
-    n = F.size(ids)
+def statistics(rows: DataFrame, ids: str = "ids", length: int = 2048, n: Column | None = None) -> DataFrame:
+    """One row over arrays of ids, or over the numbers of ids that a counter gave."""
+    n = F.size(ids) if n is None else n
     return rows.agg(F.count("*").alias("total"), F.sum(n).alias("tokens"), F.round(F.coalesce(F.avg(n), F.lit(0.0)), 6).alias("avg_tokens"), F.coalesce(F.max(n), F.lit(0)).alias("max_tokens"), F.coalesce(F.min(n), F.lit(0)).alias("min_tokens"), F.count_if(n > length).alias("truncated"), F.count_if(n < length).alias("padded"))
 
 
-def fertility(rows: DataFrame, ids: str, words: Column, group: str) -> DataFrame:
-    """Tokens for each word, by group."""
-    return rows.groupBy(group).agg(F.round(F.try_divide(F.sum(F.size(ids)), F.sum(F.size(words))), 6).alias("fertility"))
+def fertility(rows: DataFrame, tokens: Column, words: Column, group: str) -> DataFrame:
+    """Tokens for each word, by group; both are numbers of a row."""
+    return rows.groupBy(group).agg(F.round(F.try_divide(F.sum(tokens), F.sum(words)), 6).alias("fertility"))
 
 
 def masked_labels(messages: Column, answers: str = "assistant") -> Column:

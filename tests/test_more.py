@@ -354,3 +354,27 @@ def test_benchmark_runs_and_objects(spark, tmp_path):
     got = evaluate.run_benchmarks({"gqa": lambda: rows, "mmlu": fails}).collect()
     assert [tuple(x) for x in got] == [("gqa", 2, 1, 0.5)] and evaluate.run_benchmarks({"mmlu": fails}) is None
     assert sinks.put(spark, str(tmp_path / "a/b.PNG"), b"123") == ("image/png", 3) and (tmp_path / "a/b.PNG").read_bytes() == b"123"
+
+
+def test_tokenizer_holds_few_encodings(spark, monkeypatch):
+    """An Arrow batch is encoded piece by piece, and counts are those of the ids."""
+    import pandas as pd
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    real, given = tokenize._tokenizer(path), []
+
+    class Watched:
+        def encode_batch(self, texts, **options):
+            given.append(sum(map(len, texts)))
+            return real.encode_batch(texts, **options)
+
+        encode_batch_fast = encode_batch
+
+    texts = ["some words of a text, " * 2000, None, "", *["a shorter text of 42 chars, or so it seems"] * 40000, "x " * 300000]
+    monkeypatch.setattr(tokenize, "_tokenizer", lambda _: Watched())
+    ids = tokenize.encoder(path).func(pd.Series(texts))
+    assert max(given) <= 600000 and len(given) > 5  # the one long text is a piece of its own
+    counts = tokenize.counter(path).func(pd.Series(texts))
+    assert [len(x) for x in ids] == list(counts) and list(counts[1:3]) == [0, 0]
+    assert list(ids[3]) == real.encode(texts[3], add_special_tokens=False).ids
