@@ -378,3 +378,9 @@ def test_tokenizer_holds_few_encodings(spark, monkeypatch):
     counts = tokenize.counter(path).func(pd.Series(texts))
     assert [len(x) for x in ids] == list(counts) and list(counts[1:3]) == [0, 0]
     assert list(ids[3]) == real.encode(texts[3], add_special_tokens=False).ids
+
+
+def test_statistics_of_counts(spark):
+    """Counts of ids give the statistics that the ids themselves give."""
+    rows = spark.createDataFrame([([1, 2, 3],), ([],), ([4],)], "ids array<int>").withColumn("n", F.size("ids"))
+    assert tokenize.statistics(rows, length=2, n=F.col("n")).collect() == tokenize.statistics(rows, "ids", 2).collect()
