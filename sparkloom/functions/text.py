@@ -21,6 +21,11 @@ def words(text: Column) -> Column:
     return F.when(F.length(bare) > 0, F.split(bare, r"(?U)\s+")).when(F.length(bare) == 0, F.array().cast("array<string>"))
 
 
+def made_once(array: str) -> Column:
+    """An array column to explode. Spark also filters by the size of a plain one, below the projections that make it, so that it is made again for that."""
+    return F.transform(array, lambda x: x)
+
+
 def hits(text: Column, found: list[str]) -> Column:
     """How many of the strings occur in the text."""
     return reduce(lambda a, b: a + b, [text.contains(w).cast("int") for w in found])

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparkloom.functions import text as T
+
 
 def schema_problems(df: DataFrame, wanted: str) -> list[str]:
     """Columns that are missing, of another type, or not asked for (no job runs)."""
@@ -30,7 +32,7 @@ def issues(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 def issue_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(issue, n) over all rows."""
-    return issues(df, rules).select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+    return issues(df, rules).select(F.explode(T.made_once("issues")).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
 
 
 def passing(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

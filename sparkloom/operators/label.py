@@ -171,5 +171,5 @@ def question_arrays(docs: DataFrame, most: int = X.QUESTIONS) -> DataFrame:
 
 def questions(docs: DataFrame, most: int = X.QUESTIONS) -> DataFrame:
     """The pairs of question_arrays, a row each, with their place."""
-    rows = question_arrays(docs, most).select("doc_id", F.posexplode("pairs").alias("place", "p"))
+    rows = question_arrays(docs, most).select("doc_id", F.posexplode(T.made_once("pairs")).alias("place", "p"))
     return rows.select("doc_id", "place", "p.*")

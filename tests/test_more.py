@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from test_media import png
 
+from sparkloom import catalogue
 from sparkloom.functions import text as T
 from sparkloom.functions import udf as U
 from sparkloom.operators import audio, chat, checks, clean, dedup, evaluate, hooks, image, label, store, tokenize
@@ -384,3 +385,14 @@ def test_statistics_of_counts(spark):
     """Counts of ids give the statistics that the ids themselves give."""
     rows = spark.createDataFrame([([1, 2, 3],), ([],), ([4],)], "ids array<int>").withColumn("n", F.size("ids"))
     assert tokenize.statistics(rows, length=2, n=F.col("n")).collect() == tokenize.statistics(rows, "ids", 2).collect()
+
+
+@pytest.mark.parametrize("name", ["qa_pairs", "schema_issues"])
+def test_exploded_arrays_are_made_once(spark, name):
+    """No filter by an array's size below the projections that make the array."""
+    if name == "schema_issues":
+        found = checks.issue_counts(spark.createDataFrame([("a",), (None,)], "x string"), {"x is there": F.col("x").isNotNull(), "x is long": F.length("x") > 3})
+        assert sorted(map(tuple, found.collect())) == [("x is long", 2), ("x is there", 1)]
+    else:
+        found = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert "Filter " not in found._jdf.queryExecution().optimizedPlan().toString()
