@@ -200,7 +200,7 @@ _FIVE = {"fluency": "a", "relevance": "b", "coherence": "c", "informativeness":
 def scorer_chosen_dimensions(spark, sf_dir):
     """A row for each dimension that is asked for."""
     dims = label.dimensions(text_of(spark, sf_dir), ["fluency", "coherence", "safety", "unknown"])
-    return dims.select("doc_id", F.explode("dims").alias("d")).select("doc_id", "d.name", F.round("d.score", 6).alias("score"))
+    return dims.select("doc_id", F.explode(T.made_once("dims")).alias("d")).select("doc_id", "d.name", F.round("d.score", 6).alias("score"))
 
 
 @query(f"select doc_id, round(least(1.0, greatest(0.0, case when text <> '' then (2 * a + b + c + d + 0.5 * e) / 5.5 else 0 end)), 6) as score from ({_DIMS}) join documents using (doc_id)")

@@ -110,7 +110,7 @@ def labeling_statistics(items: DataFrame) -> DataFrame:
 
 def label_distribution(items: DataFrame) -> DataFrame:
     """(label_type, n) over all labels of all items."""
-    return items.select(F.explode("labels").alias("l")).groupBy("l.label_type").agg(F.count("*").alias("n"))
+    return items.select(F.explode(T.made_once("labels")).alias("l")).groupBy("l.label_type").agg(F.count("*").alias("n"))
 
 
 def voted(labels: DataFrame, item: str = "item_id", value: str = "label_value") -> DataFrame:

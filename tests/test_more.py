@@ -387,7 +387,7 @@ def test_statistics_of_counts(spark):
     assert tokenize.statistics(rows, length=2, n=F.col("n")).collect() == tokenize.statistics(rows, "ids", 2).collect()
 
 
-@pytest.mark.parametrize("name", ["qa_pairs", "schema_issues"])
+@pytest.mark.parametrize("name", ["qa_pairs", "label_distribution", "scorer_chosen_dimensions", "schema_issues"])
 def test_exploded_arrays_are_made_once(spark, name):
     """No filter by an array's size below the projections that make the array."""
     if name == "schema_issues":
