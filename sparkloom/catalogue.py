@@ -381,7 +381,8 @@ def token_fertility(spark, sf_dir):
 # --- events and the star schema ------------------------------------------------------------------------------------
 @query("select event_id, user_id, count(*) over (partition by user_id order by epoch(ts)::bigint range between 60 preceding and current row) as n from events")
 def rate_limit_window(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy(F.col("ts").cast("timestamp").cast("long")).rangeBetween(-60, 0)
+    second = F.rint(F.col("ts").cast("timestamp").cast("double")).cast("long")  # the nearest, the even one of two, as in the SQL
+    w = Window.partitionBy("user_id").orderBy(second).rangeBetween(-60, 0)
     return read(spark, sf_dir, "events").select("event_id", "user_id", F.count("*").over(w).alias("n"))
 
 

@@ -396,3 +396,17 @@ def test_exploded_arrays_are_made_once(spark, name):
     else:
         found = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert "Filter " not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rate_limit_rounds_seconds_as_its_sql(spark, tmp_path):
+    """Fractions count by the nearest second, halves by the even one."""
+    import duckdb
+
+    times = ["00:00:00.4", "00:01:00.6", "00:02:00.5", "00:03:01.5", "00:04:01.4", "00:05:02.5", "00:06:03.5"]
+    rows = ", ".join(f"({i}, 1, timestamp '2024-01-01 {t}')" for i, t in enumerate(times))
+    duckdb.sql(f"copy (select * from (values {rows}) t(event_id, user_id, ts)) to '{tmp_path}/events.parquet' (format parquet)")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    want = con.sql(f"select event_id, user_id, n from ({catalogue.ORACLE_SQL['rate_limit_window']}) order by 1").fetchall()
+    got = catalogue.QUERIES["rate_limit_window"](spark, str(tmp_path)).orderBy("event_id")
+    assert [tuple(r) for r in got.select("event_id", "user_id", "n").collect()] == want and len({n for *_, n in want}) > 1
