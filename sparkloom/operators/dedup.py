@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import IntegralType, LongType
 
 from sparkloom.operators.skew import join_counted, pin_splits
 
@@ -63,18 +65,45 @@ def jaccard(a, b):
 
 # --- SimHash -------------------------------------------------------------------------------------------------------
 FEATURE_CHARS, DISTANCE = 4, 3
+_WORD_CHARS = re.compile(r"\w+")
 
 
-def simhash(text: str | None, width: int = FEATURE_CHARS) -> int:
-    """64-bit fingerprint of the lower-cased word characters of a text, by votes of the hashes of its shingles of ``width``."""
-    import re
+_P1, _P2, _P3, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+#: The bits of each value of a byte, least first.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+
+
+def _xxh64_of_four(lanes: np.ndarray) -> np.ndarray:
+    """XXH64 (seed 0) of four bytes each, given as little-endian numbers."""
+    h = (_P5 + np.uint64(4)) ^ (lanes.astype(np.uint64) * _P1)
+    h = ((h << np.uint64(23)) | (h >> np.uint64(41))) * _P2 + _P3
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
 
+def _shingle_hashes(chars: str, width: int) -> np.ndarray:
+    """XXH64 of each shingle; those of four ASCII characters all at once."""
     import xxhash
 
-    chars = "".join(re.findall(r"\w", (text or "").lower()))
-    grams = [chars[i : i + width] for i in range(max(1, len(chars) - width + 1))]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), np.uint64, len(grams))
-    votes = sum((np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for i in range(0, len(hashes), 65536)), np.zeros(64, np.int64))
+    grams = max(1, len(chars) - width + 1)
+    if width != 4 or len(chars) < 4:
+        return np.fromiter((xxhash.xxh64_intdigest(chars[i : i + width]) for i in range(grams)), np.uint64, grams)
+    codes = np.frombuffer(chars.encode("utf-32-le"), np.uint32)
+    out = _xxh64_of_four(codes[:-3] | codes[1:-2] << np.uint32(8) | codes[2:-1] << np.uint32(16) | codes[3:] << np.uint32(24))
+    wide = codes > 127
+    if wide.any():
+        for i in np.flatnonzero(wide[:-3] | wide[1:-2] | wide[2:-1] | wide[3:]).tolist():
+            out[i] = xxhash.xxh64_intdigest(chars[i : i + 4])
+    return out
+
+
+def simhash(text: str | None, width: int = FEATURE_CHARS) -> int:
+    """64-bit fingerprint of the lower-cased word characters of a text, by votes of the hashes of its shingles of ``width``."""
+    hashes = _shingle_hashes("".join(_WORD_CHARS.findall((text or "").lower())), width)
+    places = np.arange(0, 2048, 256)
+    counts = sum((np.bincount((hashes[i : i + 65536].view(np.uint8).reshape(-1, 8) + places).ravel(), minlength=2048) for i in range(0, len(hashes), 65536)), np.zeros(2048, np.int64))
+    votes = (counts.reshape(8, 256) @ _BITS).ravel()
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
@@ -83,8 +112,8 @@ def simhash_of(texts: pd.Series) -> pd.Series:
     return texts.map(simhash)
 
 
-def hamming_links(entries: DataFrame, distance: int, most: int = 2000) -> DataFrame:
-    """(doc_id, first): pairs of entries (doc_id, hash), one row for each hash, of at most ``distance`` differing bits.
+def _posted(entries: DataFrame, distance: int, most: int) -> DataFrame:
+    """(doc_id, hash, k, s): entries in the lists k, s in which those of at most ``distance`` differing bits meet.
 
     They agree in one of distance + 1 blocks of bits. A block's list of over ``most`` hashes is cut by one block more of
     the rest, as bits that differ leave one of those alone as well where there are more than distance.
@@ -104,16 +133,77 @@ def hamming_links(entries: DataFrame, distance: int, most: int = 2000) -> DataFr
         rest.append(F.array(*[F.struct(F.lit(i).alias("i"), F.col("hash").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("v")) for i, m in enumerate(masks)]))
     chosen = reduce(lambda out, i: F.when(F.col("k.i") == i, rest[i]).otherwise(out), range(blocks), rest[0])
     whole = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).cast("bigint").alias("v")))
-    posted = posted.withColumn("s", F.explode(F.when(F.col("n") > most, chosen).otherwise(whole))).select("doc_id", "hash", "k", "s")
+    return posted.withColumn("s", F.explode(F.when(F.col("n") > most, chosen).otherwise(whole))).select("doc_id", "hash", "k", "s")
+
+
+def hamming_links(entries: DataFrame, distance: int, most: int = 2000) -> DataFrame:
+    """(doc_id, first): all pairs of entries (doc_id, hash), one row for each hash, of at most ``distance`` differing bits."""
+    posted = _posted(entries, distance, most)
     a, b = posted.alias("a"), posted.alias("b")
     near = F.bit_count(F.col("a.hash").bitwiseXOR(F.col("b.hash"))) <= distance
     return a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.doc_id") < F.col("b.doc_id")) & near).select(F.col("b.doc_id").alias("doc_id"), F.col("a.doc_id").alias("first")).distinct()
 
 
+def spanning(hashes: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, places tied to it): a forest that ties all hashes (uint64) which links of at most ``distance`` bits connect."""
+    left = np.arange(len(hashes))
+    while len(left) > 1:
+        waiting, left = [left[0]], left[1:]
+        while waiting and len(left):
+            at = waiting.pop()
+            near = np.bitwise_count(hashes[left] ^ hashes[at]) <= distance
+            if near.any():
+                yield at, left[near]
+                waiting += left[near].tolist()
+                left = left[~near]
+
+
+def hamming_forest(entries: DataFrame, distance: int, most: int = 2000) -> DataFrame:
+    """(doc_id, first): pairs of hamming_links that connect what all of them connect; a list of n hashes gives n - 1 at most. Ids are integers."""
+    of = entries.schema["doc_id"].dataType.simpleString()
+    posted = _posted(entries.where("doc_id is not null"), distance, most).select("doc_id", "hash", F.col("k.i").alias("a"), F.col("k.v").alias("b"), F.col("s.i").alias("c"), F.col("s.v").alias("d"))
+    keys = ["a", "b", "c", "d"]
+
+    def links(batches):
+        kept = None  # the last list so far, which the next batch may go on with
+        for batch in batches:
+            part = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            new = np.flatnonzero(np.logical_or.reduce([part[k].to_numpy()[1:] != part[k].to_numpy()[:-1] for k in keys])) + 1
+            if len(new):
+                kept = part.iloc[new[-1] :]
+                yield tied(part.iloc[: new[-1]], np.concatenate([[0], new]))
+            else:
+                kept = part
+        if kept is not None:
+            yield tied(kept, np.array([0, len(kept)]))
+
+    def tied(part, cuts):
+        ids, hashes = part["doc_id"].to_numpy(), part["hash"].to_numpy().view(np.uint64)
+        sizes, ups, downs = np.diff(cuts), [], []
+        two = cuts[:-1][sizes == 2]
+        two = two[np.bitwise_count(hashes[two] ^ hashes[two + 1]) <= distance]
+        ups.append(ids[two])
+        downs.append(ids[two + 1])
+        for low, n in zip(cuts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            for at, near in spanning(hashes[low : low + n], distance):
+                ups.append(np.full(len(near), ids[low + at]))
+                downs.append(ids[low + near])
+        ups, downs = np.concatenate(ups), np.concatenate(downs)
+        return pd.DataFrame({"doc_id": np.maximum(ups, downs), "first": np.minimum(ups, downs)})
+
+    return posted.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(links, f"doc_id {of}, first {of}").distinct()
+
+
 def by_hash(docs: DataFrame, distance: int) -> DataFrame:
-    """(doc_id, component) of docs (doc_id, hash): near hashes share a component; rows with a null hash stand alone."""
-    kinds = docs.where("hash is not null").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
-    tied = settle(kinds, hamming_links(kinds, distance))
+    """(doc_id, component) of docs (doc_id, hash): near hashes share a component; rows with a null hash stand alone.
+
+    The hashes are written, as each later table is made of them: a text is read and hashed once.
+    """
+    _checkpoints(docs.sparkSession)
+    docs = docs.checkpoint()
+    kinds = docs.where("hash is not null").groupBy("hash").agg(F.min("doc_id").alias("doc_id")).checkpoint()
+    numbers = isinstance(kinds.schema["doc_id"].dataType, IntegralType)
+    tied = settle(kinds, (hamming_forest if numbers else hamming_links)(kinds, distance))
     of = kinds.join(tied, "doc_id").select("hash", "component")
     return docs.join(of, "hash", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
 

@@ -424,3 +424,49 @@ def test_page_text_leaves_open_entities_as_its_sql(spark, tmp_path):
     got = catalogue.QUERIES["page_main_text"](spark, str(tmp_path)).orderBy("page_id").select("page_id", "url", "text")
     assert [tuple(r) for r in got.collect()] == want and want[1][2] == "cut &amp &copy; &amp; &&& ·"
     assert U.closed_references("&lt;&#65;&#x42;&nosuch;&notit; &lt") == "<AB&nosuch;&notit; &lt"
+
+
+@pytest.mark.parametrize("most", [2000, 1])
+def test_hamming_forest(spark, most):
+    """Few pairs connect what all near pairs connect, whatever the batches that lists are cut by."""
+    r = random.Random(5)
+    base = [r.getrandbits(64) - (1 << 63) for _ in range(12)]
+    near = lambda b: b ^ sum(1 << k for k in r.sample(range(63), r.randint(0, 3)))
+    hashes = sorted({near(near(b)) for b in base for _ in range(40)})
+    df = spark.createDataFrame([*enumerate(hashes), (None, 7)], "doc_id bigint, hash bigint")
+    bits = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    up = list(range(len(hashes)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(hashes)):
+        for j in range(i):
+            if bits(hashes[i], hashes[j]) <= 3:
+                a, b = sorted((top(i), top(j)))
+                up[b] = a
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = [tuple(x) for x in dedup.hamming_forest(df, 3, most).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(i > j and bits(hashes[i], hashes[j]) <= 3 for i, j in found)
+    got = {x["doc_id"]: x["component"] for x in dedup.by_hash(df.where("doc_id is not null"), 3).collect()}
+    assert got == {i: top(i) for i in range(len(hashes))}
+
+
+def test_dense_lists_give_few_ties():
+    """2000 hashes that are all near each other: 1999 ties, not two millions."""
+    hashes = np.unique(np.array([(1 << a) ^ (1 << b) for a in range(64) for b in range(64)], np.uint64))
+    ties = [(at, x) for at, near in dedup.spanning(hashes, 4) for x in near]
+    assert len(ties) == len(hashes) - 1 and len({x for _, x in ties}) == len(ties)
+
+
+def test_simhash_of_wide_and_short_texts():
+    """Hashing shingles all at once gives what hashing each gives."""
+    for text in ("", "abc", "abcd", "héllo wörld, naïve", "日本語のテキスト mixed in", "a😀bcd😀", "x" * 70000):
+        chars = "".join(re.findall(r"\w", text.lower()))
+        grams = [chars[i : i + 4] for i in range(max(1, len(chars) - 3))]
+        assert dedup._shingle_hashes(chars, 4).tolist() == [xxhash.xxh64_intdigest(g) for g in grams]
